@@ -1,0 +1,131 @@
+import json
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from rawstrata.contracts import LOG_SCHEMA
+from rawstrata.operators import events
+from rawstrata.operators.events import EventLog, LogSettings, at_least, log_entries
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    name = f"log_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.fixture
+def log(spark, table, tmp_path):
+    log = EventLog("batch-1", settings=LogSettings(print_to_stdout=False))
+    log.set_table(spark, table, location=tmp_path / "log")
+    return log
+
+
+def entries_of(spark, rows):
+    source = spark.createDataFrame(rows, "level string, message string, blob string")
+    return log_entries(
+        source,
+        batch_id="batch-1",
+        level=F.col("level"),
+        category=F.lit("FILE"),
+        message=F.col("message"),
+        details=F.col("blob"),
+    )
+
+
+def test_schema_text_and_table_statement(spark, table, tmp_path):
+    assert events.log_schema_ddl().startswith("log_id STRING, batch_id STRING, entity_name STRING")
+    spark.sql(events.create_log_table_ddl(table, location=tmp_path / "log"))
+    created = spark.table(table).schema
+    assert created.names == LOG_SCHEMA.names
+    comments = [field.metadata.get("comment") for field in created]
+    assert comments == [field.metadata["comment"] for field in LOG_SCHEMA]
+
+
+def test_entries_of_a_frame(spark):
+    rows = entries_of(spark, [("INFO", "m1", '{"n":1}'), ("WARN", "m2", "{}")]).collect()
+    assert [(r.log_level, r.message, r.details) for r in rows] == [
+        ("INFO", "m1", '{"n":1}'),
+        ("WARN", "m2", None),
+    ]
+    assert len({row.log_id for row in rows}) == 2
+    assert {(r.batch_id, r.entity_name, r.log_category) for r in rows} == {("batch-1", None, "FILE")}
+
+
+def test_minimum_level_ranks_unknown_levels_as_info(spark):
+    levels = ["DEBUG", "INFO", "WARN", "ERROR", "TRACE"]
+    entries = entries_of(spark, [(level, "m", None) for level in levels])
+
+    def kept(minimum):
+        return [row.log_level for row in at_least(entries, minimum).collect()]
+
+    assert kept("DEBUG") == levels
+    assert kept("INFO") == kept("SOMETHING") == ["INFO", "WARN", "ERROR", "TRACE"]
+    assert kept("WARN") == ["WARN", "ERROR"]
+    assert kept("ERROR") == ["ERROR"]
+
+
+def test_append_filters_and_counts(spark, log, table):
+    entries = entries_of(spark, [("DEBUG", "m", None), ("INFO", "m", None), ("ERROR", "m", None)])
+    assert log.append(entries) == 2
+    assert spark.table(table).count() == 2
+    assert log.append(entries.limit(0)) == 0
+    log.set_settings(persist_to_table=False)
+    assert log.append(entries) == 0
+    assert spark.table(table).count() == 2
+
+
+def test_append_without_a_table_writes_nothing(spark):
+    assert EventLog("b").append(entries_of(spark, [("INFO", "m", None)])) == 0
+
+
+def test_single_entries_wait_for_the_table(spark, table, tmp_path):
+    log = EventLog("batch-1", settings=LogSettings(print_to_stdout=False))
+    log.pipeline_start({"entities": 2})
+    log.debug("FILE", "too detailed")
+    log.entity_event("INGESTION", "rows written", "order", details={"rows": 5})
+    assert log.flush() == 0 and log.waiting_count == 2 and not log.has_table
+    log.set_table(spark, table, location=tmp_path / "log")
+    assert log.flush() == 2 and log.waiting_count == 0
+    log.pipeline_end("FAILED")
+    log.pipeline_end()
+    log.warn("CONFIG", "odd", details={})
+    rows = spark.table(table).orderBy("logged_at").collect()
+    assert [(r.log_level, r.entity_name, r.message) for r in rows] == [
+        ("INFO", None, "Pipeline run started"),
+        ("INFO", "order", "rows written"),
+        ("ERROR", None, "Pipeline run completed — FAILED"),
+        ("INFO", None, "Pipeline run completed — SUCCESS"),
+        ("WARN", None, "odd"),
+    ]
+    assert json.loads(rows[1].details) == {"rows": 5}
+    assert rows[4].details is None
+
+
+def test_entries_survive_a_failed_write(spark, log, table):
+    spark.sql(f"DROP TABLE {table}")
+    with pytest.raises(Exception, match="(?i)not.found|cannot be found"):
+        log.error("AUDIT", "important")
+    assert log.waiting_count == 1
+
+
+def test_printing(capsys):
+    log = EventLog("b")
+    log.info("FILE", "read", entity="order")
+    log.set_settings(print_to_stdout=False)
+    log.info("FILE", "silent")
+    printed = capsys.readouterr().out
+    assert "INFO  | FILE        [order] | read" in printed and "silent" not in printed
+
+
+def test_settings_are_checked():
+    settings = LogSettings().updated(min_log_level="warn", print_to_stdout=False)
+    assert settings == LogSettings("WARN", True, False)
+    with pytest.raises(ValueError, match="Unknown setting.*colour.*Valid settings: min_log_level"):
+        settings.updated(colour="red")
+    with pytest.raises(ValueError, match="persist_to_table must be bool, got str"):
+        settings.updated(persist_to_table="yes")
+    with pytest.raises(ValueError, match="Invalid log level 'LOUD'. Valid levels: DEBUG, INFO"):
+        settings.updated(min_log_level="loud")

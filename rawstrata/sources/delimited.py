@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from rawstrata.contracts import CORRUPT_RECORD, resolve_entity_schema
-from rawstrata.sources.storage import PathLike, child
+from rawstrata.sources.split_csv import read_in_splits
+from rawstrata.sources.storage import PathLike, child, size_bytes
+
+# Bounds for the size up to which a file is read by one task.
+MIN_WHOLE_FILE_BYTES = 16 * 1024 * 1024
+MAX_WHOLE_FILE_BYTES = 128 * 1024 * 1024
+
+# Suffixes of compressed files, which cannot be split by bytes.
+COMPRESSED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
 
 # How extracts are written. Everything else is the CSV reader's default.
 CSV_OPTIONS = {
@@ -22,10 +32,41 @@ def resolve_source_path(data_root: PathLike, source_batch_id: str, entity: str)
     return child(data_root, source_batch_id, f"{entity}_{source_batch_id}.csv")
 
 
-def read_source_csv(spark: SparkSession, schema: StructType, path: PathLike) -> DataFrame:
+def multi_line_scan(spark: SparkSession, schema: StructType, paths: list[str]) -> DataFrame:
+    """The CSV reader with line breaks allowed in quoted fields: one task per file."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(paths)
+
+
+def whole_file_limit(spark: SparkSession, total_bytes: int) -> int:
+    """Size up to which a file may be one task: a full partition's worth if the files are
+    enough to occupy the cluster, less if they are few."""
+    share = total_bytes // spark.sparkContext.defaultParallelism
+    return min(max(share, MIN_WHOLE_FILE_BYTES), MAX_WHOLE_FILE_BYTES)
+
+
+def read_source_csv(
+    spark: SparkSession, schema: StructType, path: PathLike, *, whole_file_bytes: int | None = None
+) -> DataFrame:
     """Scan an extract under a declared schema. Columns bind by position; quoted fields may
-    hold line breaks; a malformed line is kept whole in the corrupt-record column."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(str(path))
+    hold line breaks; a malformed line is kept whole in the corrupt-record column.
+
+    Files larger than ``whole_file_bytes`` are read in splits, with the same result.
+    """
+    total = size_bytes(spark, path)
+    limit = whole_file_limit(spark, total) if whole_file_bytes is None else whole_file_bytes
+    if total <= limit:
+        return multi_line_scan(spark, schema, [str(path)])
+    files = spark.read.format("binaryFile").load(str(path)).select("path", "length").collect()
+    large = [
+        file.path for file in files if file.length > limit and not file.path.endswith(COMPRESSED)
+    ]
+    small = sorted({file.path for file in files} - set(large))
+    scans = []
+    if large:
+        scans.append(read_in_splits(spark, schema, CSV_OPTIONS, large))
+    if small:
+        scans.append(multi_line_scan(spark, schema, small))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def load_entity_data(

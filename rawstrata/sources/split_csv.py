@@ -1,0 +1,277 @@
+"""Read large CSV files in splits, although quoted fields may hold line breaks.
+
+Spark's multi-line CSV reader takes a file as one task, because whether a line break ends a
+record depends on all the quotes before it. One extract can hold a third of all rows, so a
+large file is profiled first, in splits:
+
+* If no line leaves a quote open, every line is a record and the line reader is exact.
+* Otherwise records are put together from lines. A line maps the parser's state before it
+  (inside quotes or not) to the state after it. These maps compose, so windows over the
+  lines of a split, and then over the splits of a file, give the state at every line.
+* A file with quoting that the line rules below do not cover stays with the multi-line
+  reader, and so does one with NUL characters or with mixed line ends outside quotes.
+
+Results equal the multi-line reader's, malformed records included.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
+
+# How a line reads for the parser, with comma, double quote and backslash. Text may follow
+# the quote that closes a field, up to the comma, as in "a ""b"" c"; text with a backslash,
+# or a blank right after the quote, is left to the multi-line reader.
+_QUOTED = r'(?:[^"\\]++|\\.)*+'
+_CLOSED = r'"++(?:[^",\s\\][^,\\]*+)?+'
+_FIELD = rf'(?:"{_QUOTED}{_CLOSED}|[^",][^,]*+)?+'
+_FIELDS = rf"(?:{_FIELD},)*+"
+_OPEN_END = rf"{_QUOTED}\\?+\z"
+OUT_TO_OUT = rf"(?s)\A{_FIELDS}{_FIELD}\z"
+OUT_TO_IN = rf'(?s)\A{_FIELDS}"{_OPEN_END}'
+IN_TO_OUT = rf"(?s)\A{_QUOTED}{_CLOSED}(?:,{_FIELDS}{_FIELD})?+\z"
+IN_TO_IN = rf'(?s)\A(?:{_OPEN_END}|{_QUOTED}{_CLOSED},{_FIELDS}"{_OPEN_END})'
+ONLY_BLANKS = r"\A[\x00-\x20]+\z"
+
+
+def lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Lines of files with their file, split and place. A carriage return stays."""
+    meta = F.col("_metadata")
+    return spark.read.option("lineSep", "\n").text(files).select(
+        meta["file_path"].alias("file"),
+        meta["file_size"].alias("file_size"),
+        meta["file_block_start"].alias("split"),
+        F.monotonically_increasing_id().alias("place"),
+        F.col("value").alias("raw"),
+    )
+
+
+def without_return(raw: Column) -> Column:
+    """A line without the carriage return that ends it."""
+    return F.regexp_replace(raw, r"\r\z", "")
+
+
+def leaves_open(line: Column) -> Column:
+    """Whether a line that starts outside quotes ends inside."""
+    return line.contains('"') & line.rlike(OUT_TO_IN)
+
+
+def keeps_open(line: Column) -> Column:
+    """Whether a line that starts inside quotes ends inside."""
+    return ~line.contains('"') | line.rlike(IN_TO_IN)
+
+
+def ends_with_break(raw: Column) -> Column:
+    """Aggregate over the lines of a file: whether the last one ends with a line break.
+
+    Every line counts with one. A byte order mark is dropped while reading.
+    """
+    counted = F.sum(F.octet_length(raw) + 1)
+    return (counted - F.first("file_size")).isin(0, -3)
+
+
+def profile(found: DataFrame) -> DataFrame:
+    """Per file, what decides how it can be read.
+
+    ``line_break`` is the parser's own choice, made at the first line end of the file.
+    """
+    raw = F.col("raw")
+    first_return = F.locate("\r", raw)
+    line_break = (
+        F.when(first_return == 0, "lf").when(first_return == F.length(raw), "crlf").otherwise("cr")
+    )
+    text = without_return(raw)
+    has_quote = raw.contains('"')
+    return found.groupBy("file").agg(
+        F.min_by(line_break, F.when(F.col("split") == 0, F.col("place"))).alias("line_break"),
+        F.max(leaves_open(text)).alias("spans_lines"),
+        F.max(has_quote & ~text.rlike(OUT_TO_OUT)).alias("not_by_line"),
+        F.max(raw.contains("\0")).alias("has_nul"),
+        F.max(raw.rlike(ONLY_BLANKS)).alias("has_blank_lf"),
+        F.max(text.rlike(ONLY_BLANKS)).alias("has_blank_crlf"),
+        F.max(text.contains("\r")).alias("has_inner_return"),
+        (F.count_if(~raw.endswith("\r")) - (~ends_with_break(raw)).cast("int")).alias("lone_feeds"),
+    )
+
+
+def reading(profiled: DataFrame) -> DataFrame:
+    """Choose how to read each profiled file."""
+    is_lf, is_crlf = F.col("line_break") == "lf", F.col("line_break") == "crlf"
+    clean_lf = is_lf & ~F.col("has_blank_lf")
+    clean_crlf = is_crlf & ~F.col("has_blank_crlf") & (F.col("lone_feeds") == 0)
+    odd_quotes = F.col("not_by_line") & ~F.col("spans_lines")
+    odd_breaks = ~is_lf & ~(is_crlf & ~F.col("has_inner_return"))
+    how = (
+        F.when(F.col("has_nul") | odd_quotes | odd_breaks, "whole")
+        .when(clean_lf & ~F.col("spans_lines"), "lines lf")
+        .when(clean_crlf & ~F.col("spans_lines"), "lines crlf")
+        .when(is_lf, "records lf")
+        .otherwise("records crlf")
+    )
+    return profiled.select("file", how.alias("how"))
+
+
+def _compose(
+    df: DataFrame, from_out: str, from_in: str, within: list[str], by: str
+) -> DataFrame:
+    """Add the state (0 outside, 1 inside quotes) before and after each row, for either
+    state at the start of the partition.
+
+    ``from_out`` and ``from_in`` tell whether a row ends inside when it starts outside or
+    inside. A row sends both states to one, keeps them, or swaps them; the state after it
+    is the last one fixed, swapped as often as rows since then swap it.
+    """
+    ordered = Window.partitionBy(*within).orderBy(by)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_swap = F.col(from_out) & ~F.col(from_in)
+    rows = df.withColumn("swaps", F.sum(is_swap.cast("int")).over(so_far))
+    outcome = F.struct(F.col(from_out).cast("int").alias("state"), "swaps")
+    fixed = F.when(F.col(from_out) == F.col(from_in), outcome)
+    rows = rows.withColumn("fixed", F.last(fixed, ignorenulls=True).over(so_far))
+    since = F.col("swaps") - F.coalesce(F.col("fixed.swaps"), F.lit(0))
+    for start in (0, 1):
+        after = (F.coalesce(F.col("fixed.state"), F.lit(start)) + since) % 2
+        rows = rows.withColumn(f"after_{start}", after)
+        before = F.lag(f"after_{start}", 1, start).over(ordered)
+        rows = rows.withColumn(f"before_{start}", before)
+    return rows.drop("swaps", "fixed")
+
+
+def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
+    """Lines with the parser's state around each, and the number of the record they are in.
+
+    Adds ``line``, ``inside`` and ``ends_inside`` (the states), ``number`` (records begun in
+    the file so far), and about the file ``in_file`` (its records), ``never_closed`` (its
+    last quote) and ``final_break`` (whether it ends with a line break).
+    """
+    line = F.col("line")
+    flagged = found.withColumn("line", without_return(F.col("raw")) if crlf else F.col("raw"))
+    flagged = flagged.withColumns({"from_out": leaves_open(line), "from_in": keeps_open(line)})
+    within = ["file", "split"]
+    stated = _compose(flagged, "from_out", "from_in", within, "place")
+    so_far = Window.partitionBy(*within).orderBy("place")
+    for start in (0, 1):
+        begins = (F.col(f"before_{start}") == 0) & (line != "")
+        stated = stated.withColumn(f"begun_{start}", F.sum(begins.cast("int")).over(so_far))
+
+    splits = stated.groupBy(*within).agg(
+        (F.max_by("after_0", "place") == 1).alias("split_from_out"),
+        (F.max_by("after_1", "place") == 1).alias("split_from_in"),
+        F.max("begun_0").alias("records_0"),
+        F.max("begun_1").alias("records_1"),
+        F.sum(F.octet_length("raw") + 1).alias("bytes"),
+        F.first("file_size").alias("file_size"),
+    )
+    splits = _compose(splits, "split_from_out", "split_from_in", ["file"], "split")
+    starts_inside = F.col("before_0") == 1
+    begun = F.when(starts_inside, F.col("records_1")).otherwise(F.col("records_0"))
+    in_file = Window.partitionBy("file")
+    earlier = in_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    surplus = F.sum("bytes").over(in_file) - F.col("file_size")
+    splits = splits.select(
+        *within,
+        starts_inside.alias("starts_inside"),
+        F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("earlier"),
+        F.sum(begun).over(in_file).alias("in_file"),
+        (F.max_by("after_0", "split").over(in_file) == 1).alias("never_closed"),
+        surplus.isin(0, -3).alias("final_break"),
+    )
+
+    def chosen(name: str) -> Column:
+        one, zero = F.col(f"{name}_1"), F.col(f"{name}_0")
+        return F.when(F.col("starts_inside"), one).otherwise(zero)
+
+    return stated.join(splits, within).select(
+        *found.columns,
+        "line",
+        (chosen("before") == 1).alias("inside"),
+        (chosen("after") == 1).alias("ends_inside"),
+        (F.col("earlier") + chosen("begun")).alias("number"),
+        "in_file",
+        "never_closed",
+        "final_break",
+    )
+
+
+def covered_files(stated: DataFrame, *, crlf: bool) -> DataFrame:
+    """Files in which the rules cover every line in the state it starts in. By induction
+    over the lines, the states are then the parser's.
+
+    Where lines end in CRLF, a line feed alone is covered inside quotes only.
+    """
+    line = F.col("line")
+    from_out = line.rlike(OUT_TO_OUT) | line.rlike(OUT_TO_IN)
+    from_in = line.rlike(IN_TO_OUT) | line.rlike(IN_TO_IN)
+    covered = ~line.contains('"') | F.when(F.col("inside"), from_in).otherwise(from_out)
+    lone_feed = ~F.col("raw").endswith("\r") & ~F.col("ends_inside")
+    unterminated = (~F.first("final_break") & ~F.first("never_closed")).cast("int")
+    checks = stated.groupBy("file").agg(
+        F.min(covered).alias("quotes"),
+        (F.count_if(lone_feed) == unterminated).alias("breaks"),
+    )
+    return checks.filter("quotes AND breaks" if crlf else "quotes").select("file")
+
+
+def records(stated: DataFrame) -> DataFrame:
+    """Put records together from lines: the text to parse, and the raw text. The first
+    record of a file is its header and is left out."""
+    pieces = stated.filter(((F.col("line") != "") | F.col("inside")) & (F.col("number") > 1))
+    joined = pieces.groupBy("file", "number").agg(
+        F.array_sort(F.collect_list(F.struct("split", "place", "line", "raw"))).alias("pieces"),
+        F.max(F.col("number") == F.col("in_file")).alias("is_last"),
+        F.first("never_closed").alias("never_closed"),
+        F.first("final_break").alias("final_break"),
+    )
+    takes_break = F.col("is_last") & F.col("never_closed") & F.col("final_break")
+    tail = F.when(takes_break, "\n").otherwise("")
+    return joined.select(
+        F.concat(F.concat_ws("\n", "pieces.line"), tail).alias("text"),
+        F.concat_ws("\n", "pieces.raw").alias("raw"),
+    )
+
+
+def parse_records(
+    assembled: DataFrame, schema: StructType, options: dict[str, str]
+) -> DataFrame:
+    """Parse assembled records under a schema; a malformed one is kept as it stands,
+    without its line end."""
+    corrupt = options["columnNameOfCorruptRecord"]
+    row = F.from_csv("text", schema.toDDL(), options).alias("row")
+    parsed = assembled.select(row, "raw")
+    fields = {name: F.col("row")[name] for name in schema.names}
+    if corrupt in fields:
+        raw = without_return(F.col("raw"))
+        fields[corrupt] = F.when(fields[corrupt].isNotNull(), raw)
+    return parsed.select(*[value.alias(name) for name, value in fields.items()])
+
+
+def read_in_splits(
+    spark: SparkSession, schema: StructType, options: dict[str, str], files: list[str]
+) -> DataFrame:
+    """Scan large files with the multi-line reader's results, in splits where possible."""
+    chosen: dict[str, list[str]] = {}
+    for row in reading(profile(lines(spark, files))).collect():
+        chosen.setdefault(row.how, []).append(unquote(row.file))
+    whole = chosen.pop("whole", [])
+    reader = spark.read.schema(schema).options(**options)
+    scans = []
+    for how, paths in sorted(chosen.items()):
+        crlf = how.endswith("crlf")
+        if how.startswith("lines"):
+            by_line = reader if crlf else reader.option("lineSep", "\n")
+            scans.append(by_line.csv(paths))
+            continue
+        stated = with_states(lines(spark, paths), crlf=crlf)
+        covered = covered_files(stated, crlf=crlf).collect()
+        usable = sorted(unquote(row.file) for row in covered)
+        whole += set(paths) - set(usable)
+        if usable:
+            stated = with_states(lines(spark, usable), crlf=crlf)
+            scans.append(parse_records(records(stated), schema, options))
+    if whole:
+        multi_line = spark.read.schema(schema).options(**options, multiLine=True)
+        scans.append(multi_line.csv(sorted(whole)))
+    return reduce(DataFrame.unionByName, scans)

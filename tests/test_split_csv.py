@@ -1,0 +1,142 @@
+"""Large files read in splits must give what the multi-line reader gives."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from rawstrata.contracts import text_schema
+from rawstrata.sources.delimited import (
+    CSV_OPTIONS,
+    multi_line_scan,
+    read_source_csv,
+    whole_file_limit,
+)
+from rawstrata.sources.split_csv import lines, profile, read_in_splits, reading
+
+SCHEMA = text_schema("a b _corrupt_record")
+PIECES = {
+    "tidy": [
+        "1,2\n",
+        '3,"c, d"\n',
+        '4,"one\ntwo"\n',
+        '"5","e\\"f\n\n,g"\n',
+        '6,"it ""is"" ok"\n',
+        "7\n",
+        "8,9,surplus\n",
+        "\n",
+        '10,"stray ""x""\ny"\n',
+        '11,"a\n',
+        'b"\n',
+    ],
+    "random": ['"', "\\", ",", " ", "a", "\n", "\n", '"x"', ',"', '",', '"\n', "bb"],
+    "returns": ['"', ",", " ", "a", "\r", "\n", "\n", ',"', '"\r\n'],
+    "plain": [",", " ", "a", "\n", "yy\n", ",z\n", "1,2\n"],
+}
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of 48 bytes, so that records, quotes and CRLF pairs cross them."""
+    settings = {"spark.sql.files.maxPartitionBytes": "48", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def content(df):
+    return Counter(tuple(row) for row in df.collect())
+
+
+def write(folder, texts):
+    folder.mkdir()
+    for number, text in enumerate(texts):
+        (folder / f"part {number}%.csv").write_bytes(text.encode())
+    return sorted(str(path) for path in folder.iterdir())
+
+
+def methods(spark, files):
+    return Counter(row.how for row in reading(profile(lines(spark, files))).collect())
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"], ids=["lf", "crlf"])
+@pytest.mark.parametrize("kind", PIECES)
+def test_random_files(spark, tmp_path, small_splits, kind, line_end):
+    rng = random.Random(f"{kind}{line_end}")
+    texts = []
+    for _ in range(10):
+        body = "".join(rng.choices(PIECES[kind], k=rng.randint(0, 14)))
+        mark = "﻿" if rng.random() < 0.2 else ""
+        texts.append(mark + f"h1,h2\n{body}".replace("\r", "").replace("\n", line_end))
+        if kind == "returns":
+            texts[-1] = f"h1,h2{line_end}{body}"
+    files = write(tmp_path / "in", texts)
+    assert content(read_in_splits(spark, SCHEMA, CSV_OPTIONS, files)) == content(
+        multi_line_scan(spark, SCHEMA, files)
+    )
+
+
+@pytest.mark.parametrize(
+    "text, how",
+    [
+        ("h1,h2\n1,2\n", "lines lf"),
+        ('h1,h2\r\n1,"x, y"\r\n', "lines crlf"),
+        ('h1,h2\n1,"x\ny"\n', "records lf"),
+        ('h1,h2\r\n1,"x\ny"\r\n2,3\r\n', "records crlf"),
+        ('h1,h2\n"1\n2"', "records lf"),
+        ('"h\n1",h2\n1,2\n', "records lf"),
+        ("h1,h2\n  \n1,2\n", "records lf"),
+        ('h1,h2\n1,"never closed\n2,3\n', "records lf"),
+        ('h1,h2\r\n1,"never closed\r\n2,3\r\n', "records crlf"),
+        ('h1,h2\n1,"x" \n', "whole"),
+        ('h1,h2\n1,"x"\\\n', "whole"),
+        ("h1,h2\r1,2\r", "whole"),
+        ("h1,h2\n1,\0\n", "whole"),
+    ],
+)
+def test_choice_of_method_never_changes_the_rows(spark, tmp_path, small_splits, text, how):
+    files = write(tmp_path / "in", [text])
+    assert methods(spark, files) == {how: 1}
+    got = content(read_in_splits(spark, SCHEMA, CSV_OPTIONS, files))
+    assert got == content(multi_line_scan(spark, SCHEMA, files))
+    assert sum(got.values()) == len(multi_line_scan(spark, SCHEMA, files).collect())
+
+
+def test_a_record_over_many_splits(spark, tmp_path, small_splits):
+    field = "\n".join(f"line {number}" for number in range(100))
+    files = write(tmp_path / "in", [f'h1,h2\n1,"{field}"\n2,x\n'])
+    rows = read_in_splits(spark, SCHEMA, CSV_OPTIONS, files).collect()
+    assert sorted(tuple(row) for row in rows) == [("1", field, None), ("2", "x", None)]
+
+
+def test_folder_of_large_small_and_compressed_files(spark, tmp_path, small_splits):
+    folder = tmp_path / "extract.csv"
+    spark.createDataFrame([("z", "zipped\ntext")], "h1 string, h2 string").write.options(
+        header=True, compression="gzip"
+    ).csv(str(folder))
+    (folder / "large.csv").write_text('h1,h2\n1,"x\ny"\n' + "2,3\n" * 100)
+    (folder / "plain.csv").write_text("h1,h2\n" + "4,5\n" * 100)
+    (folder / "small.csv").write_text('h1,h2\n6,"\n"\n')
+    got = content(read_source_csv(spark, SCHEMA, folder, whole_file_bytes=100))
+    assert got == content(read_source_csv(spark, SCHEMA, folder))
+    assert got[("2", "3", None)] == got[("4", "5", None)] == 100
+    assert got[("z", "zipped\ntext", None)] == got[("6", "\n", None)] == 1
+
+
+def test_large_files_are_split(spark, tmp_path, small_splits):
+    folder = tmp_path / "extract.csv"
+    files = write(folder, ["h1,h2\n" + "1,2\n" * 100])
+    whole = read_source_csv(spark, SCHEMA, folder, whole_file_bytes=1_000)
+    split = read_source_csv(spark, SCHEMA, folder, whole_file_bytes=100)
+    assert whole.rdd.getNumPartitions() == 1
+    assert split.rdd.getNumPartitions() > 4
+    assert methods(spark, files) == {"lines lf": 1}
+
+
+def test_limit_depends_on_how_many_files_there_are(spark):
+    mega = 1024 * 1024
+    assert whole_file_limit(spark, 40 * mega) == 16 * mega
+    assert whole_file_limit(spark, 10**15) == 128 * mega

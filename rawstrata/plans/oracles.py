@@ -226,6 +226,8 @@ ORACLES = {
                END AS _corrupt_record
         FROM ({as_text("customer")})
     """,
+    "scan_csv_split": f"SELECT *, {NO_CORRUPT} FROM ({as_text('documents')})",
+    "scan_csv_by_line": f"SELECT *, {NO_CORRUPT} FROM ({extract('lineitem', 'l_orderkey')})",
     "load_entity": f"SELECT *, {NO_CORRUPT} FROM ({CUSTOMERS})",
     "record_hash": f"SELECT source_record_id, {hash_of('orders')} FROM ({ORDERS})",
     "record_hash_text": f"""

@@ -27,7 +27,12 @@ from rawstrata.operators import enrich, events, matching, quality, tables
 from rawstrata.operators.matching import DEFAULT_KEYS
 from rawstrata.plans.ingestion import AUDIT_TABLE, BronzeIngestionConfig, ingest_batch
 from rawstrata.session import scratch_path, use_utc
-from rawstrata.sources.delimited import load_entity_data, read_source_csv, resolve_source_path
+from rawstrata.sources.delimited import (
+    SplitLimits,
+    load_entity_data,
+    read_source_csv,
+    resolve_source_path,
+)
 from rawstrata.sources.storage import child
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,6 +235,24 @@ def scan_csv_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source_csv(spark, schema, path)
 
 
+def scan_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, whose texts hold line breaks, with every file read in splits."""
+    documents = as_text(table(spark, sf_dir, "documents"))
+    path = scratch_path(spark, "scan_csv_split")
+    add_extract(documents, path)
+    schema = text_schema(" ".join([*documents.columns, CORRUPT_RECORD]))
+    return read_source_csv(spark, schema, path, split_limits=SplitLimits(0, 0))
+
+
+def scan_csv_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, which hold no line breaks, with every file read in splits."""
+    items = extract(spark, sf_dir, "lineitem", "l_orderkey")
+    path = scratch_path(spark, "scan_csv_by_line")
+    add_extract(items, path)
+    schema = text_schema(" ".join([*items.columns, CORRUPT_RECORD]))
+    return read_source_csv(spark, schema, path, split_limits=SplitLimits(0, 0))
+
+
 def load_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "load_entity")
     customers = customer_entity(spark, sf_dir)
@@ -531,6 +554,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
     "scan_csv_corrupt": scan_csv_corrupt,
+    "scan_csv_split": scan_csv_split,
+    "scan_csv_by_line": scan_csv_by_line,
     "load_entity": load_entity,
     "record_hash": record_hash,
     "record_hash_text": record_hash_text,

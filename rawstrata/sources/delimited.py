@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -11,8 +12,8 @@ from rawstrata.contracts import CORRUPT_RECORD, resolve_entity_schema
 from rawstrata.sources.split_csv import read_in_splits
 from rawstrata.sources.storage import PathLike, child, size_bytes
 
-# Bounds for the size up to which a file is read by one task.
-MIN_WHOLE_FILE_BYTES = 16 * 1024 * 1024
+# Files up to the first size are always one task, files above the second never need be.
+MIN_SPLIT_FILE_BYTES = 16 * 1024 * 1024
 MAX_WHOLE_FILE_BYTES = 128 * 1024 * 1024
 
 # Suffixes of compressed files, which cannot be split by bytes.
@@ -37,33 +38,53 @@ def multi_line_scan(spark: SparkSession, schema: StructType, paths: list[str]) -
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(paths)
 
 
-def whole_file_limit(spark: SparkSession, total_bytes: int) -> int:
-    """Size up to which a file may be one task: a full partition's worth if the files are
-    enough to occupy the cluster, less if they are few."""
-    share = total_bytes // spark.sparkContext.defaultParallelism
-    return min(max(share, MIN_WHOLE_FILE_BYTES), MAX_WHOLE_FILE_BYTES)
+class SplitLimits(NamedTuple):
+    """File sizes above which a file is no longer one task.
+
+    A file whose lines are records is cheap to split, so that starts as soon as there are
+    fewer files than cores; putting records together costs shuffles and starts where one
+    task would have more than a full partition.
+    """
+
+    by_line: int
+    by_record: int
+
+    @classmethod
+    def suited_to(cls, spark: SparkSession, total_bytes: int) -> SplitLimits:
+        share = total_bytes // spark.sparkContext.defaultParallelism
+        by_line = min(max(share, MIN_SPLIT_FILE_BYTES), MAX_WHOLE_FILE_BYTES)
+        return cls(by_line, MAX_WHOLE_FILE_BYTES)
 
 
 def read_source_csv(
-    spark: SparkSession, schema: StructType, path: PathLike, *, whole_file_bytes: int | None = None
+    spark: SparkSession,
+    schema: StructType,
+    path: PathLike,
+    *,
+    split_limits: SplitLimits | None = None,
 ) -> DataFrame:
     """Scan an extract under a declared schema. Columns bind by position; quoted fields may
     hold line breaks; a malformed line is kept whole in the corrupt-record column.
 
-    Files larger than ``whole_file_bytes`` are read in splits, with the same result.
+    Files above the limits are read in splits, with the same result.
     """
     total = size_bytes(spark, path)
-    limit = whole_file_limit(spark, total) if whole_file_bytes is None else whole_file_bytes
-    if total <= limit:
+    limits = split_limits or SplitLimits.suited_to(spark, total)
+    if total <= limits.by_line:
         return multi_line_scan(spark, schema, [str(path)])
     files = spark.read.format("binaryFile").load(str(path)).select("path", "length").collect()
     large = [
-        file.path for file in files if file.length > limit and not file.path.endswith(COMPRESSED)
+        file.path
+        for file in files
+        if file.length > limits.by_line and not file.path.endswith(COMPRESSED)
     ]
     small = sorted({file.path for file in files} - set(large))
     scans = []
     if large:
-        scans.append(read_in_splits(spark, schema, CSV_OPTIONS, large))
+        by_record = limits.by_record
+        scans.append(
+            read_in_splits(spark, schema, CSV_OPTIONS, large, assemble_above=by_record)
+        )
     if small:
         scans.append(multi_line_scan(spark, schema, small))
     return reduce(DataFrame.unionByName, scans)

@@ -89,6 +89,7 @@ def profile(found: DataFrame) -> DataFrame:
         F.min_by(line_break, F.when(F.col("split") == 0, F.col("place"))).alias("line_break"),
         F.max(leaves_open(text)).alias("spans_lines"),
         F.max(has_quote & ~text.rlike(OUT_TO_OUT)).alias("not_by_line"),
+        F.first("file_size").alias("file_size"),
         F.max(raw.contains("\0")).alias("has_nul"),
         F.max(raw.rlike(ONLY_BLANKS)).alias("has_blank_lf"),
         F.max(text.rlike(ONLY_BLANKS)).alias("has_blank_crlf"),
@@ -97,8 +98,9 @@ def profile(found: DataFrame) -> DataFrame:
     )
 
 
-def reading(profiled: DataFrame) -> DataFrame:
-    """Choose how to read each profiled file."""
+def reading(profiled: DataFrame, assemble_above: int) -> DataFrame:
+    """Choose how to read each profiled file. Assembling records costs shuffles, so files
+    of up to ``assemble_above`` bytes that would need it are left to one task instead."""
     is_lf, is_crlf = F.col("line_break") == "lf", F.col("line_break") == "crlf"
     clean_lf = is_lf & ~F.col("has_blank_lf")
     clean_crlf = is_crlf & ~F.col("has_blank_crlf") & (F.col("lone_feeds") == 0)
@@ -108,6 +110,7 @@ def reading(profiled: DataFrame) -> DataFrame:
         F.when(F.col("has_nul") | odd_quotes | odd_breaks, "whole")
         .when(clean_lf & ~F.col("spans_lines"), "lines lf")
         .when(clean_crlf & ~F.col("spans_lines"), "lines crlf")
+        .when(F.col("file_size") <= assemble_above, "whole")
         .when(is_lf, "records lf")
         .otherwise("records crlf")
     )
@@ -121,23 +124,23 @@ def _compose(
     state at the start of the partition.
 
     ``from_out`` and ``from_in`` tell whether a row ends inside when it starts outside or
-    inside. A row sends both states to one, keeps them, or swaps them; the state after it
-    is the last one fixed, swapped as often as rows since then swap it.
+    inside. A row sends both states to one, keeps them, or swaps them; the state before a
+    row is the last one fixed, swapped as often as rows since then swap it.
     """
     ordered = Window.partitionBy(*within).orderBy(by)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    is_swap = F.col(from_out) & ~F.col(from_in)
-    rows = df.withColumn("swaps", F.sum(is_swap.cast("int")).over(so_far))
-    outcome = F.struct(F.col(from_out).cast("int").alias("state"), "swaps")
-    fixed = F.when(F.col(from_out) == F.col(from_in), outcome)
-    rows = rows.withColumn("fixed", F.last(fixed, ignorenulls=True).over(so_far))
-    since = F.col("swaps") - F.coalesce(F.col("fixed.swaps"), F.lit(0))
+    first = Window.unboundedPreceding
+    outside, inside = F.col(from_out), F.col(from_in)
+    swap = (outside & ~inside).cast("int")
+    rows = df.withColumn("swaps", F.sum(swap).over(ordered.rowsBetween(first, 0)))
+    fixed = F.when(outside == inside, F.struct(outside.cast("int").alias("state"), "swaps"))
+    latest = F.last(fixed, ignorenulls=True).over(ordered.rowsBetween(first, -1))
+    rows = rows.withColumn("latest", latest)
+    since = F.col("swaps") - swap - F.coalesce(F.col("latest.swaps"), F.lit(0))
     for start in (0, 1):
-        after = (F.coalesce(F.col("fixed.state"), F.lit(start)) + since) % 2
-        rows = rows.withColumn(f"after_{start}", after)
-        before = F.lag(f"after_{start}", 1, start).over(ordered)
-        rows = rows.withColumn(f"before_{start}", before)
-    return rows.drop("swaps", "fixed")
+        before = (F.coalesce(F.col("latest.state"), F.lit(start)) + since) % 2
+        after = F.when(before == 1, inside).otherwise(outside).cast("int")
+        rows = rows.withColumns({f"before_{start}": before, f"after_{start}": after})
+    return rows.drop("swaps", "latest")
 
 
 def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
@@ -153,9 +156,14 @@ def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
     within = ["file", "split"]
     stated = _compose(flagged, "from_out", "from_in", within, "place")
     so_far = Window.partitionBy(*within).orderBy("place")
-    for start in (0, 1):
-        begins = (F.col(f"before_{start}") == 0) & (line != "")
-        stated = stated.withColumn(f"begun_{start}", F.sum(begins.cast("int")).over(so_far))
+    stated = stated.withColumns(
+        {
+            f"begun_{start}": F.sum(
+                ((F.col(f"before_{start}") == 0) & (line != "")).cast("int")
+            ).over(so_far)
+            for start in (0, 1)
+        }
+    )
 
     splits = stated.groupBy(*within).agg(
         (F.max_by("after_0", "place") == 1).alias("split_from_out"),
@@ -249,11 +257,19 @@ def parse_records(
 
 
 def read_in_splits(
-    spark: SparkSession, schema: StructType, options: dict[str, str], files: list[str]
+    spark: SparkSession,
+    schema: StructType,
+    options: dict[str, str],
+    files: list[str],
+    *,
+    assemble_above: int = 0,
 ) -> DataFrame:
-    """Scan large files with the multi-line reader's results, in splits where possible."""
+    """Scan large files with the multi-line reader's results, in splits where possible.
+
+    The driver sees file names only, as it does for any scan.
+    """
     chosen: dict[str, list[str]] = {}
-    for row in reading(profile(lines(spark, files))).collect():
+    for row in reading(profile(lines(spark, files)), assemble_above).collect():
         chosen.setdefault(row.how, []).append(unquote(row.file))
     whole = chosen.pop("whole", [])
     reader = spark.read.schema(schema).options(**options)

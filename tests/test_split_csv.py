@@ -8,9 +8,9 @@ import pytest
 from rawstrata.contracts import text_schema
 from rawstrata.sources.delimited import (
     CSV_OPTIONS,
+    SplitLimits,
     multi_line_scan,
     read_source_csv,
-    whole_file_limit,
 )
 from rawstrata.sources.split_csv import lines, profile, read_in_splits, reading
 
@@ -59,7 +59,7 @@ def write(folder, texts):
 
 
 def methods(spark, files):
-    return Counter(row.how for row in reading(profile(lines(spark, files))).collect())
+    return Counter(row.how for row in reading(profile(lines(spark, files)), 0).collect())
 
 
 @pytest.mark.parametrize("line_end", ["\n", "\r\n"], ids=["lf", "crlf"])
@@ -67,7 +67,7 @@ def methods(spark, files):
 def test_random_files(spark, tmp_path, small_splits, kind, line_end):
     rng = random.Random(f"{kind}{line_end}")
     texts = []
-    for _ in range(10):
+    for _ in range(6):
         body = "".join(rng.choices(PIECES[kind], k=rng.randint(0, 14)))
         mark = "﻿" if rng.random() < 0.2 else ""
         texts.append(mark + f"h1,h2\n{body}".replace("\r", "").replace("\n", line_end))
@@ -120,7 +120,7 @@ def test_folder_of_large_small_and_compressed_files(spark, tmp_path, small_split
     (folder / "large.csv").write_text('h1,h2\n1,"x\ny"\n' + "2,3\n" * 100)
     (folder / "plain.csv").write_text("h1,h2\n" + "4,5\n" * 100)
     (folder / "small.csv").write_text('h1,h2\n6,"\n"\n')
-    got = content(read_source_csv(spark, SCHEMA, folder, whole_file_bytes=100))
+    got = content(read_source_csv(spark, SCHEMA, folder, split_limits=SplitLimits(100, 100)))
     assert got == content(read_source_csv(spark, SCHEMA, folder))
     assert got[("2", "3", None)] == got[("4", "5", None)] == 100
     assert got[("z", "zipped\ntext", None)] == got[("6", "\n", None)] == 1
@@ -129,14 +129,21 @@ def test_folder_of_large_small_and_compressed_files(spark, tmp_path, small_split
 def test_large_files_are_split(spark, tmp_path, small_splits):
     folder = tmp_path / "extract.csv"
     files = write(folder, ["h1,h2\n" + "1,2\n" * 100])
-    whole = read_source_csv(spark, SCHEMA, folder, whole_file_bytes=1_000)
-    split = read_source_csv(spark, SCHEMA, folder, whole_file_bytes=100)
+    whole = read_source_csv(spark, SCHEMA, folder, split_limits=SplitLimits(1_000, 1_000))
+    split = read_source_csv(spark, SCHEMA, folder, split_limits=SplitLimits(100, 1_000))
     assert whole.rdd.getNumPartitions() == 1
     assert split.rdd.getNumPartitions() > 4
     assert methods(spark, files) == {"lines lf": 1}
 
 
-def test_limit_depends_on_how_many_files_there_are(spark):
+def test_records_are_assembled_in_larger_files_only(spark, tmp_path, small_splits):
+    files = write(tmp_path / "in", ['h1,h2\n1,"x\ny"\n'])
+    profiled = profile(lines(spark, files))
+    assert [row.how for row in reading(profiled, 14).collect()] == ["whole"]
+    assert [row.how for row in reading(profiled, 13).collect()] == ["records lf"]
+
+
+def test_limits_depend_on_how_many_files_there_are(spark):
     mega = 1024 * 1024
-    assert whole_file_limit(spark, 40 * mega) == 16 * mega
-    assert whole_file_limit(spark, 10**15) == 128 * mega
+    assert SplitLimits.suited_to(spark, 40 * mega) == (16 * mega, 128 * mega)
+    assert SplitLimits.suited_to(spark, 10**15) == (128 * mega, 128 * mega)

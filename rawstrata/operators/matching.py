@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rawstrata.contracts import RECORD_HASH, SOURCE_RECORD_ID, SOURCE_SYSTEM
 from rawstrata.functions.predicates import keys_equal
@@ -170,11 +170,10 @@ def reduce_to_one_per_key(
 ) -> DataFrame:
     """Keep the first row of each key in the given order. Opt-in: no write calls it.
 
-    The first row is found as a minimum, which combines before the shuffle; a hot key
-    reaches its reducer as one candidate per task. Columns outside ``order`` break ties.
+    Columns outside ``order`` break ties. Spark keeps one candidate per key and task before
+    it shuffles, so a hot key reaches its reducer as a handful of rows.
     """
     validate_merge_keys(df, keys)
     rest = [name for name in df.columns if name not in keys and name not in order]
-    candidate = F.struct(*order, *rest)
-    first = df.groupBy(*keys).agg(F.min(candidate).alias("first"))
-    return first.select(*keys, "first.*").select(*df.columns)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from rawstrata.operators import matching
 from rawstrata.operators.matching import DEFAULT_KEYS
@@ -30,9 +31,23 @@ class WriteMetrics:
     target_total_row_count: int
 
 
-def read_table(spark: SparkSession, target: PathLike, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Scan a table by path."""
-    return spark.read.format(fmt).load(str(target))
+def read_table(
+    spark: SparkSession,
+    target: PathLike,
+    fmt: str = DEFAULT_FORMAT,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """Scan a table by path. A known schema saves looking into a file for it; Delta tables
+    know theirs."""
+    reader = spark.read.format(fmt)
+    if schema is not None and fmt != "delta":
+        reader = reader.schema(schema)
+    return reader.load(str(target))
+
+
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """A few rows to look at."""
+    return df.limit(rows)
 
 
 def create_table(df: DataFrame, target: PathLike, fmt: str = DEFAULT_FORMAT) -> None:
@@ -90,7 +105,7 @@ def merge_new_records(
         replay_existing_row_count=counts["replay_existing_row_count"],
         inserted_row_count=inserted,
         hash_conflict_count=conflicts,
-        target_total_row_count=read_table(spark, target, fmt).count(),
+        target_total_row_count=read_table(spark, target, fmt, held.schema).count(),
     )
 
 
@@ -110,7 +125,7 @@ def write_bronze_data(
         return merge_new_records(spark, df, target, merge_keys, fmt=fmt)
     matching.validate_merge_keys(df, merge_keys)
     create_table(df, target, fmt)
-    written = read_table(spark, target, fmt).count()
+    written = read_table(spark, target, fmt, df.schema).count()
     return WriteMetrics(0, written, 0, written)
 
 

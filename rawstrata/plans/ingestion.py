@@ -9,9 +9,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from rawstrata.operators.audit import IngestionAuditRecord, append_audit_record
-from rawstrata.operators.enrich import add_metadata_columns
+from rawstrata.operators.enrich import add_metadata_columns, add_short_metadata_columns
 from rawstrata.operators.quality import apply_validation_policy, validate_bronze_data
-from rawstrata.operators.tables import DEFAULT_FORMAT, write_bronze_data
+from rawstrata.operators.tables import (
+    DEFAULT_FORMAT,
+    quoted,
+    sql_text,
+    write_bronze_data,
+    write_named_table,
+)
 from rawstrata.session import sized_shuffles, staged
 from rawstrata.sources import storage
 from rawstrata.sources.delimited import load_entity_data, resolve_source_path
@@ -130,3 +136,29 @@ def ingest_batch(
     """Land entities one after another under one run id; the first failure ends the batch."""
     pipeline_run_id = str(uuid.uuid4())
     return tuple(ingest_entity(spark, config, entity, pipeline_run_id) for entity in entities)
+
+
+def ingest_named_entity(
+    spark: SparkSession,
+    config: BronzeIngestionConfig,
+    entity: str,
+    pipeline_run_id: str,
+    database: str = "bronze",
+) -> DataFrame:
+    """Older flow: land one entity in a catalog table, without validation or audit.
+
+    Uses the older hash and column names and plain key equality. The database is created
+    at the bronze root if it is missing. Returns a scan of the table.
+    """
+    root = sql_text(storage.qualified(spark, config.bronze_root))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION {root}")
+    raw = load_entity_data(spark, config.data_root, config.source_batch_id, entity)
+    enriched = add_short_metadata_columns(
+        raw, config.source_batch_id, pipeline_run_id, config.source_system
+    )
+    table, target = f"{database}.{entity}", config.target_path(entity)
+    paths = (config.source_path(entity), target)
+    with sized_shuffles(spark, sum(storage.size_bytes(spark, path) for path in paths)):
+        with staged(enriched, entity) as extract:
+            write_named_table(spark, extract, table, target, fmt=config.table_format)
+    return spark.table(table)

@@ -166,6 +166,16 @@ CUSTOMERS = in_contract(
     phone="c_acctbal",
     loyalty_status="c_mktsegment",
 )
+ORDER_ENTITY = in_contract(
+    "orders",
+    "order",
+    source_record_id="o_orderkey",
+    order_id="o_orderkey",
+    customer_id="o_custkey",
+    order_timestamp="o_orderdate",
+    order_status="o_orderstatus",
+    order_total_amount="o_totalprice",
+)
 LANDED_CUSTOMERS = f"""
     SELECT *, {json_hash([*SCHEMAS["customer"].names, "_corrupt_record"])},
            'OLTP' AS _source_system, 'B001' AS _source_batch_id
@@ -362,6 +372,14 @@ ORACLES = {
                    error="'ValueError: Found ' || count(*) "
                          "|| ' hash conflicts for entity ''customer'''")}
     """,
+    "ingest_named": f"""
+        SELECT *, {NO_CORRUPT},
+               sha256(concat_ws('||', {", ".join(SCHEMAS["order"].names)})) AS _record_hash,
+               CASE WHEN order_timestamp < '1998-01-01' THEN 'B001' ELSE 'B002' END
+                   AS _batch_id,
+               'run-1' AS _run_id, 'OLTP' AS _source_system
+        FROM ({ORDER_ENTITY})
+    """,
     "event_log": """
         SELECT 'B001' AS batch_id, 'event' AS entity_name,
                CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN'

@@ -25,7 +25,12 @@ from rawstrata.contracts import (
 from rawstrata.functions.hashing import piped_hash
 from rawstrata.operators import enrich, events, matching, quality, tables
 from rawstrata.operators.matching import DEFAULT_KEYS
-from rawstrata.plans.ingestion import AUDIT_TABLE, BronzeIngestionConfig, ingest_batch
+from rawstrata.plans.ingestion import (
+    AUDIT_TABLE,
+    BronzeIngestionConfig,
+    ingest_batch,
+    ingest_named_entity,
+)
 from rawstrata.session import scratch_path, use_utc
 from rawstrata.sources.delimited import (
     SplitLimits,
@@ -521,6 +526,18 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_rows(spark, root)
 
 
+def ingest_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older flow with two batches of orders: those placed before 1998, then all."""
+    root, database = scratch_path(spark, "ingest_named"), fresh_table_name()
+    everything = order_entity(spark, sf_dir)
+    before = everything.filter(F.col("order_timestamp") < LOADED_BEFORE)
+    for batch_id, batch in (("B001", before), ("B002", everything)):
+        config = run_config(root, batch_id)
+        add_extract(batch, config.source_path("order"))
+        landed = ingest_named_entity(spark, config, "order", "run-1", database)
+    return landed.drop("_ingested_timestamp")
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as log entries; sign-ups are below the minimum level, views have a level
     of their own."""
@@ -587,5 +604,6 @@ QUERIES: dict[str, Query] = {
     "ingest_entity": ingest_entity,
     "ingest_batch": ingest_batch_audit,
     "ingest_outcomes": ingest_outcomes,
+    "ingest_named": ingest_named,
     "event_log": event_log,
 }

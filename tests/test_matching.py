@@ -135,3 +135,48 @@ def test_reduction_keeps_the_earliest_row_of_each_key(spark):
     assert sorted(row.note for row in reduced.collect()) == ["early", "null key", "other system"]
     with pytest.raises(ValueError, match="missing"):
         matching.reduce_to_one_per_key(df, keys=("nothing",))
+
+
+def test_reduction_thins_out_hot_keys_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("IF(id % 3 = 0, 'hot', CAST(id AS string)) AS k", "id AS n")
+    reduced = matching.reduce_to_one_per_key(df, ("k",), ("n",))
+    plan = reduced._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan.split("Exchange")[1]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    """Thresholds small enough for test data."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_hot_keys_are_split_between_tasks(spark, tmp_path, eager_skew_handling):
+    hot = "IF(id % 3 = 0, 'hot', CAST(id AS string)) AS source_record_id"
+    df = spark.range(60_000).repartition(8).selectExpr(
+        "'erp' AS _source_system", hot, "sha2(CAST(id AS string), 256) AS _record_hash"
+    )
+    df.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    keys = rows.filter("source_record_id <> 'hot'")
+
+    def final_plan(result):
+        result.write.format("noop").mode("overwrite").save()
+        summed = result.selectExpr("max(_record_hash)")
+        summed.collect()
+        return summed._jdf.queryExecution().executedPlan().toString()
+
+    assert "SortMergeJoin(skew=true)" in final_plan(matching.target_hits(rows, rows, KEYS))
+    assert "SortMergeJoin(skew=true)" in final_plan(matching.new_rows(rows, keys, KEYS))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from rawstrata.contracts import CORRUPT_RECORD, resolve_entity_schema
@@ -72,19 +72,18 @@ def read_source_csv(
     limits = split_limits or SplitLimits.suited_to(spark, total)
     if total <= limits.by_line:
         return multi_line_scan(spark, schema, [str(path)])
-    files = spark.read.format("binaryFile").load(str(path)).select("path", "length").collect()
-    large = [
-        file.path
-        for file in files
-        if file.length > limits.by_line and not file.path.endswith(COMPRESSED)
+    files = spark.read.format("binaryFile").load(str(path)).select("path", "length")
+    splittable = F.lit(True)
+    for suffix in COMPRESSED:
+        splittable &= ~F.col("path").endswith(suffix)
+    is_large = (F.col("length") > limits.by_line) & splittable
+    large = sorted(row.path for row in files.filter(is_large).collect())
+    if not large:
+        return multi_line_scan(spark, schema, [str(path)])
+    scans = [
+        read_in_splits(spark, schema, CSV_OPTIONS, large, assemble_above=limits.by_record)
     ]
-    small = sorted({file.path for file in files} - set(large))
-    scans = []
-    if large:
-        by_record = limits.by_record
-        scans.append(
-            read_in_splits(spark, schema, CSV_OPTIONS, large, assemble_above=by_record)
-        )
+    small = sorted(row.path for row in files.filter(~is_large).collect())
     if small:
         scans.append(multi_line_scan(spark, schema, small))
     return reduce(DataFrame.unionByName, scans)

@@ -146,20 +146,31 @@ def _compose(
 def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
     """Lines with the parser's state around each, and the number of the record they are in.
 
-    Adds ``line``, ``inside`` and ``ends_inside`` (the states), ``number`` (records begun in
-    the file so far), and about the file ``in_file`` (its records), ``never_closed`` (its
-    last quote) and ``final_break`` (whether it ends with a line break).
+    Adds ``line``, whether it ``has_text`` and lacks a carriage return (``is_lone``),
+    ``inside`` and ``ends_inside`` (the states), ``covered`` (whether the rules cover the
+    line in its state), ``number`` (records begun in the file so far), and about the file
+    ``in_file`` (its records), ``never_closed`` (its last quote) and ``final_break``
+    (whether it ends with a line break).
     """
     line = F.col("line")
+    has_quote = line.contains('"')
     flagged = found.withColumn("line", without_return(F.col("raw")) if crlf else F.col("raw"))
     flagged = flagged.withColumns({"from_out": leaves_open(line), "from_in": keeps_open(line)})
+    flagged = flagged.withColumns(
+        {
+            "has_text": line != "",
+            "is_lone": ~F.col("raw").endswith("\r"),
+            "covered_0": ~has_quote | F.col("from_out") | line.rlike(OUT_TO_OUT),
+            "covered_1": ~has_quote | F.col("from_in") | line.rlike(IN_TO_OUT),
+        }
+    )
     within = ["file", "split"]
     stated = _compose(flagged, "from_out", "from_in", within, "place")
     so_far = Window.partitionBy(*within).orderBy("place")
     stated = stated.withColumns(
         {
             f"begun_{start}": F.sum(
-                ((F.col(f"before_{start}") == 0) & (line != "")).cast("int")
+                ((F.col(f"before_{start}") == 0) & F.col("has_text")).cast("int")
             ).over(so_far)
             for start in (0, 1)
         }
@@ -195,6 +206,9 @@ def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
     return stated.join(splits, within).select(
         *found.columns,
         "line",
+        "has_text",
+        "is_lone",
+        chosen("covered").alias("covered"),
         (chosen("before") == 1).alias("inside"),
         (chosen("after") == 1).alias("ends_inside"),
         (F.col("earlier") + chosen("begun")).alias("number"),
@@ -208,16 +222,13 @@ def covered_files(stated: DataFrame, *, crlf: bool) -> DataFrame:
     """Files in which the rules cover every line in the state it starts in. By induction
     over the lines, the states are then the parser's.
 
-    Where lines end in CRLF, a line feed alone is covered inside quotes only.
+    Where lines end in CRLF, a line feed alone is covered inside quotes only. The texts
+    themselves are not needed, so they are not shuffled.
     """
-    line = F.col("line")
-    from_out = line.rlike(OUT_TO_OUT) | line.rlike(OUT_TO_IN)
-    from_in = line.rlike(IN_TO_OUT) | line.rlike(IN_TO_IN)
-    covered = ~line.contains('"') | F.when(F.col("inside"), from_in).otherwise(from_out)
-    lone_feed = ~F.col("raw").endswith("\r") & ~F.col("ends_inside")
+    lone_feed = F.col("is_lone") & ~F.col("ends_inside")
     unterminated = (~F.first("final_break") & ~F.first("never_closed")).cast("int")
     checks = stated.groupBy("file").agg(
-        F.min(covered).alias("quotes"),
+        F.min("covered").alias("quotes"),
         (F.count_if(lone_feed) == unterminated).alias("breaks"),
     )
     return checks.filter("quotes AND breaks" if crlf else "quotes").select("file")
@@ -226,7 +237,7 @@ def covered_files(stated: DataFrame, *, crlf: bool) -> DataFrame:
 def records(stated: DataFrame) -> DataFrame:
     """Put records together from lines: the text to parse, and the raw text. The first
     record of a file is its header and is left out."""
-    pieces = stated.filter(((F.col("line") != "") | F.col("inside")) & (F.col("number") > 1))
+    pieces = stated.filter("(has_text OR inside) AND number > 1")
     joined = pieces.groupBy("file", "number").agg(
         F.array_sort(F.collect_list(F.struct("split", "place", "line", "raw"))).alias("pieces"),
         F.max(F.col("number") == F.col("in_file")).alias("is_last"),

@@ -95,6 +95,9 @@ def profile(found: DataFrame) -> DataFrame:
         F.max(text.rlike(ONLY_BLANKS)).alias("has_blank_crlf"),
         F.max(text.contains("\r")).alias("has_inner_return"),
         (F.count_if(~raw.endswith("\r")) - (~ends_with_break(raw)).cast("int")).alias("lone_feeds"),
+        (
+            ~ends_with_break(raw) & F.max_by(raw.endswith("\r"), F.struct("split", "place"))
+        ).alias("ends_with_return"),
     )
 
 
@@ -105,7 +108,8 @@ def reading(profiled: DataFrame, assemble_above: int) -> DataFrame:
     clean_lf = is_lf & ~F.col("has_blank_lf")
     clean_crlf = is_crlf & ~F.col("has_blank_crlf") & (F.col("lone_feeds") == 0)
     odd_quotes = F.col("not_by_line") & ~F.col("spans_lines")
-    odd_breaks = ~is_lf & ~(is_crlf & ~F.col("has_inner_return"))
+    odd_returns = F.col("has_inner_return") | F.col("ends_with_return")
+    odd_breaks = ~is_lf & ~(is_crlf & ~odd_returns)
     how = (
         F.when(F.col("has_nul") | odd_quotes | odd_breaks, "whole")
         .when(clean_lf & ~F.col("spans_lines"), "lines lf")
@@ -146,20 +150,19 @@ def _compose(
 def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
     """Lines with the parser's state around each, and the number of the record they are in.
 
-    Adds ``line``, whether it ``has_text`` and lacks a carriage return (``is_lone``),
-    ``inside`` and ``ends_inside`` (the states), ``covered`` (whether the rules cover the
+    Adds whether a line ``has_text`` and lacks a carriage return (``is_lone``), ``inside`` and ``ends_inside`` (the states), ``covered`` (whether the rules cover the
     line in its state), ``number`` (records begun in the file so far), and about the file
     ``in_file`` (its records), ``never_closed`` (its last quote) and ``final_break``
     (whether it ends with a line break).
     """
-    line = F.col("line")
-    has_quote = line.contains('"')
-    flagged = found.withColumn("line", without_return(F.col("raw")) if crlf else F.col("raw"))
-    flagged = flagged.withColumns({"from_out": leaves_open(line), "from_in": keeps_open(line)})
+    line = without_return(F.col("raw")) if crlf else F.col("raw")
+    has_quote = F.col("raw").contains('"')
+    flagged = found.withColumns({"from_out": leaves_open(line), "from_in": keeps_open(line)})
     flagged = flagged.withColumns(
         {
             "has_text": line != "",
             "is_lone": ~F.col("raw").endswith("\r"),
+            "bytes": F.octet_length("raw") + 1,
             "covered_0": ~has_quote | F.col("from_out") | line.rlike(OUT_TO_OUT),
             "covered_1": ~has_quote | F.col("from_in") | line.rlike(IN_TO_OUT),
         }
@@ -181,7 +184,7 @@ def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
         (F.max_by("after_1", "place") == 1).alias("split_from_in"),
         F.max("begun_0").alias("records_0"),
         F.max("begun_1").alias("records_1"),
-        F.sum(F.octet_length("raw") + 1).alias("bytes"),
+        F.sum("bytes").alias("bytes"),
         F.first("file_size").alias("file_size"),
     )
     splits = _compose(splits, "split_from_out", "split_from_in", ["file"], "split")
@@ -205,7 +208,6 @@ def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
 
     return stated.join(splits, within).select(
         *found.columns,
-        "line",
         "has_text",
         "is_lone",
         chosen("covered").alias("covered"),
@@ -234,22 +236,21 @@ def covered_files(stated: DataFrame, *, crlf: bool) -> DataFrame:
     return checks.filter("quotes AND breaks" if crlf else "quotes").select("file")
 
 
-def records(stated: DataFrame) -> DataFrame:
+def records(stated: DataFrame, *, crlf: bool) -> DataFrame:
     """Put records together from lines: the text to parse, and the raw text. The first
     record of a file is its header and is left out."""
     pieces = stated.filter("(has_text OR inside) AND number > 1")
     joined = pieces.groupBy("file", "number").agg(
-        F.array_sort(F.collect_list(F.struct("split", "place", "line", "raw"))).alias("pieces"),
+        F.array_sort(F.collect_list(F.struct("split", "place", "raw"))).alias("pieces"),
         F.max(F.col("number") == F.col("in_file")).alias("is_last"),
         F.first("never_closed").alias("never_closed"),
         F.first("final_break").alias("final_break"),
     )
+    raw = F.concat_ws("\n", "pieces.raw")
+    text = F.regexp_replace(raw, r"\r(\n|\z)", "$1") if crlf else raw
     takes_break = F.col("is_last") & F.col("never_closed") & F.col("final_break")
     tail = F.when(takes_break, "\n").otherwise("")
-    return joined.select(
-        F.concat(F.concat_ws("\n", "pieces.line"), tail).alias("text"),
-        F.concat_ws("\n", "pieces.raw").alias("raw"),
-    )
+    return joined.select(F.concat(text, tail).alias("text"), raw.alias("raw"))
 
 
 def parse_records(
@@ -297,7 +298,7 @@ def read_in_splits(
         whole += set(paths) - set(usable)
         if usable:
             stated = with_states(lines(spark, usable), crlf=crlf)
-            scans.append(parse_records(records(stated), schema, options))
+            scans.append(parse_records(records(stated, crlf=crlf), schema, options))
     if whole:
         multi_line = spark.read.schema(schema).options(**options, multiLine=True)
         scans.append(multi_line.csv(sorted(whole)))

@@ -67,8 +67,8 @@ def methods(spark, files):
 def test_random_files(spark, tmp_path, small_splits, kind, line_end):
     rng = random.Random(f"{kind}{line_end}")
     texts = []
-    for _ in range(6):
-        body = "".join(rng.choices(PIECES[kind], k=rng.randint(0, 14)))
+    for _ in range(4):
+        body = "".join(rng.choices(PIECES[kind], k=rng.randint(4, 16)))
         mark = "﻿" if rng.random() < 0.2 else ""
         texts.append(mark + f"h1,h2\n{body}".replace("\r", "").replace("\n", line_end))
         if kind == "returns":
@@ -94,6 +94,8 @@ def test_random_files(spark, tmp_path, small_splits, kind, line_end):
         ('h1,h2\n1,"x" \n', "whole"),
         ('h1,h2\n1,"x"\\\n', "whole"),
         ("h1,h2\r1,2\r", "whole"),
+        ("h1,h2\r\n1,2\r", "whole"),
+        ('h1,h2\r\n1,"x\n"\r\n\n\r', "whole"),
         ("h1,h2\n1,\0\n", "whole"),
     ],
 )

@@ -163,8 +163,8 @@ def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
             "has_text": line != "",
             "is_lone": ~F.col("raw").endswith("\r"),
             "bytes": F.octet_length("raw") + 1,
-            "covered_0": ~has_quote | F.col("from_out") | line.rlike(OUT_TO_OUT),
-            "covered_1": ~has_quote | F.col("from_in") | line.rlike(IN_TO_OUT),
+            "covered_out": ~has_quote | F.col("from_out") | line.rlike(OUT_TO_OUT),
+            "covered_in": ~has_quote | F.col("from_in") | line.rlike(IN_TO_OUT),
         }
     )
     within = ["file", "split"]
@@ -206,12 +206,13 @@ def with_states(found: DataFrame, *, crlf: bool) -> DataFrame:
         one, zero = F.col(f"{name}_1"), F.col(f"{name}_0")
         return F.when(F.col("starts_inside"), one).otherwise(zero)
 
+    inside = chosen("before") == 1
     return stated.join(splits, within).select(
         *found.columns,
         "has_text",
         "is_lone",
-        chosen("covered").alias("covered"),
-        (chosen("before") == 1).alias("inside"),
+        F.when(inside, F.col("covered_in")).otherwise(F.col("covered_out")).alias("covered"),
+        inside.alias("inside"),
         (chosen("after") == 1).alias("ends_inside"),
         (F.col("earlier") + chosen("begun")).alias("number"),
         "in_file",

@@ -93,6 +93,7 @@ def test_random_files(spark, tmp_path, small_splits, kind, line_end):
         ('h1,h2\r\n1,"never closed\r\n2,3\r\n', "records crlf"),
         ('h1,h2\n1,"x" \n', "whole"),
         ('h1,h2\n1,"x"\\\n', "whole"),
+        ('h1,h2\n"\n\\ " b"\n', "records lf"),
         ("h1,h2\r1,2\r", "whole"),
         ("h1,h2\r\n1,2\r", "whole"),
         ('h1,h2\r\n1,"x\n"\r\n\n\r', "whole"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rawstrata.session import scratch_path
 from rawstrata.sources import storage
@@ -37,3 +37,33 @@ class Workspace:
             path = self._paths.pop(id(frame), None)
             if path:
                 storage.delete(self.spark, path)
+
+
+FOLDS = 5
+
+
+def fold(id_col: str) -> Column:
+    """0 for held-out documents, 1 to 4 for those whose labels may be learned."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS, F.lit(1))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, *, label: str, id_col: str, text_col: str, most: int
+) -> DataFrame:
+    """(doc_id, fold, text, label): whole texts of at most ``most`` labelled documents that are
+    not held out, chosen by a hash of the id. Contradicting labels of one id count by majority,
+    a draw as 1."""
+    chosen = (
+        labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("double").alias("label"))
+        .dropna()
+        .filter(fold("doc_id") != 0)
+        .groupBy("doc_id")
+        .agg((F.avg("label") >= 0.5).cast("double").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(most)
+    )
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # Bound: ``most`` rows of 16 bytes.
+    return texts.join(F.broadcast(chosen), "doc_id").select(
+        "doc_id", fold("doc_id").alias("fold"), "text", "label"
+    )

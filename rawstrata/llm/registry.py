@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from rawstrata.llm.op3_exact_top_k import SQL as TOP_K_SQL, op3_exact_top_k
+from rawstrata.llm.op5_toxicity import op5_toxicity
+from rawstrata.llm.op6_quality_classifier import op6_quality_classifier
+from rawstrata.llm.op7_sentencepiece import op7_sentencepiece
 from rawstrata.llm.op8_quality_rules import SQL as QUALITY_RULES_SQL, op8_quality_rules
 from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filters
 
 QUERIES = {
     "op3_exact_top_k": op3_exact_top_k,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_filters": op10_url_filters,
 }

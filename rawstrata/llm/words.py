@@ -13,14 +13,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20  # of text handled at once; one longer text is a slice of its own
 HASH_BLOCK = 1 << 20  # bytes hashed at once
 
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -59,7 +60,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     if not len(texts):
         return
     sizes = np.cumsum(
-        np.asarray(pa.compute.binary_length(texts).fill_null(0), dtype=np.int64)
+        np.asarray(pc.binary_length(texts).fill_null(0), dtype=np.int64)
     )
     start = 0
     while start < len(texts):
@@ -85,11 +86,14 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def split_words(texts: pa.Array, *, lower: bool = False) -> Words:
+def split_words(
+    texts: pa.Array, *, lower: bool = False, blank: np.ndarray = BLANK, as_bytes: np.ndarray = LOWER
+) -> Words:
+    """Runs of bytes that are not blank; ``lower`` maps the bytes by a table first."""
     data, offsets = raw_bytes(texts)
     if lower:
-        data = _LOWER[data]
-    inside = ~_BLANK[data]
+        data = as_bytes[data]
+    inside = ~blank[data]
     edge = np.zeros(len(data) + 1, dtype=bool)  # a text begins here
     edge[offsets] = True
     before = np.empty_like(inside)
@@ -103,15 +107,18 @@ def split_words(texts: pa.Array, *, lower: bool = False) -> Words:
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets, "left"))
 
 
-def hash_words(words: Words) -> np.ndarray:
-    """A 64-bit hash of every word: a polynomial in its bytes, then mixed with its length."""
-    out = np.empty(len(words.starts), dtype=np.uint64)
+def hash_words(words: Words, limits: tuple[int, ...] = ()) -> np.ndarray | list[np.ndarray]:
+    """A 64-bit hash of every word: a polynomial in its bytes, then mixed with its length.
+
+    With ``limits`` a list of hashes, of the words' first so many bytes each.
+    """
+    out = [np.empty(len(words.starts), dtype=np.uint64) for _ in limits or (0,)]
     at = 0
-    while at < len(out):
+    while at < len(words.starts):
         origin = int(words.starts[at])
         stop = max(at + 1, int(np.searchsorted(words.ends, origin + HASH_BLOCK, "right")))
-        starts, ends = words.starts[at:stop] - origin, words.ends[at:stop] - origin
-        length = int(ends[-1])
+        starts, whole = words.starts[at:stop] - origin, words.ends[at:stop] - origin
+        length = int(whole[-1])
         up, down = _powers(max(HASH_BLOCK, length))
         sums = np.zeros(length + 1, dtype=np.uint64)
         np.cumsum(
@@ -119,12 +126,14 @@ def hash_words(words: Words) -> np.ndarray:
             * up[:length],
             out=sums[1:],
         )
-        out[at:stop] = mix(
-            (sums[ends] - sums[starts]) * down[starts]
-            + (ends - starts).astype(np.uint64)
-        )
+        for held, limit in zip(out, limits or (None,), strict=True):
+            ends = whole if limit is None else np.minimum(whole, starts + limit)
+            held[at:stop] = mix(
+                (sums[ends] - sums[starts]) * down[starts]
+                + (ends - starts).astype(np.uint64)
+            )
         at = stop
-    return out
+    return out if limits else out[0]
 
 
 def hash_shingles(hashes: np.ndarray, size: int) -> np.ndarray:

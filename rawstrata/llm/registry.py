@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rawstrata.llm.op3_exact_top_k import SQL as TOP_K_SQL, op3_exact_top_k
+from rawstrata.llm.op4_near_dedup import SQL as NEAR_DEDUP_SQL, op4_near_dedup
 from rawstrata.llm.op5_toxicity import op5_toxicity
 from rawstrata.llm.op6_quality_classifier import op6_quality_classifier
 from rawstrata.llm.op7_sentencepiece import op7_sentencepiece
@@ -11,6 +12,7 @@ from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filt
 
 QUERIES = {
     "op3_exact_top_k": op3_exact_top_k,
+    "op4_near_dedup": op4_near_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_sentencepiece": op7_sentencepiece,
@@ -20,6 +22,7 @@ QUERIES = {
 
 SQL = {
     "op3_exact_top_k": TOP_K_SQL,
+    "op4_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_RULES_SQL,
     "op10_url_filters": URL_FILTERS_SQL,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rawstrata.llm.op2_substring_dedup import op2_substring_dedup
 from rawstrata.llm.op3_exact_top_k import SQL as TOP_K_SQL, op3_exact_top_k
 from rawstrata.llm.op4_near_dedup import SQL as NEAR_DEDUP_SQL, op4_near_dedup
 from rawstrata.llm.op5_toxicity import op5_toxicity
@@ -11,6 +12,7 @@ from rawstrata.llm.op8_quality_rules import SQL as QUALITY_RULES_SQL, op8_qualit
 from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filters
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_near_dedup": op4_near_dedup,
     "op5_toxicity": op5_toxicity,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rawstrata.llm.op1_mixing import op1_mixing
 from rawstrata.llm.op2_substring_dedup import op2_substring_dedup
 from rawstrata.llm.op3_exact_top_k import SQL as TOP_K_SQL, op3_exact_top_k
 from rawstrata.llm.op4_near_dedup import SQL as NEAR_DEDUP_SQL, op4_near_dedup
@@ -9,9 +10,11 @@ from rawstrata.llm.op5_toxicity import op5_toxicity
 from rawstrata.llm.op6_quality_classifier import op6_quality_classifier
 from rawstrata.llm.op7_sentencepiece import op7_sentencepiece
 from rawstrata.llm.op8_quality_rules import SQL as QUALITY_RULES_SQL, op8_quality_rules
+from rawstrata.llm.op9_secret_scan import op9_secret_scan
 from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filters
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_near_dedup": op4_near_dedup,
@@ -19,6 +22,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
     "op10_url_filters": op10_url_filters,
 }
 

@@ -1 +1,102 @@
-"""Placeholder until the stages are written."""
+"""The corpus pipeline: five stages from raw documents to token ids.
+
+Each stage takes (spark, docs, sf_dir), docs being what its predecessor kept, and returns
+a DataFrame that ``run`` writes as Parquet and rereads for the next one:
+
+1. quality classifier: documents it rejects go;
+2. near-duplicates (five words, similarity 0.8): one document of each group stays;
+3. secret scan: secrets are replaced in the texts, documents stay;
+4. mixing: documents are repeated so that the languages' words match the target weights; every
+   document stays at least once;
+5. SentencePiece: texts become ids.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from rawstrata.llm import (
+    op1_mixing,
+    op4_near_dedup,
+    op6_quality_classifier,
+    op7_sentencepiece,
+    op9_secret_scan,
+)
+from rawstrata.llm.common import Workspace, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the classifier's threshold. One pass scores and carries
+    whole rows, so nothing is joined back."""
+    model = op6_quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return op6_quality_classifier.keep(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of the document with the smallest id of each group. Rows without an id cannot be
+    told apart by one, so they stay unless their set of shingles belongs to a row with an id."""
+    work = Workspace(spark, "pipeline_near_duplicates")
+    found = work.write(op4_near_dedup.near_duplicates(docs).filter("kept"), "kept")
+    named = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    kept = named.join(found.select("doc_id").dropna().distinct(), "doc_id", "left_semi")
+    return kept.select(*docs.columns).unionByName(_kept_without_id(docs, found))
+
+
+def _kept_without_id(docs: DataFrame, found: DataFrame) -> DataFrame:
+    rows = docs.filter("doc_id IS NULL")
+    if rows.isEmpty() or found.filter("doc_id IS NULL").isEmpty():
+        return rows.limit(0)
+    return rows.dropDuplicates(["text"])
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op9_secret_scan.redact(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A rate of 2.3 gives a document two rows and, with a chance of 0.3 decided by a hash of
+    its id, a third one. No rate is below 1."""
+    labels = table(spark, sf_dir, "labels")
+    rates = op1_mixing.mix(
+        docs, op1_mixing.labelled_languages(docs, labels), least_rate=1.0, no_less=True
+    )
+    rates = rates.groupBy(F.col("doc_id").alias("of")).agg(F.max("rate").alias("rate"))
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 20)) / float(1 << 20)
+    rate = F.coalesce("rate", F.lit(1.0))
+    copies = F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
+    return (
+        docs.join(rates, docs.doc_id == F.col("of"), "left")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+        .select(*docs.columns)
+    )
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op7_sentencepiece.encode(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality),
+    ("near_dedup", near_duplicates),
+    ("secret_scan", secrets),
+    ("mixing", mixing),
+    ("sentencepiece", sentencepiece),
+]
+
+#: The classifiers and the segmentation are not expressible in SQL; tests use brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written to the shared folder and read again."""
+    work = Workspace(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        held = work.write(stage(spark, docs, sf_dir), name)
+        work.drop(docs)
+        docs = held
+    return docs

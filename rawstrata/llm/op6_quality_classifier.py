@@ -272,6 +272,20 @@ def score(
     ).mapInArrow(run, "doc_id long, score double, n_passages long, top_passage long")
 
 
+def keep(
+    docs: DataFrame, model: AttentionModel, *, text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """The rows whose text scores at least the threshold, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in slices(batch[text_col]):
+                scores, _ = model.score(*passages(texts))
+                yield batch.slice(start, len(texts)).filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels"))

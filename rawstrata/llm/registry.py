@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import run as pipeline
 from rawstrata.llm.op1_mixing import op1_mixing
 from rawstrata.llm.op2_substring_dedup import op2_substring_dedup
 from rawstrata.llm.op3_exact_top_k import SQL as TOP_K_SQL, op3_exact_top_k
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_url_filters": op10_url_filters,
+    "pipeline": pipeline,
 }
 
 SQL = {

@@ -65,13 +65,14 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         docs, op1_mixing.labelled_languages(docs, labels), least_rate=1.0, no_less=True
     )
     rates = rates.groupBy(F.col("doc_id").alias("of")).agg(F.max("rate").alias("rate"))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 20)) / float(1 << 20)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"))
+    chance = F.pmod(F.xxhash64("row_id", F.lit("mixing")), F.lit(1 << 20)) / float(1 << 20)
     rate = F.coalesce("rate", F.lit(1.0))
     copies = F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
     return (
-        docs.join(rates, docs.doc_id == F.col("of"), "left")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-        .select(*docs.columns)
+        rows.join(rates, F.col("row_id") == F.col("of"), "left")
+        .select("row", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+        .select("row.*")
     )
 
 

@@ -186,16 +186,16 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
         .groupBy(F.col("doc_id").alias("of"))
         .agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("found"))
     )
-    joined = docs.join(secrets, docs.doc_id == F.col("of"), "left")
-    cleaned = F.aggregate(
-        F.col("found.value"), F.col("text"), lambda t, v: F.replace(t, v, F.lit(mark))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"))
+    joined = rows.join(secrets, F.col("row_id") == F.col("of"), "left")
+    text = F.when(F.col("found").isNull(), F.col("row.text")).otherwise(
+        F.aggregate(F.col("found.value"), F.col("row.text"), lambda t, v: F.replace(t, v, F.lit(mark)))
     )
-    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(cleaned)
-    replaced = joined.withColumn("text", text)
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        size = F.when(F.col("found").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        replaced = replaced.withColumn("n_chars", size.cast(dict(docs.dtypes)["n_chars"]))
-    return replaced.select(*docs.columns)
+        size = F.when(F.col("found").isNull(), F.col("row.n_chars")).otherwise(F.length(text))
+        changed["n_chars"] = size.cast(dict(docs.dtypes)["n_chars"])
+    return joined.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
 from corpus_pipeline import run as pipeline
 from rawstrata.llm.op1_mixing import op1_mixing
 from rawstrata.llm.op2_substring_dedup import op2_substring_dedup
@@ -14,6 +21,24 @@ from rawstrata.llm.op8_quality_rules import SQL as QUALITY_RULES_SQL, op8_qualit
 from rawstrata.llm.op9_secret_scan import op9_secret_scan
 from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filters
 
+Query = Callable[[SparkSession, str], DataFrame]
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(query: Query) -> Query:
+    """Let Python workers find this package where the session's own path does not name it."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        held = spark.sparkContext.environment
+        paths = held.get("PYTHONPATH", "").split(os.pathsep)
+        if ROOT not in paths:
+            held["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -27,6 +52,7 @@ QUERIES = {
     "op10_url_filters": op10_url_filters,
     "pipeline": pipeline,
 }
+QUERIES = {name: importable(query) for name, query in QUERIES.items()}
 
 SQL = {
     "op3_exact_top_k": TOP_K_SQL,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,7 +14,6 @@ from rawstrata.sources import storage
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -25,15 +25,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; on a cluster a
-    temporary folder would be private to one machine, so there the setting is required.
+    A local session without that setting gets a temporary folder. On a cluster, one of several
+    processes on one machine included, such a folder would be private to the driver, so there
+    the setting is required; that the folder it names is shared is the cluster's word.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rawstrata-"))
     return context.getCheckpointDir()
@@ -66,7 +67,7 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Raise the shuffle partition count to suit the input; adaptive execution merges
     what turns out small. The session's own setting is the minimum and comes back after."""
     configured = spark.conf.get(SHUFFLE_PARTITIONS)
-    wanted = min(input_bytes // BYTES_PER_SHUFFLE_PARTITION + 1, MAX_SHUFFLE_PARTITIONS)
+    wanted = input_bytes // BYTES_PER_SHUFFLE_PARTITION + 1
     if wanted <= int(configured):
         yield
         return

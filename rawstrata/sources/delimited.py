@@ -5,15 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from rawstrata.contracts import CORRUPT_RECORD, resolve_entity_schema
 from rawstrata.sources.split_csv import read_in_splits
-from rawstrata.sources.storage import PathLike, child, size_bytes
+from rawstrata.sources.storage import PathLike, child, data_files, exists, literal
 
-# Files up to the first size are always one task, files above the second never need be.
-MIN_SPLIT_FILE_BYTES = 16 * 1024 * 1024
+# A file up to this size is one task. The choice of reader never changes the rows.
 MAX_WHOLE_FILE_BYTES = 128 * 1024 * 1024
 
 # Suffixes of compressed files, which cannot be split by bytes.
@@ -39,21 +38,11 @@ def multi_line_scan(spark: SparkSession, schema: StructType, paths: list[str]) -
 
 
 class SplitLimits(NamedTuple):
-    """File sizes above which a file is no longer one task.
+    """File sizes above which a file is no longer one task: where its lines are records, and
+    where records have to be put together from lines."""
 
-    A file whose lines are records is cheap to split, so that starts as soon as there are
-    fewer files than cores; putting records together costs shuffles and starts where one
-    task would have more than a full partition.
-    """
-
-    by_line: int
-    by_record: int
-
-    @classmethod
-    def suited_to(cls, spark: SparkSession, total_bytes: int) -> SplitLimits:
-        share = total_bytes // spark.sparkContext.defaultParallelism
-        by_line = min(max(share, MIN_SPLIT_FILE_BYTES), MAX_WHOLE_FILE_BYTES)
-        return cls(by_line, MAX_WHOLE_FILE_BYTES)
+    by_line: int = MAX_WHOLE_FILE_BYTES
+    by_record: int = MAX_WHOLE_FILE_BYTES
 
 
 def read_source_csv(
@@ -61,31 +50,31 @@ def read_source_csv(
     schema: StructType,
     path: PathLike,
     *,
-    split_limits: SplitLimits | None = None,
+    split_limits: SplitLimits = SplitLimits(),
 ) -> DataFrame:
     """Scan an extract under a declared schema. Columns bind by position; quoted fields may
     hold line breaks; a malformed line is kept whole in the corrupt-record column.
 
-    Files above the limits are read in splits, with the same result.
+    The extract is a file, a folder or a pattern. Its files are listed once and named one by
+    one to whichever reader takes them, so names are never patterns and folder names never
+    become columns. Files above the limits are read in splits, with the same result.
     """
-    total = size_bytes(spark, path)
-    limits = split_limits or SplitLimits.suited_to(spark, total)
-    if total <= limits.by_line:
-        return multi_line_scan(spark, schema, [str(path)])
-    files = spark.read.format("binaryFile").load(str(path)).select("path", "length")
-    splittable = F.lit(True)
-    for suffix in COMPRESSED:
-        splittable &= ~F.col("path").endswith(suffix)
-    is_large = (F.col("length") > limits.by_line) & splittable
-    large = sorted(row.path for row in files.filter(is_large).collect())
-    if not large:
-        return multi_line_scan(spark, schema, [str(path)])
-    scans = [
-        read_in_splits(spark, schema, CSV_OPTIONS, large, assemble_above=limits.by_record)
+    files = data_files(spark, path)
+    if not files:
+        if exists(spark, path):
+            return spark.createDataFrame([], schema)
+        return multi_line_scan(spark, schema, [literal(path)])  # fails, naming the path
+    large = [
+        name for name, size in files if size > split_limits.by_line and not name.endswith(COMPRESSED)
     ]
-    small = sorted(row.path for row in files.filter(~is_large).collect())
+    small = sorted({name for name, _ in files} - set(large))
+    scans = []
+    if large:
+        scans.append(
+            read_in_splits(spark, schema, CSV_OPTIONS, large, assemble_above=split_limits.by_record)
+        )
     if small:
-        scans.append(multi_line_scan(spark, schema, small))
+        scans.append(multi_line_scan(spark, schema, [literal(name) for name in small]))
     return reduce(DataFrame.unionByName, scans)
 
 

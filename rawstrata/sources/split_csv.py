@@ -22,11 +22,14 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from rawstrata.sources.storage import literal
+
 # How a line reads for the parser, with comma, double quote and backslash. Text may follow
-# the quote that closes a field, up to the comma, as in "a ""b"" c"; text with a backslash,
-# or a blank right after the quote, is left to the multi-line reader.
+# the quote that closes a field, up to the comma, as in "a ""b"" c"; text with a backslash, or
+# with a character up to the blank right after the quote, which the parser skips, is left to
+# the multi-line reader.
 _QUOTED = r'(?:[^"\\]++|\\.)*+'
-_CLOSED = r'"++(?:[^",\s\\][^,\\]*+)?+'
+_CLOSED = r'"++(?:[^",\x00-\x20\\][^,\\]*+)?+'
 _FIELD = rf'(?:"{_QUOTED}{_CLOSED}|[^",][^,]*+)?+'
 _FIELDS = rf"(?:{_FIELD},)*+"
 _OPEN_END = rf"{_QUOTED}\\?+\z"
@@ -40,7 +43,7 @@ ONLY_BLANKS = r"\A[\x00-\x20]+\z"
 def lines(spark: SparkSession, files: list[str]) -> DataFrame:
     """Lines of files with their file, split and place. A carriage return stays."""
     meta = F.col("_metadata")
-    return spark.read.option("lineSep", "\n").text(files).select(
+    return spark.read.option("lineSep", "\n").text([literal(file) for file in files]).select(
         meta["file_path"].alias("file"),
         meta["file_size"].alias("file_size"),
         meta["file_block_start"].alias("split"),
@@ -291,7 +294,7 @@ def read_in_splits(
         crlf = how.endswith("crlf")
         if how.startswith("lines"):
             by_line = reader if crlf else reader.option("lineSep", "\n")
-            scans.append(by_line.csv(paths))
+            scans.append(by_line.csv([literal(path) for path in paths]))
             continue
         stated = with_states(lines(spark, paths), crlf=crlf)
         covered = covered_files(stated, crlf=crlf).collect()
@@ -302,5 +305,5 @@ def read_in_splits(
             scans.append(parse_records(records(stated, crlf=crlf), schema, options))
     if whole:
         multi_line = spark.read.schema(schema).options(**options, multiLine=True)
-        scans.append(multi_line.csv(sorted(whole)))
+        scans.append(multi_line.csv([literal(path) for path in sorted(whole)]))
     return reduce(DataFrame.unionByName, scans)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from enum import Enum
 
 from py4j.java_gateway import JavaObject
@@ -11,10 +12,15 @@ from pyspark.sql import SparkSession
 PathLike = str | os.PathLike
 
 
+# Fixed value: the folder Spark's writers keep unfinished files in.
+WRITE_IN_PROGRESS = "_temporary"
+
+
 class PathState(Enum):
     """What a target path holds before a write."""
 
     ABSENT = "absent"
+    UNFINISHED = "unfinished"
     TABLE = "table"
     FOREIGN = "foreign"
 
@@ -55,9 +61,9 @@ def qualified(spark: SparkSession, path: PathLike) -> str:
 def path_state(spark: SparkSession, path: PathLike, fmt: str) -> PathState:
     """Tell a table of the format from other content, without opening any data file.
 
-    A Delta table is a folder with a transaction log. For plain file formats the first
-    visible entry decides, so the cost does not grow with the number of files; a stray
-    file further on makes the later scan fail before anything is written.
+    A Delta table is a folder with a transaction log. For plain file formats every visible
+    entry must be a file of the format. A folder that holds nothing but the marks of a first
+    write that did not come to its end is unfinished: that write can be repeated.
     """
     fs, hadoop_path = _resolve(spark, path)
     if not fs.exists(hadoop_path):
@@ -68,8 +74,38 @@ def path_state(spark: SparkSession, path: PathLike, fmt: str) -> PathState:
     if not fs.getFileStatus(hadoop_path).isDirectory():
         return PathState.FOREIGN
     entries = fs.listStatusIterator(hadoop_path)
+    files, begun = False, False
     while entries.hasNext():
-        name = entries.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return PathState.TABLE if name.endswith(f".{fmt}") else PathState.FOREIGN
-    return PathState.FOREIGN
+        entry = entries.next()
+        name = entry.getPath().getName()
+        begun |= name == WRITE_IN_PROGRESS
+        if name.startswith(("_", ".")):
+            continue
+        if not (entry.isFile() and name.endswith(f".{fmt}")):
+            return PathState.FOREIGN
+        files = True
+    if files:
+        return PathState.TABLE
+    return PathState.UNFINISHED if begun else PathState.FOREIGN
+
+
+def literal(path: PathLike) -> str:
+    """A path that readers take as it stands and not as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", os.fspath(path))
+
+
+def data_files(spark: SparkSession, path: PathLike) -> list[tuple[str, int]]:
+    """Paths and sizes of the visible files a path or a pattern names, those of folders at
+    any depth included. Empty when there is nothing."""
+    fs, hadoop_path = _resolve(spark, path)
+    named = [fs.getFileStatus(hadoop_path)] if fs.exists(hadoop_path) else fs.globStatus(hadoop_path)
+    found: list[tuple[str, int]] = []
+    waiting = list(named or [])
+    while waiting:
+        entry = waiting.pop()
+        if entry.isDirectory():
+            inside = fs.listStatus(entry.getPath())
+            waiting += [e for e in inside if not e.getPath().getName().startswith(("_", "."))]
+        else:
+            found.append((entry.getPath().toString(), entry.getLen()))
+    return sorted(found)

@@ -25,7 +25,9 @@ class _Unconfigured:
         getCheckpointDir = staticmethod(lambda: None)
 
 
-def test_a_cluster_must_name_the_shared_folder():
+@pytest.mark.parametrize("master", ["spark://somewhere", "yarn", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_the_shared_folder(master, monkeypatch):
+    monkeypatch.setattr(_Unconfigured.sparkContext, "master", master)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(_Unconfigured)
 
@@ -48,7 +50,7 @@ def test_shuffles_grow_with_the_input_and_return(spark):
     with sized_shuffles(spark, 100 * GIGA):
         assert int(spark.conf.get(name)) == 801
     with sized_shuffles(spark, 10**15):
-        assert int(spark.conf.get(name)) == session.MAX_SHUFFLE_PARTITIONS
+        assert int(spark.conf.get(name)) > 10**15 // session.BYTES_PER_SHUFFLE_PARTITION
     with sized_shuffles(spark, 10):
         assert spark.conf.get(name) == configured
     with pytest.raises(ZeroDivisionError), sized_shuffles(spark, 100 * GIGA):

@@ -32,6 +32,7 @@ PIECES = {
     "random": ['"', "\\", ",", " ", "a", "\n", "\n", '"x"', ',"', '",', '"\n', "bb"],
     "returns": ['"', ",", " ", "a", "\r", "\n", "\n", ',"', '"\r\n'],
     "plain": [",", " ", "a", "\n", "yy\n", ",z\n", "1,2\n"],
+    "controls": ['"', '""', ",", "a", "\n", "\x01", "\x1f", "\x0b", "\t", ' "', '",', ',"', "\\"],
 }
 
 
@@ -92,6 +93,8 @@ def test_random_files(spark, tmp_path, small_splits, kind, line_end):
         ('h1,h2\n1,"never closed\n2,3\n', "records lf"),
         ('h1,h2\r\n1,"never closed\r\n2,3\r\n', "records crlf"),
         ('h1,h2\n1,"x" \n', "whole"),
+        ('h1,h2\n""\x01a"\n', "whole"),
+        ('h1,h2\n1,"x"\x1f\n', "whole"),
         ('h1,h2\n1,"x"\\\n', "whole"),
         ('h1,h2\n"\n\\ " b"\n', "records lf"),
         ("h1,h2\r1,2\r", "whole"),
@@ -146,7 +149,20 @@ def test_records_are_assembled_in_larger_files_only(spark, tmp_path, small_split
     assert [row.how for row in reading(profiled, 13).collect()] == ["records lf"]
 
 
-def test_limits_depend_on_how_many_files_there_are(spark):
-    mega = 1024 * 1024
-    assert SplitLimits.suited_to(spark, 40 * mega) == (16 * mega, 128 * mega)
-    assert SplitLimits.suited_to(spark, 10**15) == (128 * mega, 128 * mega)
+def test_names_patterns_and_folders_never_change_the_rows(spark, tmp_path, small_splits):
+    """Names that look like patterns, folders that look like partitions, and patterns."""
+    folder = tmp_path / "extract.csv"
+    (folder / "day=1").mkdir(parents=True)
+    (folder / "part-[1].csv").write_text('h1,h2\n1,"x\ny"\n')
+    (folder / "part-1.csv").write_text("h1,h2\n2,3\n")
+    (folder / "day=1" / "{a,b}*.csv").write_text("h1,h2\n4,5\n" + "6,7\n" * 40)
+    (folder / "_notes").write_text("not,data\n")
+    whole = read_source_csv(spark, SCHEMA, folder)
+    split = read_source_csv(spark, SCHEMA, folder, split_limits=SplitLimits(0, 0))
+    assert whole.columns == split.columns == SCHEMA.names
+    assert content(whole) == content(split)
+    assert sum(content(whole).values()) == 43
+    some = read_source_csv(spark, SCHEMA, tmp_path / "*.csv" / "part-*", split_limits=SplitLimits(0, 0))
+    assert content(some) == {("1", "x\ny", None): 1, ("2", "3", None): 1}
+    (tmp_path / "empty.csv").mkdir()
+    assert read_source_csv(spark, SCHEMA, tmp_path / "empty.csv").count() == 0

@@ -68,42 +68,49 @@ METADATA_COLUMNS = (
 )
 
 # The audit row.
-AUDIT_COLUMNS = """
-    source_batch_id string required
-    pipeline_run_id string required
-    source_system string required
-    entity string required
-    source_file_name string required
-    source_file_path string required
-    target_table string required
-    source_row_count bigint optional
-    corrupt_record_count bigint optional
-    null_business_key_count bigint optional
-    duplicate_business_key_count bigint optional
-    duplicate_rows_beyond_first bigint optional
-    replay_existing_row_count bigint optional
-    inserted_row_count bigint optional
-    hash_conflict_count bigint optional
-    target_total_row_count bigint optional
-    status string required
-    error_message string optional
-    started_at timestamp required
-    completed_at timestamp required
-"""
+AUDIT_SCHEMA = T.StructType(
+    [
+        T.StructField("source_batch_id", T.StringType(), False),
+        T.StructField("pipeline_run_id", T.StringType(), False),
+        T.StructField("source_system", T.StringType(), False),
+        T.StructField("entity", T.StringType(), False),
+        T.StructField("source_file_name", T.StringType(), False),
+        T.StructField("source_file_path", T.StringType(), False),
+        T.StructField("target_table", T.StringType(), False),
+        T.StructField("source_row_count", T.LongType()),
+        T.StructField("corrupt_record_count", T.LongType()),
+        T.StructField("null_business_key_count", T.LongType()),
+        T.StructField("duplicate_business_key_count", T.LongType()),
+        T.StructField("duplicate_rows_beyond_first", T.LongType()),
+        T.StructField("replay_existing_row_count", T.LongType()),
+        T.StructField("inserted_row_count", T.LongType()),
+        T.StructField("hash_conflict_count", T.LongType()),
+        T.StructField("target_total_row_count", T.LongType()),
+        T.StructField("status", T.StringType(), False),
+        T.StructField("error_message", T.StringType()),
+        T.StructField("started_at", T.TimestampType(), False),
+        T.StructField("completed_at", T.TimestampType(), False),
+    ]
+)
+
+
+def _logged(name: str, kind: T.DataType, nullable: bool, comment: str) -> T.StructField:
+    return T.StructField(name, kind, nullable, {"comment": comment})
 
-# The log row, with the comment each column carries in the catalog.
-LOG_COLUMNS = """
-    log_id string required UUID per log entry
-    batch_id string required Unique identifier for this pipeline execution batch
-    entity_name string optional Which entity (customer, order, etc.), null for pipeline-level events
-    log_level string required Severity level of the log entry
-    log_category string required Functional area that produced the log entry
-    message string required Human-readable log message
-    details string optional JSON blob for structured metadata (row counts, file paths, durations, etc.)
-    logged_at timestamp required UTC timestamp of when the event was logged
-"""
 
-TYPES = {"string": T.StringType(), "bigint": T.LongType(), "timestamp": T.TimestampType()}
+# The log row, with the comment each column carries in the catalog.
+LOG_SCHEMA = T.StructType(
+    [
+        _logged("log_id", T.StringType(), False, "UUID per log entry"),
+        _logged("batch_id", T.StringType(), False, "Unique identifier for this pipeline execution batch"),
+        _logged("entity_name", T.StringType(), True, "Which entity (customer, order, etc.), null for pipeline-level events"),
+        _logged("log_level", T.StringType(), False, "Severity level of the log entry"),
+        _logged("log_category", T.StringType(), False, "Functional area that produced the log entry"),
+        _logged("message", T.StringType(), False, "Human-readable log message"),
+        _logged("details", T.StringType(), True, "JSON blob for structured metadata (row counts, file paths, durations, etc.)"),
+        _logged("logged_at", T.TimestampType(), False, "UTC timestamp of when the event was logged"),
+    ]
+)
 
 
 def text_schema(columns: str) -> T.StructType:
@@ -111,24 +118,11 @@ def text_schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns.split()])
 
 
-def typed_schema(columns: str) -> T.StructType:
-    """Fields from lines of name, type, ``required`` or ``optional``, and maybe a comment."""
-    schema = T.StructType()
-    for line in columns.strip().splitlines():
-        name, kind, presence, *comment = line.split(maxsplit=3)
-        metadata = {"comment": comment[0]} if comment else None
-        schema.add(T.StructField(name, TYPES[kind], presence == "optional", metadata))
-    return schema
-
-
 SCHEMAS: dict[str, T.StructType] = {
     entity: text_schema(columns) for entity, columns in ENTITY_COLUMNS.items()
 }
 ENTITIES = tuple(SCHEMAS)
 
-AUDIT_SCHEMA = typed_schema(AUDIT_COLUMNS)
-LOG_SCHEMA = typed_schema(LOG_COLUMNS)
-
 
 def resolve_entity_schema(entity: str) -> T.StructType:
     """Read schema of an entity: its contract plus one column for malformed lines."""

@@ -13,7 +13,7 @@ LEVEL_RANK = {"DEBUG": 0, "INFO": 1, "WARN": 2, "ERROR": 3}
 
 def is_blank(column: Column) -> Column:
     """NULL or the empty string. Spaces are not trimmed."""
-    return F.coalesce(column, F.lit("")) == ""
+    return column.isNull() | (column == "")
 
 
 def keys_equal(left: str, right: str, keys: Iterable[str], *, null_safe: bool = True) -> Column:

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, make_dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from rawstrata.contracts import AUDIT_SCHEMA
 from rawstrata.operators.quality import ValidationMetrics
-from rawstrata.operators.tables import DEFAULT_FORMAT, WriteMetrics, append_rows, create_table
+from rawstrata.operators.tables import (
+    DEFAULT_FORMAT,
+    WriteMetrics,
+    append_rows,
+    create_table,
+    in_target_layout,
+)
 from rawstrata.sources import storage
 from rawstrata.sources.storage import PathLike, PathState
 
@@ -20,30 +26,14 @@ SUCCESS_WITH_WARNINGS = "SUCCESS_WITH_WARNINGS"
 FAILED = "FAILED"
 
 
-@dataclass(frozen=True)
-class IngestionAuditRecord:
-    """State of one entity's run. A count of ``None`` means its stage was not reached."""
-
-    source_batch_id: str
-    pipeline_run_id: str
-    source_system: str
-    entity: str
-    source_file_name: str
-    source_file_path: str
-    target_table: str
-    source_row_count: int | None = None
-    corrupt_record_count: int | None = None
-    null_business_key_count: int | None = None
-    duplicate_business_key_count: int | None = None
-    duplicate_rows_beyond_first: int | None = None
-    replay_existing_row_count: int | None = None
-    inserted_row_count: int | None = None
-    hash_conflict_count: int | None = None
-    target_total_row_count: int | None = None
-    status: str = IN_PROGRESS
-    error_message: str | None = None
-    started_at: datetime | None = None
-    completed_at: datetime | None = None
+_Row = make_dataclass(
+    "_Row", [(name, object, None) for name in AUDIT_SCHEMA.names], frozen=True
+)
+
+
+class IngestionAuditRecord(_Row):
+    """State of one entity's run, in the audit table's columns. A count of ``None`` means its
+    stage was not reached."""
 
     @classmethod
     def start(
@@ -66,6 +56,7 @@ class IngestionAuditRecord:
             source_file_name=source_file_path.rsplit("/", 1)[-1],
             source_file_path=source_file_path,
             target_table=target_table,
+            status=IN_PROGRESS,
             started_at=now,
             completed_at=now,
         )
@@ -99,10 +90,22 @@ def append_audit_record(
     audit_target: PathLike,
     fmt: str = DEFAULT_FORMAT,
 ) -> None:
-    """Add one row to the audit table, creating it first if need be."""
+    """Add one row to the audit table, creating it first if need be. Anything else at the path,
+    a table with other columns included, is refused before a byte is written."""
     row = spark.createDataFrame([asdict(record)], AUDIT_SCHEMA).coalesce(1)
     state = storage.path_state(spark, audit_target, fmt)
     if state is PathState.FOREIGN:
         raise ValueError(f"Audit path exists but is not a {fmt} table: {audit_target}")
-    write = append_rows if state is PathState.TABLE else create_table
-    write(row, audit_target, fmt)
+    if state is PathState.TABLE:
+        in_target_layout(row, _stored(spark, audit_target, fmt))
+        append_rows(row, audit_target, fmt)
+    else:
+        create_table(row, audit_target, fmt, repeated=state is PathState.UNFINISHED)
+
+
+def _stored(spark: SparkSession, audit_target: PathLike, fmt: str) -> DataFrame:
+    """A scan of the audit table that looks into every file of it, one row each."""
+    try:
+        return spark.read.format(fmt).option("mergeSchema", True).load(str(audit_target))
+    except Exception as error:
+        raise ValueError(f"Audit path exists but cannot be read: {audit_target}") from error

@@ -7,7 +7,8 @@ the number of pairs follows from the counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -30,7 +31,7 @@ def validate_merge_keys(df: DataFrame, merge_keys: Sequence[str]) -> None:
     """Refuse an empty key list and keys the frame does not have."""
     if len(merge_keys) == 0:
         raise ValueError("At least one merge key is required")
-    absent = tuple(sorted(set(merge_keys) - set(df.columns), key=list(merge_keys).index))
+    absent = tuple(key for key in merge_keys if key not in df.columns)
     if absent:
         raise ValueError(f"Merge key columns are missing from source: {absent}")
 
@@ -40,24 +41,52 @@ def _with_usable_keys(df: DataFrame, keys: Sequence[str], null_safe: bool) -> Da
     return df if null_safe else df.dropna(subset=list(keys))
 
 
-class KeySize(NamedTuple):
-    """Measured size of a batch's keys."""
+class KeyBounds(NamedTuple):
+    """What a batch's keys are known to be: rows, memory, and the range of each key."""
 
+    keys: tuple[str, ...]
     rows: int
     key_bytes: int
+    ranges: tuple[tuple[object, object, bool], ...]
 
     @property
     def may_broadcast(self) -> bool:
         return self.key_bytes <= MAX_BROADCAST_BYTES
 
+    def covers(self) -> Column:
+        """Whether a target row's keys lie in the batch's ranges; a scan can push this down."""
+        inside = F.lit(True)
+        for key, (low, high, has_null) in zip(self.keys, self.ranges, strict=True):
+            column = F.col(key)
+            test = F.lit(False) if low is None else column.between(F.lit(low), F.lit(high))
+            inside &= (test | column.isNull()) if has_null else test
+        return inside
 
-def key_size(incoming: DataFrame, keys: Sequence[str]) -> KeySize:
-    """Count the rows of a batch and bound the memory its keys need as rows."""
+
+def bounds_of(keys: Sequence[str]) -> list[Column]:
+    """Aggregates from which :func:`key_bounds` makes the bounds of a batch, so that they can
+    be observed while the batch is written."""
     width = F.lit(ROW_OVERHEAD_BYTES)
     for key in keys:
         width += F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0))
+    ranges = []
+    for place, key in enumerate(keys):
+        ranges += [
+            F.min(key).alias(f"low_{place}"),
+            F.max(key).alias(f"high_{place}"),
+            F.coalesce(F.max(F.col(key).isNull()), F.lit(False)).alias(f"null_{place}"),
+        ]
     total = F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
-    return KeySize(*incoming.agg(F.count("*"), total).first())
+    return [F.count(F.lit(1)).alias("rows"), total.alias("key_bytes"), *ranges]
+
+
+def key_bounds(found: Mapping[str, object], keys: Sequence[str]) -> KeyBounds:
+    """The bounds from the values of the aggregates."""
+    ranges = tuple(
+        (found[f"low_{place}"], found[f"high_{place}"], bool(found[f"null_{place}"]))
+        for place in range(len(keys))
+    )
+    return KeyBounds(tuple(keys), found["rows"], found["key_bytes"], ranges)
 
 
 def target_hits(
@@ -129,17 +158,22 @@ def matched_keys(
     )
 
 
-def classify(matched: DataFrame) -> DataFrame:
-    """Sum a frame of matched keys into one row of replay, conflict and matched-row counts."""
+def match_counts() -> list[Column]:
+    """Aggregates over matched keys: replay, conflict and matched-row counts."""
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(F.col(name).cast(WIDE)), F.lit(0)).cast("bigint")
 
-    return matched.agg(
+    return [
         total("replay_pairs").alias("replay_existing_row_count"),
         total("conflict_pairs").alias("hash_conflict_count"),
         total("incoming_rows").alias("matched_row_count"),
-    )
+    ]
+
+
+def classify(matched: DataFrame) -> DataFrame:
+    """Sum a frame of matched keys into one row of counts."""
+    return matched.agg(*match_counts())
 
 
 def hash_conflicts(matched: DataFrame) -> DataFrame:
@@ -157,10 +191,21 @@ def new_rows(
 ) -> DataFrame:
     """Incoming rows whose key ``held`` lacks: the rows an insert-only merge adds.
 
-    ``held`` is the target or, cheaper, the keys already known to match.
+    ``held`` is the target or, cheaper, the keys already known to match. Its keys are made
+    distinct first, which combines before the shuffle, so a hot key of it is one row per task.
+    Under plain equality rows with a NULL key match nothing: they stay out of the join, where
+    they would all meet in one task.
     """
+    wanted = _with_usable_keys(held.select(*keys), keys, null_safe).distinct()
     on_keys = keys_equal("src", "held", keys, null_safe=null_safe)
-    return incoming.alias("src").join(held.select(*keys).alias("held"), on_keys, "left_anti")
+
+    def unmatched(rows: DataFrame) -> DataFrame:
+        return rows.alias("src").join(wanted.alias("held"), on_keys, "left_anti")
+
+    if null_safe:
+        return unmatched(incoming)
+    complete = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
+    return unmatched(incoming.filter(complete)).unionByName(incoming.filter(~complete))
 
 
 def reduce_to_one_per_key(

@@ -6,14 +6,15 @@ works where its jar is on the classpath). Rows are only ever added.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from rawstrata.operators import matching
-from rawstrata.operators.matching import DEFAULT_KEYS
+from rawstrata.operators.matching import DEFAULT_KEYS, KeyBounds
 from rawstrata.session import staged
 from rawstrata.sources import storage
 from rawstrata.sources.storage import PathLike, PathState
@@ -50,9 +51,12 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     return df.limit(rows)
 
 
-def create_table(df: DataFrame, target: PathLike, fmt: str = DEFAULT_FORMAT) -> None:
-    """First write. Fails if anything exists at the path; an empty frame keeps its schema."""
-    df.write.format(fmt).mode("errorifexists").save(str(target))
+def create_table(
+    df: DataFrame, target: PathLike, fmt: str = DEFAULT_FORMAT, *, repeated: bool = False
+) -> None:
+    """First write. Fails if anything exists at the path, unless it repeats a first write that
+    did not come to its end; an empty frame keeps its schema."""
+    df.write.format(fmt).mode("append" if repeated else "errorifexists").save(str(target))
 
 
 def append_rows(df: DataFrame, target: PathLike, fmt: str = DEFAULT_FORMAT) -> None:
@@ -75,6 +79,20 @@ def in_target_layout(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*target.columns)
 
 
+@contextmanager
+def _staged_batch(
+    incoming: DataFrame, keys: Sequence[str], bounds: KeyBounds | None
+) -> Iterator[tuple[DataFrame, KeyBounds]]:
+    """The batch evaluated once, with the bounds observed on the way. With bounds given, the
+    batch is a scan of such a table already."""
+    if bounds is not None:
+        yield incoming, bounds
+        return
+    seen = Observation()
+    with staged(incoming.observe(seen, *matching.bounds_of(keys)), "incoming") as batch:
+        yield batch, matching.key_bounds(seen.get, keys)
+
+
 def merge_new_records(
     spark: SparkSession,
     df: DataFrame,
@@ -82,29 +100,35 @@ def merge_new_records(
     merge_keys: Sequence[str] = DEFAULT_KEYS,
     *,
     fmt: str = DEFAULT_FORMAT,
+    bounds: KeyBounds | None = None,
 ) -> WriteMetrics:
     """Append the rows whose key the target lacks, or nothing if any payload conflicts.
 
-    The matched keys are written out once, so the target is scanned once: the counts, the
-    decision and the anti-join all read that narrow table.
+    The batch is written out once and its keys' range observed, so the target's scan is
+    pruned to it. The matched keys are written out once and counted on the way; the anti-join
+    reads that narrow table. The number of inserted rows is observed during the append.
+    ``bounds`` says that the caller has written the batch out already.
     """
     matching.validate_merge_keys(df, merge_keys)
     held = read_table(spark, target, fmt)
     incoming = in_target_layout(df, held)
-    size = matching.key_size(incoming, merge_keys)
-    matches = matching.matched_keys(
-        incoming, held, merge_keys, broadcast_keys=size.may_broadcast
-    )
-    with staged(matches, "matched") as matched:
-        counts = matching.classify(matched).first()
-        conflicts = counts["hash_conflict_count"]
-        inserted = 0 if conflicts else size.rows - counts["matched_row_count"]
-        if inserted:
-            append_rows(matching.new_rows(incoming, matched, merge_keys), target, fmt)
+    with _staged_batch(incoming, merge_keys, bounds) as (batch, known):
+        matches = matching.matched_keys(
+            batch, held.filter(known.covers()), merge_keys, broadcast_keys=known.may_broadcast
+        )
+        counted, appended = Observation(), Observation()
+        with staged(matches.observe(counted, *matching.match_counts()), "matched") as matched:
+            counts = counted.get
+            inserted = 0
+            if not counts["hash_conflict_count"] and known.rows > counts["matched_row_count"]:
+                fresh = matching.new_rows(batch, matched, merge_keys)
+                rows = F.count(F.lit(1)).alias("rows")
+                append_rows(fresh.observe(appended, rows), target, fmt)
+                inserted = appended.get["rows"]
     return WriteMetrics(
         replay_existing_row_count=counts["replay_existing_row_count"],
         inserted_row_count=inserted,
-        hash_conflict_count=conflicts,
+        hash_conflict_count=counts["hash_conflict_count"],
         target_total_row_count=read_table(spark, target, fmt, held.schema).count(),
     )
 
@@ -116,15 +140,16 @@ def write_bronze_data(
     merge_keys: Sequence[str] = DEFAULT_KEYS,
     *,
     fmt: str = DEFAULT_FORMAT,
+    bounds: KeyBounds | None = None,
 ) -> WriteMetrics:
     """Create the table on the first write, merge on later ones, refuse a foreign path."""
     state = storage.path_state(spark, target, fmt)
     if state is PathState.FOREIGN:
         raise ValueError(f"Target path exists but is not a {fmt} table: {target}")
     if state is PathState.TABLE:
-        return merge_new_records(spark, df, target, merge_keys, fmt=fmt)
+        return merge_new_records(spark, df, target, merge_keys, fmt=fmt, bounds=bounds)
     matching.validate_merge_keys(df, merge_keys)
-    create_table(df, target, fmt)
+    create_table(df, target, fmt, repeated=state is PathState.UNFINISHED)
     written = read_table(spark, target, fmt, df.schema).count()
     return WriteMetrics(0, written, 0, written)
 
@@ -169,6 +194,7 @@ def write_named_table(
     merge_keys: Sequence[str] = DEFAULT_KEYS,
     *,
     fmt: str = DEFAULT_FORMAT,
+    bounds: KeyBounds | None = None,
 ) -> None:
     """Older write: a catalog table, keys compared with plain equality.
 
@@ -182,17 +208,18 @@ def write_named_table(
         return
     held = spark.table(table)
     incoming = in_target_layout(df, held)
-    matches = matching.matched_keys(
-        incoming,
-        held,
-        merge_keys,
-        null_safe=False,
-        broadcast_keys=matching.key_size(incoming, merge_keys).may_broadcast,
-    )
-    with staged(matches, "matched") as matched:
-        conflict = matching.first_conflict(matched, merge_keys).first()
-        if conflict is not None:
-            named = ", ".join(f"{key.lstrip('_')}={conflict[key]}" for key in merge_keys)
-            raise ValueError(f"Conflicting content for {table}: {named}")
-        fresh = matching.new_rows(incoming, matched, merge_keys, null_safe=False)
-        fresh.write.insertInto(table)
+    with _staged_batch(incoming, merge_keys, bounds) as (batch, known):
+        matches = matching.matched_keys(
+            batch,
+            held.filter(known.covers()),
+            merge_keys,
+            null_safe=False,
+            broadcast_keys=known.may_broadcast,
+        )
+        with staged(matches, "matched") as matched:
+            conflict = matching.first_conflict(matched, merge_keys).first()
+            if conflict is not None:
+                named = ", ".join(f"{key.lstrip('_')}={conflict[key]}" for key in merge_keys)
+                raise ValueError(f"Conflicting content for {table}: {named}")
+            fresh = matching.new_rows(batch, matched, merge_keys, null_safe=False)
+            fresh.write.insertInto(table)

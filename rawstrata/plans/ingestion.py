@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from rawstrata.operators import matching
 from rawstrata.operators.audit import IngestionAuditRecord, append_audit_record
 from rawstrata.operators.enrich import add_metadata_columns, add_short_metadata_columns
 from rawstrata.operators.quality import apply_validation_policy, validate_bronze_data
@@ -26,6 +28,9 @@ from rawstrata.sources.storage import PathLike, child
 # Fixed value: folder of the audit table below the bronze root.
 AUDIT_TABLE = "ingestion_audit"
 
+# Fixed value: how a blocked batch is reported.
+CONFLICT_MESSAGE = "Found {count} hash conflicts for entity '{entity}'"
+
 
 @dataclass(frozen=True)
 class BronzeIngestionConfig:
@@ -75,9 +80,11 @@ class _EntityRun:
         """Run all stages. The parsed and hashed extract is written out once; validation,
         matching and the append each read only the columns they need from there."""
         enriched = load_and_enrich(self.spark, self.config, self.entity, self.run_id)
-        with staged(enriched, self.entity) as extract:
+        seen = Observation()
+        observed = enriched.observe(seen, *matching.bounds_of(matching.DEFAULT_KEYS))
+        with staged(observed, self.entity) as extract:
             has_warnings = self.validate(extract)
-            self.write(extract)
+            self.write(extract, matching.key_bounds(seen.get, matching.DEFAULT_KEYS))
         self.audit = self.audit.succeeded(has_warnings=has_warnings)
 
     def validate(self, extract: DataFrame) -> bool:
@@ -86,15 +93,14 @@ class _EntityRun:
         apply_validation_policy(report)
         return bool(report.metrics.corrupt_record_count)
 
-    def write(self, extract: DataFrame) -> None:
+    def write(self, extract: DataFrame, bounds: matching.KeyBounds) -> None:
         metrics = write_bronze_data(
-            self.spark, extract, self.target, fmt=self.config.table_format
+            self.spark, extract, self.target, fmt=self.config.table_format, bounds=bounds
         )
         self.audit = self.audit.with_write(metrics)
-        if metrics.hash_conflict_count:
-            raise ValueError(
-                f"Found {metrics.hash_conflict_count} hash conflicts for entity '{self.entity}'"
-            )
+        conflicts = metrics.hash_conflict_count
+        if conflicts:
+            raise ValueError(CONFLICT_MESSAGE.format(count=conflicts, entity=self.entity))
 
     def input_bytes(self) -> int:
         paths = (self.audit.source_file_path, self.target)
@@ -134,8 +140,8 @@ def ingest_batch(
     spark: SparkSession, config: BronzeIngestionConfig, entities: Sequence[str]
 ) -> tuple[IngestionAuditRecord, ...]:
     """Land entities one after another under one run id; the first failure ends the batch."""
-    pipeline_run_id = str(uuid.uuid4())
-    return tuple(ingest_entity(spark, config, entity, pipeline_run_id) for entity in entities)
+    land = partial(ingest_entity, spark, config, pipeline_run_id=str(uuid.uuid4()))
+    return tuple(map(land, entities))
 
 
 def ingest_named_entity(
@@ -159,6 +165,11 @@ def ingest_named_entity(
     table, target = f"{database}.{entity}", config.target_path(entity)
     paths = (config.source_path(entity), target)
     with sized_shuffles(spark, sum(storage.size_bytes(spark, path) for path in paths)):
-        with staged(enriched, entity) as extract:
-            write_named_table(spark, extract, table, target, fmt=config.table_format)
+        seen = Observation()
+        observed = enriched.observe(seen, *matching.bounds_of(matching.DEFAULT_KEYS))
+        with staged(observed, entity) as extract:
+            bounds = matching.key_bounds(seen.get, matching.DEFAULT_KEYS)
+            write_named_table(
+                spark, extract, table, target, fmt=config.table_format, bounds=bounds
+            )
     return spark.table(table)

@@ -1,4 +1,3 @@
-import json
 import uuid
 
 import pytest
@@ -6,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rawstrata.contracts import LOG_SCHEMA
 from rawstrata.operators import events
-from rawstrata.operators.events import EventLog, LogSettings, at_least, log_entries
+from rawstrata.operators.events import at_least, log_entries
 
 
 @pytest.fixture
@@ -18,9 +17,8 @@ def table(spark, tmp_path):
 
 @pytest.fixture
 def log(spark, table, tmp_path):
-    log = EventLog("batch-1", settings=LogSettings(print_to_stdout=False))
-    log.set_table(spark, table, location=tmp_path / "log")
-    return log
+    events.create_log_table(spark, table, location=tmp_path / "log")
+    return table
 
 
 def entries_of(spark, rows):
@@ -67,65 +65,43 @@ def test_minimum_level_ranks_unknown_levels_as_info(spark):
     assert kept("ERROR") == ["ERROR"]
 
 
-def test_append_filters_and_counts(spark, log, table):
+def test_append_filters_and_counts(spark, log):
     entries = entries_of(spark, [("DEBUG", "m", None), ("INFO", "m", None), ("ERROR", "m", None)])
-    assert log.append(entries) == 2
-    assert spark.table(table).count() == 2
-    assert log.append(entries.limit(0)) == 0
-    log.set_settings(persist_to_table=False)
-    assert log.append(entries) == 0
-    assert spark.table(table).count() == 2
-
-
-def test_append_without_a_table_writes_nothing(spark):
-    assert EventLog("b").append(entries_of(spark, [("INFO", "m", None)])) == 0
-
-
-def test_single_entries_wait_for_the_table(spark, table, tmp_path):
-    log = EventLog("batch-1", settings=LogSettings(print_to_stdout=False))
-    log.pipeline_start({"entities": 2})
-    log.debug("FILE", "too detailed")
-    log.entity_event("INGESTION", "rows written", "order", details={"rows": 5})
-    assert log.flush() == 0 and log.waiting_count == 2 and not log.has_table
-    log.set_table(spark, table, location=tmp_path / "log")
-    assert log.flush() == 2 and log.waiting_count == 0
-    log.pipeline_end("FAILED")
-    log.pipeline_end()
-    log.warn("CONFIG", "odd", details={})
-    rows = spark.table(table).orderBy("logged_at").collect()
-    assert [(r.log_level, r.entity_name, r.message) for r in rows] == [
-        ("INFO", None, "Pipeline run started"),
-        ("INFO", "order", "rows written"),
-        ("ERROR", None, "Pipeline run completed — FAILED"),
-        ("INFO", None, "Pipeline run completed — SUCCESS"),
-        ("WARN", None, "odd"),
-    ]
-    assert json.loads(rows[1].details) == {"rows": 5}
-    assert rows[4].details is None
-
-
-def test_entries_survive_a_failed_write(spark, log, table):
-    spark.sql(f"DROP TABLE {table}")
-    with pytest.raises(Exception, match="(?i)not.found|cannot be found"):
-        log.error("AUDIT", "important")
-    assert log.waiting_count == 1
-
-
-def test_printing(capsys):
-    log = EventLog("b")
-    log.info("FILE", "read", entity="order")
-    log.set_settings(print_to_stdout=False)
-    log.info("FILE", "silent")
-    printed = capsys.readouterr().out
-    assert "INFO  | FILE        [order] | read" in printed and "silent" not in printed
-
-
-def test_settings_are_checked():
-    settings = LogSettings().updated(min_log_level="warn", print_to_stdout=False)
-    assert settings == LogSettings("WARN", True, False)
-    with pytest.raises(ValueError, match="Unknown setting.*colour.*Valid settings: min_log_level"):
-        settings.updated(colour="red")
-    with pytest.raises(ValueError, match="persist_to_table must be bool, got str"):
-        settings.updated(persist_to_table="yes")
-    with pytest.raises(ValueError, match="Invalid log level 'LOUD'. Valid levels: DEBUG, INFO"):
-        settings.updated(min_log_level="loud")
+    assert events.append_entries(entries, log) == 2
+    assert events.append_entries(entries, log, "DEBUG") == 3
+    assert events.append_entries(entries.limit(0), log) == 0
+    assert spark.table(log).count() == 5
+
+
+def test_append_evaluates_its_entries_once(spark, log):
+    """Ids are drawn per evaluation: one more evaluation would show in other ids."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    source = spark.range(7).mapInPandas(count, "id long").selectExpr(
+        "'INFO' AS level", "'m' AS message", "CAST(NULL AS string) AS blob"
+    )
+    entries = log_entries(
+        source, batch_id="b", level=F.col("level"), category=F.lit("FILE"), message=F.col("message")
+    )
+    assert events.append_entries(entries, log) == 7
+    assert seen.value == 7
+
+
+def test_creating_again_keeps_the_table(spark, log, tmp_path):
+    events.append_entries(entries_of(spark, [("INFO", "m", None)]), log)
+    events.create_log_table(spark, log, location=tmp_path / "log")
+    assert spark.table(log).count() == 1
+
+
+def test_a_location_with_other_content_is_refused(spark, table, tmp_path):
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "notes.txt").write_text("mine")
+    with pytest.raises(ValueError, match="not a parquet table"):
+        events.create_log_table(spark, table, location=tmp_path / "log")
+    assert not spark.catalog.tableExists(table)
+    assert [p.name for p in (tmp_path / "log").iterdir()] == ["notes.txt"]

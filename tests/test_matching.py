@@ -3,6 +3,9 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
+from rawstrata.functions.predicates import is_blank
 from rawstrata.operators import matching
 
 KEYS = ("_source_system", "source_record_id")
@@ -93,13 +96,60 @@ def test_key_check(spark):
         matching.validate_merge_keys(df, ("source_record_id", "other"))
 
 
-def test_key_size_bounds_the_keys(spark):
+def bounds(df):
+    return matching.key_bounds(df.agg(*matching.bounds_of(KEYS)).first().asDict(), KEYS)
+
+
+def test_bounds_of_the_keys(spark):
     df = frame(spark, [("erp", "abcd", "h"), (None, "é", "h")])
-    size = matching.key_size(df, KEYS)
-    assert size == (2, 2 * matching.ROW_OVERHEAD_BYTES + 3 + 4 + 0 + 2)
-    assert size.may_broadcast
-    assert not matching.KeySize(1, matching.MAX_BROADCAST_BYTES + 1).may_broadcast
-    assert matching.key_size(df.limit(0), KEYS) == (0, 0)
+    found = bounds(df)
+    assert (found.rows, found.key_bytes) == (2, 2 * matching.ROW_OVERHEAD_BYTES + 3 + 4 + 0 + 2)
+    assert found.ranges == (("erp", "erp", True), ("abcd", "é", False))
+    assert found.may_broadcast
+    assert not found._replace(key_bytes=matching.MAX_BROADCAST_BYTES + 1).may_broadcast
+    empty = bounds(df.limit(0))
+    assert (empty.rows, empty.key_bytes) == (0, 0)
+    assert df.filter(empty.covers()).count() == 0
+    assert df.filter(found.covers()).count() == 2
+    assert bounds(df.filter("_source_system IS NULL")).covers() is not None
+
+
+def test_the_range_of_the_keys_is_pushed_into_the_targets_scan(spark, tmp_path):
+    path = str(tmp_path / "target")
+    frame(spark, [("erp", str(n), "h") for n in range(20)]).write.parquet(path)
+    known = bounds(frame(spark, [("erp", "3", "h"), ("erp", "5", "h")]))
+    held = spark.read.parquet(path).filter(known.covers())
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(source_record_id,3), LessThanOrEqual(source_record_id,5)" in plan
+    assert held.count() == 3
+
+
+def test_blank_ids_are_pushed_into_the_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    frame(spark, [("erp", "", "h"), ("erp", None, "h"), ("erp", "x", "h")]).write.parquet(path)
+    blank = spark.read.parquet(path).filter(is_blank(F.col("source_record_id")))
+    plan = blank._jdf.queryExecution().executedPlan().toString()
+    assert "Or(IsNull(source_record_id),EqualTo(source_record_id,))" in plan
+    assert blank.count() == 2
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_held_keys_are_combined_before_they_are_shuffled(spark, tmp_path, monkeypatch, null_safe):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        path = str(tmp_path / "rows")
+        frame(spark, [("erp", None, "h")] * 5 + [("erp", "a", "h")]).write.parquet(path)
+        held = spark.read.parquet(path)
+        rows = matching.new_rows(held, held, KEYS, null_safe=null_safe)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        right = plan.split("SortMergeJoin")[1].split("Exchange hashpartitioning")[2]
+        assert "HashAggregate(keys=" in right
+        assert rows.count() == (0 if null_safe else 5)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_target_is_read_by_key_and_hash_and_not_shuffled_when_keys_are_broadcast(spark, tmp_path):

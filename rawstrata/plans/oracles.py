@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from rawstrata.contracts import SCHEMAS
+# The columns of the entities the queries land, in contract order.
+ENTITY_COLUMNS = {
+    "customer": (
+        "source_record_id customer_id first_name last_name email phone date_of_birth "
+        "loyalty_status marketing_opt_in created_at updated_at"
+    ),
+    "order": (
+        "source_record_id order_id customer_id billing_address_id shipping_address_id "
+        "order_timestamp channel order_status currency_code subtotal_amount discount_amount "
+        "tax_amount shipping_amount order_total_amount created_at updated_at"
+    ),
+}
 
 # Columns of the test tables as an extract would show them: text, amounts with two decimals.
 TABLE_COLUMNS = {
@@ -152,7 +163,7 @@ MATCHES = f"""
 def in_contract(table: str, entity: str, **columns: str) -> str:
     listed = ", ".join(
         f"{columns[name] if name in columns else 'CAST(NULL AS VARCHAR)'} AS {name}"
-        for name in SCHEMAS[entity].names
+        for name in ENTITY_COLUMNS[entity].split()
     )
     return f"SELECT {listed} FROM ({as_text(table)})"
 
@@ -162,6 +173,7 @@ CUSTOMERS = in_contract(
     "customer",
     source_record_id="c_custkey",
     customer_id="c_custkey",
+    first_name="c_nationkey",
     last_name="c_name",
     phone="c_acctbal",
     loyalty_status="c_mktsegment",
@@ -173,11 +185,12 @@ ORDER_ENTITY = in_contract(
     order_id="o_orderkey",
     customer_id="o_custkey",
     order_timestamp="o_orderdate",
+    channel="o_orderpriority",
     order_status="o_orderstatus",
     order_total_amount="o_totalprice",
 )
 LANDED_CUSTOMERS = f"""
-    SELECT *, {json_hash([*SCHEMAS["customer"].names, "_corrupt_record"])},
+    SELECT *, {json_hash([*ENTITY_COLUMNS["customer"].split(), "_corrupt_record"])},
            'OLTP' AS _source_system, 'B001' AS _source_batch_id
     FROM (SELECT *, {NO_CORRUPT} FROM ({CUSTOMERS}))
 """
@@ -221,6 +234,12 @@ def first_load(batch: str, entity: str, table: str) -> str:
     return audit_row(batch, entity, table, inserted="count(*)")
 
 
+MISSING = """
+    (VALUES (1, '_source_batch_id'), (2, '_pipeline_run_id'), (3, '_source_system'),
+     (4, '_ingested_timestamp'), (5, 'order_item_id'), (6, 'product_id'), (7, 'unit_price'),
+     (8, 'discount_amount'), (9, 'tax_amount'), (10, 'line_total_amount'), (11, 'created_at'),
+     (12, 'updated_at')) AS missing(place, name)
+"""
 MALFORMED = "count(*) FILTER (p_size > 40)"
 ITEM_IDS = "(SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)"
 DUPLICATED = "count(*) FILTER (n > 1)"
@@ -290,14 +309,11 @@ ORACLES = {
             SELECT 3, null_record_hash_count, 'Found ' || null_record_hash_count
                 || ' rows with null _record_hash' FROM m
             UNION ALL
-            SELECT 3 + place, 1, 'Missing required column: ' || name FROM (VALUES
-                (1, '_source_batch_id'), (2, '_pipeline_run_id'), (3, '_source_system'),
-                (4, '_ingested_timestamp'), (5, 'order_item_id'), (6, 'product_id'),
-                (7, 'unit_price'), (8, 'discount_amount'), (9, 'tax_amount'),
-                (10, 'line_total_amount'), (11, 'created_at'), (12, 'updated_at')) AS missing(place, name))
+            SELECT 3 + place, 1, 'Missing required column: ' || name FROM {MISSING})
         SELECT CAST(row_number() OVER (ORDER BY rank) AS INTEGER) AS position, error
         FROM found WHERE n > 0
     """,
+    "missing_columns": f"SELECT place AS position, name FROM {MISSING}",
     "merge_matches": f"{MATCHES} SELECT * FROM matched",
     "merge_classify": f"""
         {MATCHES}
@@ -325,11 +341,17 @@ ORACLES = {
         QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) = 1
     """,
     "write_first": in_batch(ORDERS, "B001"),
+    "write_empty": f"""
+        SELECT CAST(row_number() OVER () AS INTEGER) AS position, name, 'string' AS kind,
+               CAST(0 AS BIGINT) AS rows
+        FROM (SELECT unnest(['source_record_id', {", ".join(f"'{c}'" for c in columns_of("orders"))},
+              '_record_hash', '_source_batch_id', '_source_system']) AS name)
+    """,
     "write_into_empty": in_batch(ORDERS, "B001"),
     "write_merge": f"""
         SELECT *, CASE WHEN o_orderdate < '1998-01-01' THEN 'B001' ELSE 'B002' END
                AS _source_batch_id
-        FROM ({hashed(SOME_IDS)}) WHERE source_record_id IS NOT NULL
+        FROM ({hashed(ORDERS)})
     """,
     "write_replay": in_batch(ORDERS, "B001"),
     "write_conflict": in_batch(former_status(loaded(ORDERS)), "B001"),
@@ -357,6 +379,12 @@ ORACLES = {
         {first_load("B001", "order", "orders")} UNION ALL
         {first_load("B001", "product", "part")}
     """,
+    "audit_append": """
+        SELECT entity, CAST(NULL AS BIGINT) AS source_row_count, n AS inserted_row_count,
+               n AS target_total_row_count, 'SUCCESS' AS status
+        FROM (SELECT 'customer' AS entity, count(*) AS n FROM customer UNION ALL
+              SELECT 'order', count(*) FROM orders UNION ALL SELECT 'product', count(*) FROM part)
+    """,
     "ingest_outcomes": f"""
         {first_load("B001", "customer", "customer")} UNION ALL
         {audit_row("B001", "customer", "customer", replay="count(*)")} UNION ALL
@@ -374,7 +402,7 @@ ORACLES = {
     """,
     "ingest_named": f"""
         SELECT *, {NO_CORRUPT},
-               sha256(concat_ws('||', {", ".join(SCHEMAS["order"].names)})) AS _record_hash,
+               sha256(concat_ws('||', {", ".join(ENTITY_COLUMNS["order"].split())})) AS _record_hash,
                CASE WHEN order_timestamp < '1998-01-01' THEN 'B001' ELSE 'B002' END
                    AS _batch_id,
                'run-1' AS _run_id, 'OLTP' AS _source_system
@@ -385,7 +413,9 @@ ORACLES = {
                CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN'
                     WHEN 'view' THEN 'TRACE' ELSE 'INFO' END AS log_level,
                'INGESTION' AS log_category, event_type || ' by ' || user_id AS message,
-               props AS details, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS logged_at
+               CAST(json_object('event_id', CAST(event_id AS VARCHAR),
+                   'value', CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), 'props', props) AS VARCHAR)
+                   AS details, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS logged_at
         FROM events WHERE event_type <> 'signup'
     """,
 }

@@ -24,6 +24,7 @@ from rawstrata.contracts import (
 )
 from rawstrata.functions.hashing import piped_hash
 from rawstrata.operators import enrich, events, matching, quality, tables
+from rawstrata.operators.audit import IngestionAuditRecord, append_audit_record
 from rawstrata.operators.matching import DEFAULT_KEYS
 from rawstrata.plans.ingestion import (
     AUDIT_TABLE,
@@ -79,19 +80,24 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[text(name, kind) for name, kind in df.dtypes])
 
 
+def as_extract(df: DataFrame, key: str) -> DataFrame:
+    """A frame as an extract identified by one of its columns."""
+    return as_text(df).select(F.col(key).alias(SOURCE_RECORD_ID), "*")
+
+
 def extract(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table as an extract identified by one of its columns."""
-    df = as_text(table(spark, sf_dir, name))
-    return df.select(F.col(key).alias(SOURCE_RECORD_ID), "*")
+    return as_extract(table(spark, sf_dir, name), key)
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(spark, sf_dir, "orders", "o_orderkey")
+def orders(spark: SparkSession, sf_dir: str, *, loaded: bool = False) -> DataFrame:
+    """All orders, or those an earlier batch brought."""
+    df = table(spark, sf_dir, "orders")
+    return as_extract(before(df) if loaded else df, "o_orderkey")
 
 
-def loaded(df: DataFrame) -> DataFrame:
-    """The orders an earlier batch brought."""
-    return df.filter(F.col("o_orderdate") < LOADED_BEFORE)
+def before(df: DataFrame) -> DataFrame:
+    """Orders of the earlier batch, by the date itself, so that scans can skip the others."""
+    return df.filter(F.col("o_orderdate") < F.lit(LOADED_BEFORE).cast("timestamp"))
 
 
 def with_former_status(df: DataFrame) -> DataFrame:
@@ -150,10 +156,11 @@ def flawed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def in_contract(df: DataFrame, entity: str, **columns: str) -> DataFrame:
-    """Some columns under the names of an entity's contract, the rest of it NULL."""
+    """Columns, or expressions of them, under the names of an entity's contract; what they leave
+    of it is NULL."""
     return df.select(
         *[
-            (F.col(columns[name]) if name in columns else F.lit(None).cast("string")).alias(name)
+            (F.expr(columns[name]) if name in columns else F.lit(None).cast("string")).alias(name)
             for name in SCHEMAS[entity].names
         ]
     )
@@ -165,20 +172,23 @@ def customer_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customer",
         source_record_id="c_custkey",
         customer_id="c_custkey",
+        first_name="c_nationkey",
         last_name="c_name",
         phone="c_acctbal",
         loyalty_status="c_mktsegment",
     )
 
 
-def order_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_entity(spark: SparkSession, sf_dir: str, *, loaded: bool = False) -> DataFrame:
+    df = table(spark, sf_dir, "orders")
     return in_contract(
-        as_text(table(spark, sf_dir, "orders")),
+        as_text(before(df) if loaded else df),
         "order",
         source_record_id="o_orderkey",
         order_id="o_orderkey",
         customer_id="o_custkey",
         order_timestamp="o_orderdate",
+        channel="o_orderpriority",
         order_status="o_orderstatus",
         order_total_amount="o_totalprice",
     )
@@ -194,6 +204,7 @@ def product_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
         product_name="p_name",
         brand="p_brand",
         unit_price="p_retailprice",
+        currency_code="p_type",
     )
 
 
@@ -202,10 +213,16 @@ def order_item_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_text(table(spark, sf_dir, "lineitem")),
         "order_item",
         source_record_id="l_orderkey",
+        order_item_id="l_linenumber",
         order_id="l_orderkey",
         product_id="l_partkey",
         quantity="l_quantity",
+        unit_price="l_suppkey",
+        discount_amount="l_discount",
+        tax_amount="l_tax",
         line_total_amount="l_extendedprice",
+        created_at="l_shipdate",
+        updated_at="l_returnflag || l_linestatus",
     )
 
 
@@ -337,14 +354,25 @@ def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.error_rows(report)
 
 
+def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the flawed line items lack of an order item, in contract order."""
+    items = flawed_line_items(spark, sf_dir).withColumnsRenamed(
+        {"l_orderkey": "order_id", "l_quantity": "quantity"}
+    )
+    missing = quality.check_required_columns(items, "order_item")
+    return spark.createDataFrame(list(enumerate(missing, start=1)), "position int, name string")
+
+
 # ---- matching --------------------------------------------------------------------------
 
 
 def merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All orders against the earlier load. Some orders changed, and a fifth has no id, so
     one key holds a fifth of either side."""
-    now = without_some_ids(orders(spark, sf_dir))
-    return hashed(now), hashed(with_former_status(loaded(now)))
+    now, earlier = (
+        without_some_ids(orders(spark, sf_dir, loaded=loaded)) for loaded in (False, True)
+    )
+    return hashed(now), hashed(with_former_status(earlier))
 
 
 def merge_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,10 +430,19 @@ def write_into_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_content(spark, target)
 
 
+def write_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table an empty first batch of orders leaves: its columns, and how many rows."""
+    target, (counts,) = written(spark, in_batch(orders(spark, sf_dir).filter("false"), "B001"))
+    rows = [
+        (place, name, kind, counts.target_total_row_count)
+        for place, (name, kind) in enumerate(table_content(spark, target).dtypes, start=1)
+    ]
+    return spark.createDataFrame(rows, "position int, name string, kind string, rows bigint")
+
+
 def write_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    now = without_some_ids(orders(spark, sf_dir))
-    identified = now.filter(F.col(SOURCE_RECORD_ID).isNotNull())
-    target, _ = written(spark, in_batch(loaded(identified), "B001"), in_batch(identified, "B002"))
+    earlier, now = orders(spark, sf_dir, loaded=True), orders(spark, sf_dir)
+    target, _ = written(spark, in_batch(earlier, "B001"), in_batch(now, "B002"))
     return table_content(spark, target)
 
 
@@ -417,7 +454,7 @@ def write_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = orders(spark, sf_dir)
-    earlier = with_former_status(loaded(now))
+    earlier = with_former_status(orders(spark, sf_dir, loaded=True))
     target, _ = written(spark, in_batch(earlier, "B001"), in_batch(now, "B002"))
     return table_content(spark, target)
 
@@ -426,7 +463,8 @@ def write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a first write, a merge, a replay and a blocked batch into one table."""
     now = orders(spark, sf_dir)
     changed = with_former_status(now)
-    batches = {"first": loaded(now), "merge": now, "replay": now, "conflict": changed}
+    earlier = orders(spark, sf_dir, loaded=True)
+    batches = {"first": earlier, "merge": now, "replay": now, "conflict": changed}
     _, metrics = written(spark, *[in_batch(df, name) for name, df in batches.items()])
     rows = [
         (
@@ -460,8 +498,8 @@ def write_named_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier load, then all orders, into a catalog table compared by plain equality:
     orders without id that were loaded before come in twice."""
     location, name = scratch_path(spark, "named"), fresh_table_name()
-    now = hashed(without_some_ids(orders(spark, sf_dir)))
-    for batch in (loaded(now), now):
+    for loaded in (True, False):
+        batch = hashed(without_some_ids(orders(spark, sf_dir, loaded=loaded)))
         tables.write_named_table(spark, batch, name, location)
     return spark.table(name)
 
@@ -495,6 +533,26 @@ def ingest_batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_rows(spark, root)
 
 
+def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of three loads: the first creates the audit table, the others are added."""
+    root = scratch_path(spark, "audit_append")
+    for entity, name in (("customer", "customer"), ("order", "orders"), ("product", "part")):
+        rows = table(spark, sf_dir, name).count()
+        record = IngestionAuditRecord.start(
+            source_batch_id="B001",
+            pipeline_run_id="run-1",
+            source_system=SYSTEM,
+            entity=entity,
+            source_file_path=f"{root}/{entity}.csv",
+            target_table=entity,
+        ).with_write(tables.WriteMetrics(0, rows, 0, rows))
+        done = record.succeeded(has_warnings=False).completed()
+        append_audit_record(spark, done, child(root, "bronze", AUDIT_TABLE))
+    return audit_rows(spark, root).select(
+        "entity", "source_row_count", "inserted_row_count", "target_total_row_count", "status"
+    )
+
+
 def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One audit row per way a run can end: a first load, a replay, a load with malformed
     lines, duplicated ids, and changed payloads under known ids."""
@@ -529,10 +587,9 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older flow with two batches of orders: those placed before 1998, then all."""
     root, database = scratch_path(spark, "ingest_named"), fresh_table_name()
-    everything = order_entity(spark, sf_dir)
-    before = everything.filter(F.col("order_timestamp") < LOADED_BEFORE)
-    for batch_id, batch in (("B001", before), ("B002", everything)):
+    for batch_id in ("B001", "B002"):
         config = run_config(root, batch_id)
+        batch = order_entity(spark, sf_dir, loaded=batch_id == "B001")
         add_extract(batch, config.source_path("order"))
         landed = ingest_named_entity(spark, config, "order", "run-1", database)
     return landed.drop("_ingested_timestamp")
@@ -557,13 +614,18 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         category=F.lit("INGESTION"),
         message=F.concat(kind, F.lit(" by "), F.col("user_id").cast("string")),
         entity=F.lit("event"),
-        details=F.col("props"),
+        details=F.to_json(
+            F.struct(
+                F.col("event_id").cast("string").alias("event_id"),
+                F.col("value").cast("decimal(18,2)").cast("string").alias("value"),
+                "props",
+            )
+        ),
         logged_at=F.col("ts"),
     )
-    log = events.EventLog("B001", SYSTEM, events.LogSettings(print_to_stdout=False))
     name = fresh_table_name()
-    log.set_table(spark, name, location=scratch_path(spark, "event_log"))
-    log.append(entries)
+    events.create_log_table(spark, name, location=scratch_path(spark, "event_log"))
+    events.append_entries(entries, name)
     logged = spark.table(name).drop("log_id")
     return logged.withColumn("logged_at", F.date_format("logged_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
@@ -586,6 +648,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_ids": duplicate_ids,
     "validation_metrics": validation_metrics,
     "validation_errors": validation_errors,
+    "missing_columns": missing_columns,
     "merge_matches": merge_matches,
     "merge_classify": merge_classify,
     "hash_conflicts": hash_conflicts,
@@ -594,6 +657,7 @@ QUERIES: dict[str, Query] = {
     "first_conflict": first_conflict,
     "dedup_merge_source": dedup_merge_source,
     "write_first": write_first,
+    "write_empty": write_empty,
     "write_into_empty": write_into_empty,
     "write_merge": write_merge,
     "write_replay": write_replay,
@@ -603,6 +667,7 @@ QUERIES: dict[str, Query] = {
     "write_named_table": write_named_table,
     "ingest_entity": ingest_entity,
     "ingest_batch": ingest_batch_audit,
+    "audit_append": audit_append,
     "ingest_outcomes": ingest_outcomes,
     "ingest_named": ingest_named,
     "event_log": event_log,

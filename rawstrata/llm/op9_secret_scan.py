@@ -35,7 +35,7 @@ TREE_DEPTH = 6
 BEFORE, AFTER = 48, 24  # characters of the neighbourhood
 
 KEY = r"[A-Za-z0-9+/_=\-]"
-CANDIDATE = rf"(?<!{KEY})(?=[A-Za-z+/_=\-]{{0,200}}[0-9]){KEY}{{{SHORTEST},}}"
+CANDIDATE = rf"(?<!{KEY})(?=[A-Za-z+/_=\-]*+[0-9]){KEY}{{{SHORTEST},}}"
 
 # Names that announce a secret or another long string, and vendors' prefixes.
 SECRET_NAMES = (

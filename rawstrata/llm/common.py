@@ -39,6 +39,33 @@ class Workspace:
                 storage.delete(self.spark, path)
 
 
+BITMAP_BITS = 1 << 23
+
+
+def likely_among(rows: DataFrame, wanted: DataFrame, hash_col: str) -> DataFrame:
+    """The rows whose hash may be among the wanted ones, and few others: a filter to put before
+    a join that would else shuffle all rows.
+
+    The wanted hashes set bits of one bitmap of ``BITMAP_BITS`` bits, kept in pieces. It is
+    1 MB at most however many are wanted, so it is broadcast; once it is full it filters
+    nothing, and the join behind it is as right as before.
+    """
+    bit = F.pmod(F.col(hash_col), F.lit(BITMAP_BITS))
+    pieces = (
+        wanted.select(bit.alias("bit"))
+        .groupBy(F.bitmap_bucket_number("bit").alias("piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    )
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = F.call_function("shiftright", byte.cast("int"), (place % 8).cast("int")) % 2 == 1
+    return (
+        rows.join(F.broadcast(pieces), F.bitmap_bucket_number(bit) == F.col("piece"))
+        .filter(is_set)
+        .select(*rows.columns)
+    )
+
+
 FOLDS = 5
 
 

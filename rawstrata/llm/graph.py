@@ -78,14 +78,11 @@ class Labels:
     def __init__(self, count: int):
         self.of = np.arange(count)
 
-    def merge(self, place: int, linked: np.ndarray) -> np.ndarray:
-        """Join the places that are linked with one; returns one place per label joined."""
-        found, at = np.unique(self.of[linked], return_index=True)
-        fresh = found != self.of[place]
-        if not fresh.any():
-            return np.empty(0, dtype=np.int64)
-        self.of[np.isin(self.of, found)] = self.of[place]
-        return np.flatnonzero(linked)[at[fresh]]
+    def merge(self, place: int, linked: np.ndarray) -> None:
+        """Join the places that are linked with one."""
+        found = np.unique(self.of[linked])
+        if (found != self.of[place]).any():
+            self.of[np.isin(self.of, found)] = self.of[place]
 
 
 # payloads -> (order in which places are tried, place -> mask of the places linked with it)
@@ -94,20 +91,25 @@ Linker = Callable[[pa.ChunkedArray], tuple[np.ndarray, Callable[[int], np.ndarra
 _FOUND = "kind string, a long, b long"
 
 
-def spanning_links(rows: DataFrame, sizes: DataFrame, linker: Linker, work: Workspace) -> DataFrame:
-    """(a, b): links that connect all members of each group which links connect at all.
+def spanning_links(
+    rows: DataFrame, sizes: DataFrame, payloads: DataFrame, linker: Linker, work: Workspace
+) -> DataFrame:
+    """(a, b): pairs that connect all members of each group which links connect at all. A pair
+    joins the least member of what a task has connected with another one of it.
 
-    ``rows`` has (group, member, payload), ``sizes`` (group, chunks): into how many parts a
-    group is dealt so that one is a task's worth. Within a part every place is compared with
-    all others unless it already has their label, so a group of mutual copies takes a few
-    comparisons per member and no pair is emitted twice over.
+    ``rows`` has (group, member), ``sizes`` (group, chunks): into how many parts a group is dealt
+    so that one is a task's worth. ``payloads`` has what the linker compares, by member and any
+    further columns that ``rows`` has too; it is joined once members have their parts, so it
+    is shuffled by part only. Within a part every place is compared with all others unless
+    those have its label, so a group of mutual copies takes a few comparisons per member.
 
     A group of several parts is compared in two rounds. A few pivots, chosen by hash, are in
     every part; members that a part connects with the first pivot are done. Those left over are
     compared with all parts of their group, in slices that are a task's worth themselves.
     """
+    keys = [c for c in payloads.columns if c != "payload"]
     group = rows.join(sizes, "group")
-    part = F.pmod(F.xxhash64("member"), F.col("chunks"))
+    part = F.pmod(F.xxhash64("member"), F.col("chunks")).cast("long")
     many = sizes.filter("chunks > 1")
     picks = [
         F.min(F.struct(F.xxhash64("member", F.lit(s)).alias("h"), F.col("member").alias("m")))["m"]
@@ -119,13 +121,14 @@ def spanning_links(rows: DataFrame, sizes: DataFrame, linker: Linker, work: Work
         .agg(*[p.alias(f"p{s}") for s, p in enumerate(picks)])
     )
     in_parts = group.join(pivots, "group", "left")
-    is_pivot = F.coalesce(F.array_contains(F.array(*[f"p{s}" for s in range(PIVOTS)]), F.col("member")), F.lit(False))
+    is_pivot = F.coalesce(
+        F.array_contains(F.array(*[f"p{s}" for s in range(PIVOTS)]), F.col("member")), F.lit(False)
+    )
     every = F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)
     first_round = in_parts.select(
         "group",
-        F.explode(F.when(is_pivot, every).otherwise(F.array(part.cast("long")))).alias("part"),
-        "member",
-        "payload",
+        F.explode(F.when(is_pivot, every).otherwise(F.array(part))).alias("part"),
+        *keys,
         is_pivot.alias("pivot"),
         F.coalesce(F.col("member") == F.col("p0"), F.lit(False)).alias("main"),
         (F.col("chunks") > 1).alias("many"),
@@ -136,7 +139,8 @@ def spanning_links(rows: DataFrame, sizes: DataFrame, linker: Linker, work: Work
             yield from _links(run, linker, run["group"][0].as_py())
 
     found = work.write(
-        first_round.repartition("group", "part")
+        first_round.join(payloads, keys)
+        .repartition("group", "part")
         .sortWithinPartitions("group", "part")
         .mapInArrow(compare, _FOUND),
         "links",
@@ -159,12 +163,12 @@ def spanning_links(rows: DataFrame, sizes: DataFrame, linker: Linker, work: Work
     base = rows.join(slices, "group")
     per_part = base.select(
         "group",
-        part.cast("long").alias("part"),
+        part.alias("part"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices").cast("long") - 1)).alias("slice"),
-        "member", "payload", F.lit(False).alias("pivot"),
+        *keys, F.lit(False).alias("pivot"),
     )
     per_slice = base.join(left, ["group", "member"], "left_semi").select(
-        "group", F.explode(every).alias("part"), slice_of.alias("slice"), "member", "payload",
+        "group", F.explode(every).alias("part"), slice_of.alias("slice"), *keys,
         F.lit(True).alias("pivot"),
     )
     second_round = per_part.union(per_slice).select(
@@ -176,7 +180,8 @@ def spanning_links(rows: DataFrame, sizes: DataFrame, linker: Linker, work: Work
             yield from _links(run, linker, run["group"][0].as_py(), pivots_only=True)
 
     more = (
-        second_round.repartition("group", "part", "slice")
+        second_round.join(payloads, keys)
+        .repartition("group", "part", "slice")
         .sortWithinPartitions("group", "part", "slice")
         .mapInArrow(compare_left, _FOUND)
     )
@@ -194,33 +199,30 @@ def _links(
     pivot = np.asarray(run["pivot"])
     order, linked_with = linker(run["payload"])
     labels = Labels(size)
-    a: list[np.ndarray] = []
-    b: list[np.ndarray] = []
     tried = np.zeros(size, dtype=bool)
     for place in [*order[pivot[order]], *order[~pivot[order]]]:
         if pivots_only and not pivot[place]:
             break
         # All with another label were tried before, or none has one: nothing to learn.
-        others = labels.of != labels.of[place]
-        if not (others & ~tried).any():
-            tried[place] = True
-            continue
-        joined = labels.merge(place, linked_with(place))
+        if (~tried & (labels.of != labels.of[place])).any():
+            labels.merge(place, linked_with(place))
         tried[place] = True
-        a.append(np.full(len(joined), member[place]))
-        b.append(member[joined])
-    yield from _found("link", a, b)
+    # Each label's members, sorted, with the least one of them.
+    by_label = np.lexsort((member, labels.of))
+    label, member_of = labels.of[by_label], member[by_label]
+    starts = np.flatnonzero(np.append(True, label[1:] != label[:-1]))
+    least = np.repeat(member_of[starts], np.diff(np.append(starts, size)))
+    other = least != member_of
+    yield from _found("link", least[other], member_of[other])
     if run["many"][0].as_py():
         main = np.flatnonzero(np.asarray(run["main"]))
         left = labels.of != labels.of[main[0]] if len(main) else np.ones(size, dtype=bool)
-        yield from _found("left", [np.full(int(left.sum()), group)], [member[left]])
+        yield from _found("left", np.full(int(left.sum()), group), member[left])
 
 
-def _found(kind: str, a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    first = np.concatenate(a) if a else np.empty(0, dtype=np.int64)
-    if len(first):
-        second = np.concatenate(b)
+def _found(kind: str, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(a):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([kind] * len(first)), pa.array(first, pa.int64()), pa.array(second, pa.int64())],
+            [pa.array([kind] * len(a)), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
             names=["kind", "a", "b"],
         )

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rawstrata.llm.common import Workspace, table
+from rawstrata.llm.common import Workspace, likely_among, table
 from rawstrata.llm.graph import Linker, components, spanning_links
 from rawstrata.llm.words import mix, shingle_sets
 
@@ -194,8 +194,9 @@ def near_duplicates(
     members, sizes = compared_nodes(alive, percent, work)
     tokens = alive.select(F.col("rep").alias("member"), F.col("tokens").alias("payload"))
     candidates = spanning_links(
-        members.withColumnRenamed("rep", "member").join(tokens, "member"),
+        members.withColumnRenamed("rep", "member"),
         sizes.select("group", F.ceil(F.col("n") / part_classes).alias("chunks")),
+        tokens,
         by_signature(percent),
         work,
     )
@@ -203,21 +204,19 @@ def near_duplicates(
 
     inside = work.write(
         alive.join(grouped, alive.rep == grouped.id).select(
-            F.col("component").alias("group"), "rep", "text_hash", "n"
+            F.col("component").alias("group"), F.col("rep").alias("member"), "text_hash", "n"
         ),
         "inside",
     )
     texts = docs.select(
-        F.col(id_col).cast("long").alias("rep"),
+        F.col(id_col).cast("long").alias("member"),
         F.xxhash64(text_col).alias("text_hash"),
         F.col(text_col).alias("payload"),
     )
-    rows = texts.join(inside, ["rep", "text_hash"]).select(
-        "group", F.col("rep").alias("member"), "payload"
-    )
     links = spanning_links(
-        rows,
+        inside.drop("n"),
         inside.groupBy("group").agg(F.ceil(F.sum("n") / part_shingles).alias("chunks")),
+        likely_among(texts, inside.select("text_hash"), "text_hash"),
         by_sets(words, percent),
         work,
     )

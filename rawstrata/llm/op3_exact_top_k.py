@@ -36,7 +36,7 @@ from rawstrata.llm.common import Workspace, table
 
 K = 10
 SCALE = 1024
-BLOCK = 4096  # vectors of a block
+BLOCK = 16_384  # vectors of a block
 BATCH = 128  # queries of a batch
 SEGMENTS = 16
 ROUNDS = 12  # bound checks while segments are processed
@@ -101,6 +101,7 @@ class ImpactIndex:
 
     def __init__(self, matrix: np.ndarray, segments: int = SEGMENTS):
         self.matrix = matrix
+        self.largest = int(np.abs(matrix).max(initial=0))
         size, length = matrix.shape
         order = np.argsort(matrix, axis=0, kind="stable")
         cuts = np.linspace(0, size, min(segments, size) + 1).astype(np.int64)
@@ -115,10 +116,15 @@ class ImpactIndex:
         self.dims = np.array(self.dims, dtype=np.int64)
         self.low, self.high = np.array(low, dtype=np.int64), np.array(high, dtype=np.int64)
 
+    def exact(self, query: np.ndarray) -> bool:
+        """Whether all bounds are exact as floating-point numbers."""
+        most = int(np.abs(query).max()) * self.largest
+        return 4 * most * self.matrix.shape[1] < 1 << 52
+
     def candidates(self, query: np.ndarray, k: int) -> np.ndarray:
         """Places of which it is not proven that k others score higher."""
         size, length = self.matrix.shape
-        if size <= k * FEW // 8 or not length:
+        if size <= k * FEW // 8 or not length or not self.exact(query):
             return np.arange(size)
         weight = query[self.dims]
         least = np.minimum(weight * self.low, weight * self.high)
@@ -127,18 +133,19 @@ class ImpactIndex:
         np.minimum.at(floor, self.dims, least)
         sure, impact = least - floor[self.dims], most - floor[self.dims]
         order = np.argsort(-impact, kind="stable")
-        scores = np.zeros(size, dtype=np.int64)
-        slack = np.zeros(size, dtype=np.int64)  # of processed segments: most minus sure
+        # One accumulator holds both sums: what a place surely has, and how much more it may
+        # have from the same segments. Whole numbers below 2**52 are exact in either part.
+        gains = sure + 1j * (impact - sure)
+        sums = np.zeros(size, dtype=complex)
         left = np.arange(size)
         for part in np.array_split(np.arange(len(order)), ROUNDS):
-            for s in order[part]:
-                places = self.places[s]
-                scores[places] += sure[s]
-                slack[places] += impact[s] - sure[s]
+            for s in order[part].tolist():
+                sums[self.places[s]] += gains[s]
+            after = order[part[-1] + 1 :] if len(part) else order
             rest = np.zeros(length, dtype=np.int64)
-            np.maximum.at(rest, self.dims[order[part[-1] + 1 :]], impact[order[part[-1] + 1 :]])
-            kth = np.partition(scores, size - k)[size - k]
-            left = np.flatnonzero(scores + slack + rest.sum() >= kth)
+            np.maximum.at(rest, self.dims[after], impact[after])
+            kth = np.partition(sums.real, size - k)[size - k]
+            left = np.flatnonzero(sums.real + sums.imag + rest.sum() >= kth)
             if len(left) <= k * FEW // 8:
                 break
         return left
@@ -147,7 +154,7 @@ class ImpactIndex:
 def search_block(
     ids: np.ndarray, index: ImpactIndex, query_ids: np.ndarray, queries: np.ndarray, k: int
 ) -> Iterator[pd.DataFrame]:
-    most = int(np.abs(index.matrix).max(initial=0)) * int(np.abs(queries).max(initial=0))
+    most = index.largest * int(np.abs(queries).max(initial=0))
     if most * index.matrix.shape[1] >= 1 << 62:
         raise OverflowError("inner products of these vectors do not fit 64 bits")
     found = []

@@ -22,6 +22,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from rawstrata.session import scratch_path
 from rawstrata.sources.storage import literal
 
 # How a line reads for the parser, with comma, double quote and backslash. Text may follow
@@ -272,6 +273,16 @@ def parse_records(
     return parsed.select(*[value.alias(name) for name, value in fields.items()])
 
 
+def _written(stated: DataFrame) -> DataFrame:
+    """The lines with their states, written to the shared folder: whether the rules cover a file
+    and the records of it are then two reads of one result, and lost executors re-read it. The
+    frame that is returned to the caller scans the folder, so it stays."""
+    spark = stated.sparkSession
+    path = scratch_path(spark, "csv_lines")
+    stated.write.parquet(path)
+    return spark.read.schema(stated.schema).parquet(path)
+
+
 def read_in_splits(
     spark: SparkSession,
     schema: StructType,
@@ -296,12 +307,13 @@ def read_in_splits(
             by_line = reader if crlf else reader.option("lineSep", "\n")
             scans.append(by_line.csv([literal(path) for path in paths]))
             continue
-        stated = with_states(lines(spark, paths), crlf=crlf)
-        covered = covered_files(stated, crlf=crlf).collect()
-        usable = sorted(unquote(row.file) for row in covered)
-        whole += set(paths) - set(usable)
+        stated = _written(with_states(lines(spark, paths), crlf=crlf))
+        covered = covered_files(stated, crlf=crlf)
+        usable = {unquote(row.file) for row in covered.collect()}
+        whole += set(paths) - usable
         if usable:
-            stated = with_states(lines(spark, usable), crlf=crlf)
+            if usable != set(paths):
+                stated = stated.join(F.broadcast(covered), "file", "left_semi")  # file names
             scans.append(parse_records(records(stated, crlf=crlf), schema, options))
     if whole:
         multi_line = spark.read.schema(schema).options(**options, multiLine=True)

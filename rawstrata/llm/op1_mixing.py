@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rawstrata.llm.common import Workspace, fold, table
 from rawstrata.llm.words import hash_words, slices, split_words
@@ -76,13 +76,25 @@ class DomainModel:
         return count, out
 
 
-def fit(labelled: DataFrame, most_documents: int = MOST_DOCUMENTS) -> DomainModel | None:
-    """Learn from (doc_id, text, domain): word counts are summed per domain and bucket."""
-    chosen = (
-        labelled.dropna(subset=["domain", "text"])
+def fit(
+    docs: DataFrame,
+    labelled: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most_documents: int = MOST_DOCUMENTS,
+) -> DomainModel | None:
+    """Learn from the texts of (doc_id, domain): word counts are summed per domain and bucket."""
+    few = (
+        labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "domain")
+        .dropna()
+        .distinct()
         .orderBy(F.xxhash64("doc_id", "domain"), "doc_id")
         .limit(most_documents)
     )
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # Bound: ``most_documents`` rows of an id and a name.
+    chosen = texts.filter("text IS NOT NULL").join(F.broadcast(few), "doc_id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,31 +220,22 @@ def mix(
 ) -> DataFrame:
     """doc_id, n_words, domain (the likeliest), posterior, rate.
 
-    ``labelled`` has (doc_id, text, domain). ``weights`` are the domains' target shares.
+    ``labelled`` has (doc_id, domain) of some of the documents. ``weights`` are the domains' target shares.
     """
     work = Workspace(docs.sparkSession, "mixing")
-    model = fit(labelled)
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    unmixed = plain.select(
-        "doc_id", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("string").alias("domain"),
-        F.lit(None).cast("array<double>").alias("posterior"), F.lit(max(1.0, least_rate)).alias("rate"),
+    solved = solve(
+        docs, labelled, work, weights=weights, least_rate=least_rate, no_less=no_less,
+        id_col=id_col, text_col=text_col,
     )
-    if model is None:
-        return unmixed
-    members = work.write(memberships(docs, model, id_col, text_col), "members")
-    size = len(model.domains)
-    steps: list[np.ndarray] = []
-    sums = _totals(members, steps, least_rate, size)
-    if sums[:size].sum() > 0:
-        inverse = np.linalg.pinv(sums[size:].reshape(size, size))
-        start = sums[:size] / max(1.0, least_rate)
-        targets = targets_of(start, model.domains, weights, no_less)
-        while len(steps) < MOST_STEPS:
-            residual = sums[:size] - targets
-            if np.abs(residual).max() <= TOLERANCE * targets.sum():
-                break
-            steps.append(inverse @ residual)
-            sums = _totals(members, steps, least_rate, size)
+    if solved is None:
+        return docs.select(
+            F.col(id_col).cast("long").alias("doc_id"),
+            F.lit(0).cast("long").alias("n_words"),
+            F.lit(None).cast("string").alias("domain"),
+            F.lit(None).cast("array<double>").alias("posterior"),
+            F.lit(max(1.0, least_rate)).alias("rate"),
+        )
+    model, members, steps = solved
 
     def rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.domains, dtype=object)
@@ -256,15 +259,78 @@ def mix(
     )
 
 
+def solve(
+    docs: DataFrame,
+    labelled: DataFrame,
+    work: Workspace,
+    *,
+    weights: dict[str, float] | None = None,
+    least_rate: float = 0.0,
+    no_less: bool = False,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[DomainModel, DataFrame, list[np.ndarray]] | None:
+    """The classifier, the written memberships and the steps that give every rate. None
+    without labelled rows."""
+    model = fit(docs, labelled, id_col=id_col, text_col=text_col)
+    if model is None:
+        return None
+    members = work.write(memberships(docs, model, id_col, text_col), "members")
+    size = len(model.domains)
+    steps: list[np.ndarray] = []
+    sums = _totals(members, steps, least_rate, size)
+    if sums[:size].sum() > 0:
+        inverse = np.linalg.pinv(sums[size:].reshape(size, size))
+        start = sums[:size] / max(1.0, least_rate)
+        targets = targets_of(start, model.domains, weights, no_less)
+        while len(steps) < MOST_STEPS:
+            residual = sums[:size] - targets
+            if np.abs(residual).max() <= TOLERANCE * targets.sum():
+                break
+            steps.append(inverse @ residual)
+            sums = _totals(members, steps, least_rate, size)
+    return model, members, steps
+
+
+def with_rates(
+    docs: DataFrame,
+    labelled: DataFrame,
+    rate_col: str,
+    *,
+    weights: dict[str, float] | None = None,
+    least_rate: float = 0.0,
+    no_less: bool = False,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The documents, all columns, with their rates: one pass that recomputes each text's
+    posterior, so nothing is joined by id."""
+    work = Workspace(docs.sparkSession, "mixing")
+    solved = solve(
+        docs, labelled, work, weights=weights, least_rate=least_rate, no_less=no_less,
+        id_col=id_col, text_col=text_col,
+    )
+    if solved is None:
+        return docs.withColumn(rate_col, F.lit(max(1.0, least_rate)))
+    model, members, steps = solved
+    work.drop(members)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in slices(batch[text_col]):
+                _, share = model.posteriors(texts)
+                rows = batch.slice(start, len(texts))
+                yield rows.append_column(rate_col, pa.array(replay(share, steps, least_rate)))
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(rate_col, T.DoubleType())]))
+
+
 def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, domain): the labelled documents of good quality that are not held out,
-    with their language as domain."""
+    """(doc_id, domain): the labelled documents of good quality that are not held out, with their
+    language as domain."""
     good = labels.filter("quality = 1").select("doc_id").distinct()
-    return (
-        docs.filter(fold("doc_id") != 0)
-        .join(good, "doc_id", "left_semi")
-        .select("doc_id", "text", F.col("lang").alias("domain"))
-    )
+    narrow = docs.select("doc_id", F.col("lang").alias("domain")).filter(fold("doc_id") != 0)
+    return narrow.join(good, "doc_id", "left_semi")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from rawstrata.llm import (
     op7_sentencepiece,
     op9_secret_scan,
 )
-from rawstrata.llm.common import Workspace, table
+from rawstrata.llm.common import Workspace, apart, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,10 +40,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One row of the document with the smallest id of each group. Rows without an id cannot be
     told apart by one, so they stay unless their set of shingles belongs to a row with an id."""
     work = Workspace(spark, "pipeline_near_duplicates")
-    found = work.write(op4_near_dedup.near_duplicates(docs).filter("kept"), "kept")
-    named = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    kept = named.join(found.select("doc_id").dropna().distinct(), "doc_id", "left_semi")
-    return kept.select(*docs.columns).unionByName(_kept_without_id(docs, found))
+    found = work.write(op4_near_dedup.near_duplicates(docs).select("doc_id", "kept"), "found")
+    per_id = found.dropna().groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    # Most documents stay and occur once: they are passed on and take part in no join.
+    concerned = work.write(per_id.filter("NOT kept OR n > 1"), "concerned")
+    maybe, others = apart(docs.filter("doc_id IS NOT NULL"), concerned)
+    gone = concerned.filter("NOT kept").select("doc_id")
+    kept = maybe.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return (
+        kept.select(*docs.columns)
+        .unionByName(others)
+        .unionByName(_kept_without_id(docs, found.filter("kept")))
+    )
 
 
 def _kept_without_id(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -61,19 +69,17 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A rate of 2.3 gives a document two rows and, with a chance of 0.3 decided by a hash of
     its id, a third one. No rate is below 1."""
     labels = table(spark, sf_dir, "labels")
-    rates = op1_mixing.mix(
-        docs, op1_mixing.labelled_languages(docs, labels), least_rate=1.0, no_less=True
+    name = "rate"
+    while name in docs.columns:
+        name += "_"
+    rated = op1_mixing.with_rates(
+        docs, op1_mixing.labelled_languages(docs, labels), name, least_rate=1.0, no_less=True
     )
-    rates = rates.groupBy(F.col("doc_id").alias("of")).agg(F.max("rate").alias("rate"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"))
-    chance = F.pmod(F.xxhash64("row_id", F.lit("mixing")), F.lit(1 << 20)) / float(1 << 20)
-    rate = F.coalesce("rate", F.lit(1.0))
+    rate = F.col(name)
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 20)) / float(1 << 20)
     copies = F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
-    return (
-        rows.join(rates, F.col("row_id") == F.col("of"), "left")
-        .select("row", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-        .select("row.*")
-    )
+    each = F.sequence(F.lit(1).cast("long"), copies)
+    return rated.withColumn(name, F.explode(each)).select(*docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,20 @@ def likely_among(rows: DataFrame, wanted: DataFrame, hash_col: str) -> DataFrame
     1 MB at most however many are wanted, so it is broadcast; once it is full it filters
     nothing, and the join behind it is as right as before.
     """
+    marked = _marked(rows, wanted, hash_col, "inner")
+    return marked.filter("_likely").select(*rows.columns)
+
+
+def apart(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose doc_id may be among those of ``ids``, and the rows whose surely is not. A
+    join that concerns few rows then shuffles few, and the others pass by."""
+    keyed = rows.select(F.struct("*").alias("row"), F.xxhash64("doc_id").alias("h"))
+    marked = _marked(keyed, ids.select(F.xxhash64("doc_id").alias("h")), "h", "left")
+    likely = F.coalesce("_likely", F.lit(False))
+    return marked.filter(likely).select("row.*"), marked.filter(~likely).select("row.*")
+
+
+def _marked(rows: DataFrame, wanted: DataFrame, hash_col: str, how: str) -> DataFrame:
     bit = F.pmod(F.col(hash_col), F.lit(BITMAP_BITS))
     pieces = (
         wanted.select(bit.alias("bit"))
@@ -59,11 +73,8 @@ def likely_among(rows: DataFrame, wanted: DataFrame, hash_col: str) -> DataFrame
     place = F.bitmap_bit_position(bit)
     byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
     is_set = F.call_function("shiftright", byte.cast("int"), (place % 8).cast("int")) % 2 == 1
-    return (
-        rows.join(F.broadcast(pieces), F.bitmap_bucket_number(bit) == F.col("piece"))
-        .filter(is_set)
-        .select(*rows.columns)
-    )
+    joined = rows.join(F.broadcast(pieces), F.bitmap_bucket_number(bit) == F.col("piece"), how)
+    return joined.withColumn("_likely", is_set)
 
 
 FOLDS = 5

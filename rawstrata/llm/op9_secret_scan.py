@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rawstrata.llm.common import Workspace, fold, table
+from rawstrata.llm.common import Workspace, apart, fold, table
 
 SHORTEST = 16
 MOST_FINDINGS = 20_000
@@ -178,7 +178,8 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     """The documents with every secret found in their texts replaced; ``n_chars`` follows.
 
     The secrets of a document (its own findings only) are put in order of falling length, so
-    one that is part of another is replaced after it.
+    one that is part of another is replaced after it. Only documents that may have secrets are
+    joined with them; the others are passed on.
     """
     secrets = (
         scan(docs)
@@ -186,7 +187,9 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
         .groupBy(F.col("doc_id").alias("of"))
         .agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("found"))
     )
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"))
+    secrets = Workspace(docs.sparkSession, "redact").write(secrets, "secrets")
+    concerned, others = apart(docs, secrets.select(F.col("of").alias("doc_id")))
+    rows = concerned.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"))
     joined = rows.join(secrets, F.col("row_id") == F.col("of"), "left")
     text = F.when(F.col("found").isNull(), F.col("row.text")).otherwise(
         F.aggregate(F.col("found.value"), F.col("row.text"), lambda t, v: F.replace(t, v, F.lit(mark)))
@@ -195,7 +198,8 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     if "n_chars" in docs.columns:
         size = F.when(F.col("found").isNull(), F.col("row.n_chars")).otherwise(F.length(text))
         changed["n_chars"] = size.cast(dict(docs.dtypes)["n_chars"])
-    return joined.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    cleaned = joined.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return cleaned.unionByName(others)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,7 +120,11 @@ def spanning_links(
         .groupBy("group")
         .agg(*[p.alias(f"p{s}") for s, p in enumerate(picks)])
     )
-    in_parts = group.join(pivots, "group", "left")
+    if many.isEmpty():  # nothing to choose pivots for
+        no_pivots = {f"p{s}": F.lit(None).cast("long") for s in range(PIVOTS)}
+        in_parts = group.withColumns(no_pivots)
+    else:
+        in_parts = group.join(pivots, "group", "left")
     is_pivot = F.coalesce(
         F.array_contains(F.array(*[f"p{s}" for s in range(PIVOTS)]), F.col("member")), F.lit(False)
     )

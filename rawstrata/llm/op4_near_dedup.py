@@ -192,6 +192,7 @@ def near_duplicates(
     alive = classes.filter("n > 0 AND rep IS NOT NULL")
 
     members, sizes = compared_nodes(alive, percent, work)
+    members = work.write(members, "members")  # read by every step below; the levels are not
     tokens = alive.select(F.col("rep").alias("member"), F.col("tokens").alias("payload"))
     candidates = spanning_links(
         members.withColumnRenamed("rep", "member"),

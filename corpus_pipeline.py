@@ -37,30 +37,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of the document with the smallest id of each group. Rows without an id cannot be
-    told apart by one, so they stay unless their set of shingles belongs to a row with an id."""
+    """One row of the document with the smallest id of each group. Rows without an id are one
+    per text and take part under made-up ids above all others, so that of each group a row with
+    an id stays where there is one. (Where no larger id is left, this fails.)"""
     work = Workspace(spark, "pipeline_near_duplicates")
-    found = work.write(op4_near_dedup.near_duplicates(docs).select("doc_id", "kept"), "found")
-    per_id = found.dropna().groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    with_id = docs.filter("doc_id IS NOT NULL")
+    largest = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0]
+    made_up = F.monotonically_increasing_id() + F.lit(0 if largest is None else largest + 1)
+    without_id = work.write(
+        docs.filter("doc_id IS NULL")
+        .dropDuplicates(["text"])
+        .select(F.struct("*").alias("row"), made_up.alias("made_up")),
+        "without_id",
+    )
+    named = with_id.select(F.col("doc_id").cast("long"), "text").unionByName(
+        without_id.select(F.col("made_up").alias("doc_id"), "row.text")
+    )
+    found = work.write(op4_near_dedup.near_duplicates(named).select("doc_id", "kept"), "found")
+    per_id = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     # Most documents stay and occur once: they are passed on and take part in no join.
     concerned = work.write(per_id.filter("NOT kept OR n > 1"), "concerned")
-    maybe, others = apart(docs.filter("doc_id IS NOT NULL"), concerned)
+    maybe, others = apart(with_id, concerned)
     gone = concerned.filter("NOT kept").select("doc_id")
     kept = maybe.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    kept_without_id = without_id.join(gone, F.col("made_up") == gone.doc_id, "left_anti")
     return (
         kept.select(*docs.columns)
         .unionByName(others)
-        .unionByName(_kept_without_id(docs, found.filter("kept")))
+        .unionByName(kept_without_id.select("row.*"))
     )
 
 
-def _kept_without_id(docs: DataFrame, found: DataFrame) -> DataFrame:
-    rows = docs.filter("doc_id IS NULL")
-    if rows.isEmpty() or found.filter("doc_id IS NULL").isEmpty():
-        return rows.limit(0)
-    return rows.dropDuplicates(["text"])
-
-
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op9_secret_scan.redact(docs)
 

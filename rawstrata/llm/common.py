@@ -57,8 +57,13 @@ def likely_among(rows: DataFrame, wanted: DataFrame, hash_col: str) -> DataFrame
 def apart(rows: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows whose doc_id may be among those of ``ids``, and the rows whose surely is not. A
     join that concerns few rows then shuffles few, and the others pass by."""
-    keyed = rows.select(F.struct("*").alias("row"), F.xxhash64("doc_id").alias("h"))
-    marked = _marked(keyed, ids.select(F.xxhash64("doc_id").alias("h")), "h", "left")
+    return apart_by(rows, F.xxhash64("doc_id"), ids.select(F.xxhash64("doc_id").alias("h")))
+
+
+def apart_by(rows: DataFrame, hashed: Column, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``apart``, by the rows' hash and a frame of the wanted ones, ``h``."""
+    keyed = rows.select(F.struct("*").alias("row"), hashed.alias("h"))
+    marked = _marked(keyed, wanted, "h", "left")
     likely = F.coalesce("_likely", F.lit(False))
     return marked.filter(likely).select("row.*"), marked.filter(~likely).select("row.*")
 

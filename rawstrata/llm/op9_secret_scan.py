@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rawstrata.llm.common import Workspace, apart, fold, table
+from rawstrata.llm.common import Workspace, apart_by, fold, table
 
 SHORTEST = 16
 MOST_FINDINGS = 20_000
@@ -55,25 +55,30 @@ FEATURES = (
 ).split()
 
 
-def findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, number, value, before, after, words): all candidates of all texts."""
+def findings(
+    docs: DataFrame, id_col: str, text_col: str, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, carried columns, number, value, before, after, words): all candidates of all
+    texts."""
     text = F.col(text_col)
     held = docs.filter(text.rlike(CANDIDATE)).select(
         F.col(id_col).cast("long").alias("doc_id"),
+        *carried,
         F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("values"),
         F.split(text, CANDIDATE, -1).alias("between"),
     )
     # Words of the document that could make up a candidate, each once.
     runs = F.expr("flatten(transform(between, b -> regexp_extract_all(lower(b), '[a-z]{4,}', 0)))")
-    found = held.select("doc_id", "values", "between", F.array_distinct(runs).alias("words"))
+    found = held.select("doc_id", *carried, "values", "between", F.array_distinct(runs).alias("words"))
     needed = F.array_distinct(
         F.expr("flatten(transform(values, v -> regexp_extract_all(lower(v), '[a-z]{4,}', 0)))")
     )
     return (
         found.withColumn("words", F.array_intersect("words", needed))
-        .select("doc_id", "between", "words", F.posexplode("values").alias("number", "value"))
+        .select("doc_id", *carried, "between", "words", F.posexplode("values").alias("number", "value"))
         .select(
             "doc_id",
+            *carried,
             "number",
             "value",
             F.expr(f"right(between[number], {BEFORE})").alias("before"),
@@ -137,13 +142,17 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     most_findings: int = MOST_FINDINGS,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, number (of the candidate in its text), value, before, probability, is_secret.
+    """doc_id, number (of the candidate in its text), value, before, probability, is_secret,
+    after the columns of the documents that are ``carried``.
 
     ``labelled`` has (doc_id, number, label): findings that were judged, 1 for a secret.
     """
     work = Workspace(docs.sparkSession, "secret_scan")
-    found = work.write(with_features(findings(docs, id_col, text_col)).drop("words"), "findings")
+    found = work.write(
+        with_features(findings(docs, id_col, text_col, carried)).drop("words"), "findings"
+    )
     if labelled is None:
         judged = found.withColumn("label", plain_cases(found))
     else:
@@ -158,7 +167,7 @@ def scan(
     )
     sample = work.write(sample.coalesce(1), "sample")  # the forest's draws follow the row order
     kinds = {r.label for r in sample.select("label").distinct().collect()}
-    result = ["doc_id", "number", "value", "before"]
+    result = [*carried, "doc_id", "number", "value", "before"]
     if kinds != {0.0, 1.0}:
         return found.select(
             *result, F.lit(1.0).alias("probability"), F.lit(True).alias("is_secret")
@@ -177,20 +186,22 @@ def scan(
 def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     """The documents with every secret found in their texts replaced; ``n_chars`` follows.
 
-    The secrets of a document (its own findings only) are put in order of falling length, so
-    one that is part of another is replaced after it. Only documents that may have secrets are
+    Findings follow from the text alone, so they are joined back by its hash: every row has its
+    own text's secrets replaced, with or without an id. They are put in order of falling length,
+    so one that is part of another is replaced after it. Only rows that may have secrets are
     joined with them; the others are passed on.
     """
+    hashed = F.xxhash64("text")
     secrets = (
-        scan(docs)
+        scan(docs.select("doc_id", "text", hashed.alias("of")), carried=("of",))
         .filter("is_secret")
-        .groupBy(F.col("doc_id").alias("of"))
+        .groupBy("of")
         .agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("found"))
     )
     secrets = Workspace(docs.sparkSession, "redact").write(secrets, "secrets")
-    concerned, others = apart(docs, secrets.select(F.col("of").alias("doc_id")))
-    rows = concerned.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"))
-    joined = rows.join(secrets, F.col("row_id") == F.col("of"), "left")
+    concerned, others = apart_by(docs, hashed, secrets.select(F.col("of").alias("h")))
+    rows = concerned.select(F.struct("*").alias("row"), hashed.alias("row_hash"))
+    joined = rows.join(secrets, F.col("row_hash") == F.col("of"), "left")
     text = F.when(F.col("found").isNull(), F.col("row.text")).otherwise(
         F.aggregate(F.col("found.value"), F.col("row.text"), lambda t, v: F.replace(t, v, F.lit(mark)))
     )

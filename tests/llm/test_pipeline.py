@@ -100,6 +100,41 @@ def test_odd_rows(spark, odd_documents, labels, tmp_path):
         assert pipeline.sentencepiece(spark, docs, str(tmp_path)).count() == docs.count()
 
 
+def test_rows_without_id(spark, documents):
+    """They lose secrets and near copies as rows with an id do."""
+    draw = random.Random(3)
+
+    def text(secret=False):
+        words = ["".join(draw.choice("abcdefg") for _ in range(5)) for _ in range(80)]
+        if secret:
+            words[40:40] = ["token", "=", f'"{draw.getrandbits(160):040x}"']
+        else:
+            words[40:40] = ["order", str(draw.randrange(10**15, 10**16))]
+        return " ".join(words)
+
+    def copy(of):
+        return of.rsplit(" ", 1)[0] + " changed"
+
+    with_id, leaky, clean = text(), text(secret=True), text()
+    rows = [(5, with_id), (None, copy(with_id)), (None, leaky), (None, copy(leaky)), (None, clean)]
+    rows += [(None, clean), (None, None), (7, text(secret=True))]
+    rows += [(10 + i, text(secret=i % 2 == 0)) for i in range(40)]
+    docs = documents([(i, t, "en", "a", len(t or "")) for i, t in rows])
+
+    single = pipeline.near_duplicates(spark, docs, "")
+    got = [r.text for r in single.collect() if r.doc_id is None]
+    assert len(got) == 3 and {None, clean} < set(got) and {leaky, copy(leaky)} & set(got)
+    ids = sorted(r.doc_id for r in single.collect() if r.doc_id is not None)
+    assert ids == [5, 7, *range(10, 50)]
+
+    redacted = pipeline.secrets(spark, docs, "").collect()
+    assert len(redacted) == len(rows)
+    assert sum("<SECRET>" in (r.text or "") for r in redacted) == 23
+    for r in redacted:
+        assert "token = \"<SECRET>" in r.text if "token" in (r.text or "") else r.text != ""
+        assert r.n_chars == len(r.text or "")
+
+
 def test_a_classifier_that_rejects_nothing_keeps_all(spark, odd_documents):
     model = op6_quality_classifier.AttentionModel(np.zeros(14), np.ones(14), 0.3)
     assert op6_quality_classifier.keep(odd_documents, model).count() == 10

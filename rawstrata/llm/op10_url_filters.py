@@ -15,9 +15,10 @@ A template is rejected if its smoothed share of labelled blocks reaches one half
 smoothed towards that of the same template path over all hosts, and this one towards the
 share over everything, so an unlabelled host takes what is known of its paths elsewhere.
 
-Levels beyond ``DEPTH`` form one last segment. Every level is two grouped counts that combine
-before the shuffle, so a hot host arrives as its distinct paths only. Main path: DataFrame
-expressions.
+The tree is as deep as the longest path; a path that has ended takes no part in deeper levels.
+The SQL joins what lies below ``DEPTH`` levels into one segment, so it compares only where no
+path is longer. Every level is two grouped counts that combine before the shuffle, so a hot host
+arrives as its distinct paths only. Main path: DataFrame expressions.
 
 Special cases: a null url, or one without ``://``, has an empty host and path, which are a
 template of their own; repeated rows count as often as they occur; an empty table gives an
@@ -51,7 +52,7 @@ RULES = (
     Rule("allow", "com", "/fr/"),
     Rule("block", "com", "/de/"),
 )
-DEPTH = 4
+DEPTH = 4  # of the SQL
 LONG_SEGMENT = 24  # characters above which a segment is variable
 MANY_CHILDREN = 16  # children of a node that may be mostly rare ...
 RARE_SHARE = 4  # ... when there are fewer than so many urls per child
@@ -88,12 +89,8 @@ def with_rules(parts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def segments(path: Column) -> Column:
-    """The path's non-empty segments; what lies below the deepest level is one segment."""
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    tail = F.array(F.array_join(F.slice(parts, DEPTH, 1_000_000), "/"))
-    return F.when(F.size(parts) <= DEPTH, parts).otherwise(
-        F.concat(F.slice(parts, 1, DEPTH - 1), tail)
-    )
+    """The path's non-empty segments."""
+    return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
 def is_variable(segment: Column) -> Column:
@@ -188,16 +185,20 @@ def url_filter(
         )
         .select("*", segments(F.col("path")).alias("segments"), F.lit("").alias("template"))
     )
-    for level in range(DEPTH):
-        grown = work.write(grow(paths, level), f"level{level}")
-        if level:
-            work.drop(paths)
-        paths = grown
+    paths = work.write(paths, "paths")
+    size = F.size("segments")
+    levels, ended = [paths], []
+    for level in range(paths.agg(F.max(size)).first()[0] or 0):
+        ended.append(paths.filter(size <= level))
+        paths = work.write(grow(paths.filter(size > level), level), f"level{level}")
+        levels.append(paths)
+    for frame in ended:
+        paths = paths.unionByName(frame)
     judged = work.write(
         paths.select("host", "path", "template").join(purity(paths), ["host", "template"]),
         "judged",
     )
-    work.drop(paths)
+    work.drop(*levels)
     rejected = F.when(F.col("share") >= REJECT, "block").otherwise("allow")
     return ruled.join(judged, ["host", "path"]).select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", rejected).alias("verdict"),

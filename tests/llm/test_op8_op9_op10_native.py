@@ -149,6 +149,20 @@ def test_templates_learn_from_labelled_pages(spark):
         assert got[i].verdict == ("block" if "/bad/" in url else "allow")
 
 
+def test_branches_below_four_levels(spark):
+    """Deep branches with other shares stay apart, and unlabelled pages take their own's."""
+    at = "a.com"
+    deep = {"/a/b/c/spam": "block", "/a/b/c/news": "allow", "/2024/05/x/y/z/spam": "block", "/2024/05/x/y/z/news": "allow"}
+    rules = tuple(op10_url_filters.Rule(v, at, f"{p}/{n}") for p, v in deep.items() for n in range(10, 50))
+    urls = [f"http://{at}{p}/{n}" for p in deep for n in range(10, 99)] + [f"http://{at}/a", f"http://{at}"]
+    got = verdicts(spark, urls, rules=rules)
+    for i, url in enumerate(urls[:-2]):
+        assert got[i].verdict == ("block" if "spam" in url else "allow")
+        assert got[i].template.split("/")[-2:] == ["spam" if "spam" in url else "news", "*"]
+        assert got[i].template.count("/") == got[i].path.count("/")
+    assert len(got) == len(urls) and got[len(urls) - 1].template == ""
+
+
 def test_alike_branches_merge(spark):
     rules = (op10_url_filters.Rule("allow", "a.com", "/"),)
     got = verdicts(spark, [f"http://a.com/{w}/x" for w in ("red", "blue", "green") for _ in range(5)], rules=rules)

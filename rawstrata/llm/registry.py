@@ -20,6 +20,7 @@ from rawstrata.llm.op7_sentencepiece import op7_sentencepiece
 from rawstrata.llm.op8_quality_rules import SQL as QUALITY_RULES_SQL, op8_quality_rules
 from rawstrata.llm.op9_secret_scan import op9_secret_scan
 from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filters
+from rawstrata.llm.op11_importance_resampling import SQL as RESAMPLING_SQL, op11_importance_resampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -50,6 +51,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_url_filters": op10_url_filters,
+    "op11_importance_resampling": op11_importance_resampling,
     "pipeline": pipeline,
 }
 QUERIES = {name: importable(query) for name, query in QUERIES.items()}
@@ -59,4 +61,5 @@ SQL = {
     "op4_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_RULES_SQL,
     "op10_url_filters": URL_FILTERS_SQL,
+    "op11_importance_resampling": RESAMPLING_SQL,
 }

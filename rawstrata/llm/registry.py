@@ -21,6 +21,7 @@ from rawstrata.llm.op8_quality_rules import SQL as QUALITY_RULES_SQL, op8_qualit
 from rawstrata.llm.op9_secret_scan import op9_secret_scan
 from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filters
 from rawstrata.llm.op11_importance_resampling import SQL as RESAMPLING_SQL, op11_importance_resampling
+from rawstrata.llm.op12_collocations import SQL as COLLOCATIONS_SQL, op12_collocations
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -52,6 +53,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_url_filters": op10_url_filters,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_collocations": op12_collocations,
     "pipeline": pipeline,
 }
 QUERIES = {name: importable(query) for name, query in QUERIES.items()}
@@ -62,4 +64,5 @@ SQL = {
     "op8_quality_rules": QUALITY_RULES_SQL,
     "op10_url_filters": URL_FILTERS_SQL,
     "op11_importance_resampling": RESAMPLING_SQL,
+    "op12_collocations": COLLOCATIONS_SQL,
 }

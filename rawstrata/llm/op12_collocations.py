@@ -38,7 +38,7 @@ LEAST_COUNT = 100
 TOP = 2000
 NO_LANGUAGE = "und"
 
-UNIT_BYTES = 12 << 20  # of text counted at once in a task
+UNIT_BYTES = 4 << 20  # of text counted at once in a task
 MASS_A_PART = 1 << 26  # occurrences dealt to one hash partition, as far as MOST_PARTS lets
 LEAST_PARTS, MOST_PARTS = 256, 1 << 16
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # of a bitmap

@@ -22,6 +22,7 @@ from rawstrata.llm.op9_secret_scan import op9_secret_scan
 from rawstrata.llm.op10_url_filters import SQL as URL_FILTERS_SQL, op10_url_filters
 from rawstrata.llm.op11_importance_resampling import SQL as RESAMPLING_SQL, op11_importance_resampling
 from rawstrata.llm.op12_collocations import SQL as COLLOCATIONS_SQL, op12_collocations
+from rawstrata.llm.op13_html_extraction import op13_html_extraction
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -54,6 +55,7 @@ QUERIES = {
     "op10_url_filters": op10_url_filters,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_collocations": op12_collocations,
+    "op13_html_extraction": op13_html_extraction,
     "pipeline": pipeline,
 }
 QUERIES = {name: importable(query) for name, query in QUERIES.items()}

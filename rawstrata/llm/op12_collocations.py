@@ -237,6 +237,29 @@ def phrases(
         yield Phrases(size, current_hashes, np.bincount(current, minlength=len(first)), first)
 
 
+HELD_ROWS = 1 << 19  # of counts a task adds up before it hands them on
+
+
+def added_up(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows with equal keys as one, their ``f`` added up, as far as a task's memory lets."""
+    held: list[pa.RecordBatch] = []
+
+    def together() -> pa.Table:
+        added = pa.Table.from_batches(held).group_by(keys).aggregate([("f", "sum")])
+        return added.rename_columns([*keys, "f"])
+
+    for part in parts:
+        held.append(part)
+        if sum(len(p) for p in held) >= HELD_ROWS:
+            table = together()
+            held = table.combine_chunks().to_batches()
+            if len(table) >= HELD_ROWS // 2:
+                yield from held
+                held = []
+    if held:
+        yield from together().combine_chunks().to_batches()
+
+
 def _text_of(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
@@ -246,7 +269,7 @@ def _text_of(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 def word_counts(docs: DataFrame, least: int, work: Workspace) -> DataFrame:
     """(lang, word, f, hash) of the frequent words, and a row without word for all words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in units(batches):
             counts = np.bincount(held.ids, minlength=len(held.hashes))
             every = np.bincount(held.language_of, counts, len(held.languages)).astype(np.int64)
@@ -262,8 +285,11 @@ def word_counts(docs: DataFrame, least: int, work: Workspace) -> DataFrame:
                 names=["lang", "word", "f", "hash"],
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from added_up(each(batches), ["lang", "word", "hash"])
+
     counted = (
-        docs.mapInArrow(run, "lang string, word string, f long, hash long")
+        docs.mapInArrow(run, "lang string, word string, hash long, f long")
         .groupBy("lang", "word")
         .agg(F.sum("f").alias("f"), F.first("hash").alias("hash"))
     )
@@ -385,7 +411,7 @@ def phrase_counts(docs: DataFrame, frequent, likely, longest: int, least: int, p
     """(lang, phrase, size, f) of all phrases of 2 to ``longest`` words found ``least`` times."""
     shift = np.uint64(64 - FINGERPRINT_BITS - parts.bit_length() + 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in units(batches):
             ids, piece = frequent_only(held, frequent.value)
             survived = likely.value
@@ -405,6 +431,9 @@ def phrase_counts(docs: DataFrame, frequent, likely, longest: int, least: int, p
                     names=["lang", "phrase", "size", "f"],
                 )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from added_up(each(batches), ["lang", "phrase", "size"])
+
     return (
         docs.mapInArrow(run, "lang string, phrase string, size int, f long")
         .groupBy("lang", "phrase", "size")

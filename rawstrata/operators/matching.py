@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rawstrata.contracts import RECORD_HASH, SOURCE_RECORD_ID, SOURCE_SYSTEM
 from rawstrata.functions.predicates import keys_equal
+from rawstrata.operators.keyfilter import bits_for, key_bitmap, likely_members
 
 # The default row identity.
 DEFAULT_KEYS = (SOURCE_SYSTEM, SOURCE_RECORD_ID)
@@ -96,20 +97,29 @@ def target_hits(
     *,
     null_safe: bool = True,
     broadcast_keys: bool = False,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Key and hash of the target rows whose key occurs in the batch.
 
     This is the one pass over the target, and it reads its key and hash columns only. With
     the batch's keys broadcast it needs no shuffle; ask for that only when they are known
-    to be small. Otherwise both sides shuffle. The batch has each key once by then, and
-    adaptive execution splits a hot key of the target.
+    to be small. Otherwise both sides shuffle, but of the target only rows that a bitmap of the
+    batch's keys lets pass, where the number of the batch's rows is known; ids in no order then
+    cost a target no shuffle either. The batch has each key once by then, and adaptive execution
+    splits a hot key of the target.
     """
-    wanted = _with_usable_keys(incoming.select(*keys), keys, null_safe).distinct()
-    if broadcast_keys:
-        wanted = F.broadcast(wanted)
+    named = _with_usable_keys(incoming.select(*keys), keys, null_safe)
+    wanted = named.distinct()
     columns = [*keys, RECORD_HASH] if RECORD_HASH in target.columns else list(keys)
+    held = target.select(*columns)
     on_keys = keys_equal("tgt", "src", keys, null_safe=null_safe)
-    return target.select(*columns).alias("tgt").join(wanted.alias("src"), on_keys, "left_semi")
+    if broadcast_keys or batch_rows is None:
+        wanted = F.broadcast(wanted) if broadcast_keys else wanted
+        return held.alias("tgt").join(wanted.alias("src"), on_keys, "left_semi")
+    bits = bits_for(batch_rows)
+    likely = likely_members(held, key_bitmap(named, keys, bits), keys, bits)
+    # Each key is there once, so this is the semi-join; that one would move below the bitmap.
+    return likely.alias("tgt").join(wanted.alias("src"), on_keys).select("tgt.*")
 
 
 def matched_keys(
@@ -119,6 +129,7 @@ def matched_keys(
     *,
     null_safe: bool = True,
     broadcast_keys: bool = False,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """One row per key that both sides hold, with its counts.
 
@@ -128,7 +139,12 @@ def matched_keys(
     match is a replay.
     """
     hits = target_hits(
-        incoming, target, keys, null_safe=null_safe, broadcast_keys=broadcast_keys
+        incoming,
+        target,
+        keys,
+        null_safe=null_safe,
+        broadcast_keys=broadcast_keys,
+        batch_rows=batch_rows,
     )
     hashed = RECORD_HASH in incoming.columns and RECORD_HASH in target.columns
 

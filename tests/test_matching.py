@@ -5,8 +5,9 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 from pyspark.sql import functions as F
 
-from rawstrata.functions.predicates import is_blank
+from rawstrata.functions.predicates import is_blank, keys_equal
 from rawstrata.operators import matching
+from rawstrata.operators.keyfilter import bits_for, key_bitmap, likely_members
 
 KEYS = ("_source_system", "source_record_id")
 SCHEMA = "_source_system string, source_record_id string, _record_hash string"
@@ -41,7 +42,7 @@ def test_counts_and_new_rows_equal_every_pair_compared(
 ):
     left, right = frame(spark, incoming), frame(spark, target)
     matched = matching.matched_keys(
-        left, right, KEYS, null_safe=null_safe, broadcast_keys=broadcast
+        left, right, KEYS, null_safe=null_safe, broadcast_keys=broadcast, batch_rows=len(incoming)
     )
     replays, conflicts, matched_rows, fresh = by_brute_force(incoming, target, null_safe)
     assert tuple(matching.classify(matched).first()) == (replays, conflicts, matched_rows)
@@ -167,6 +168,62 @@ def test_target_is_read_by_key_and_hash_and_not_shuffled_when_keys_are_broadcast
     assert len(read) == 1 and "payload" not in read[0]
 
 
+@pytest.fixture
+def random_ids(spark, tmp_path):
+    """A target whose ids are in no order, and a batch of a few of them and others."""
+    rows = spark.range(20_000).selectExpr(
+        "'erp' AS _source_system",
+        "IF(id % 5000 = 0, NULL, sha2(CAST(id AS string), 256)) AS source_record_id",
+        "CAST(id AS string) AS _record_hash",
+    )
+    rows.write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    batch = rows.filter("pmod(hash(_record_hash), 100) = 0").unionByName(
+        rows.filter("pmod(hash(_record_hash), 100) = 1").withColumn("_source_system", F.lit("crm"))
+    )
+    return batch, target
+
+
+def test_a_bitmap_of_keys_in_no_order_lets_few_other_rows_pass(random_ids):
+    batch, target = random_ids
+    bits = bits_for(batch.count())
+    likely = likely_members(target, key_bitmap(batch, KEYS, bits), KEYS, bits)
+    on_keys = keys_equal("t", "b", KEYS)
+    members = target.alias("t").join(batch.alias("b"), on_keys, "left_semi")
+    assert members.exceptAll(likely).count() == 0
+    assert likely.count() < members.count() + 0.12 * target.count()
+    full = likely_members(target, key_bitmap(batch, KEYS, 2), KEYS, 2)  # every bit is set
+    assert full.exceptAll(target).count() == 0 and full.count() == target.count()
+
+
+def test_large_batches_shuffle_likely_target_rows_only(spark, random_ids):
+    batch, target = random_ids
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = matching.target_hits(batch, target, KEYS, batch_rows=batch.count())
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        target_side = [line for line in plan.splitlines() if line.lstrip().startswith(":")]
+        shuffled = [i for i, line in enumerate(target_side) if "Exchange hashpartitioning" in line]
+        filtered = [i for i, line in enumerate(target_side) if "BroadcastHashJoin" in line]
+        assert shuffled[0] < filtered[0]  # the bitmap, below the target's shuffle
+        for null_safe in (True, False):
+            plain, pruned = (
+                matching.matched_keys(batch, target, KEYS, null_safe=null_safe, batch_rows=rows)
+                for rows in (None, batch.count())
+            )
+            assert pruned.exceptAll(plain).count() == plain.exceptAll(pruned).count() == 0
+            assert plain.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bitmaps_grow_with_the_keys_up_to_a_bound():
+    assert bits_for(0) == bits_for(1) == 1 << 15
+    assert bits_for(1 << 20) == 1 << 24
+    assert bits_for((1 << 20) + 1) == 1 << 25
+    assert bits_for(1 << 40) == 1 << 29
+
+
 def test_reduction_keeps_the_earliest_row_of_each_key(spark):
     df = spark.createDataFrame(
         [

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import asdict, make_dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from rawstrata.contracts import AUDIT_SCHEMA
 from rawstrata.operators.quality import ValidationMetrics
@@ -84,6 +87,13 @@ class IngestionAuditRecord(_Row):
         return replace(self, completed_at=datetime.now(timezone.utc))
 
 
+# The audit table's layout, beside its files and hidden from scans of them.
+LAYOUT_FILE = "_layout.json"
+
+# How Spark's writers name files.
+WRITTEN_FILE = re.compile(r"part-\d{5,}-[0-9a-f-]{36}[-.].*")
+
+
 def append_audit_record(
     spark: SparkSession,
     record: IngestionAuditRecord,
@@ -91,16 +101,47 @@ def append_audit_record(
     fmt: str = DEFAULT_FORMAT,
 ) -> None:
     """Add one row to the audit table, creating it first if need be. Anything else at the path,
-    a table with other columns included, is refused before a byte is written."""
+    a table with other columns included, is refused before a byte is written.
+
+    The table's layout stands in a small file, made by the append that first sees the table, so an
+    append opens that file and no other, however many rows there are. Only names are looked at
+    then: a file no writer of Spark's would name so is refused. A table that has no layout file
+    yet is judged by all its files, once.
+    """
     row = spark.createDataFrame([asdict(record)], AUDIT_SCHEMA).coalesce(1)
     state = storage.path_state(spark, audit_target, fmt)
     if state is PathState.FOREIGN:
         raise ValueError(f"Audit path exists but is not a {fmt} table: {audit_target}")
     if state is PathState.TABLE:
-        in_target_layout(row, _stored(spark, audit_target, fmt))
-        append_rows(row, audit_target, fmt)
+        append_rows(in_target_layout(row, _layout(spark, audit_target, fmt)), audit_target, fmt)
     else:
         create_table(row, audit_target, fmt, repeated=state is PathState.UNFINISHED)
+        _keep_layout(spark, row.schema, audit_target, fmt)
+
+
+def _keep_layout(spark: SparkSession, schema: StructType, audit_target: PathLike, fmt: str) -> None:
+    if fmt != "delta":
+        storage.create_exclusively(spark, storage.child(audit_target, LAYOUT_FILE), schema.json())
+
+
+def _layout(spark: SparkSession, audit_target: PathLike, fmt: str) -> DataFrame:
+    """An empty frame in the table's layout."""
+    if fmt == "delta":
+        return spark.read.format(fmt).load(str(audit_target)).limit(0)
+    kept = storage.child(audit_target, LAYOUT_FILE)
+    if storage.exists(spark, kept):
+        foreign = [
+            name
+            for name, _ in storage.entries(spark, audit_target)
+            if not name.startswith(("_", ".")) and not WRITTEN_FILE.fullmatch(name)
+        ]
+        if foreign:
+            raise ValueError(f"Audit path exists but cannot be read: {audit_target}: {foreign[:3]}")
+        return spark.createDataFrame([], StructType.fromJson(json.loads(storage.read_text(spark, kept))))
+    schema = _stored(spark, audit_target, fmt).schema
+    in_target_layout(spark.createDataFrame([], AUDIT_SCHEMA), spark.createDataFrame([], schema))
+    _keep_layout(spark, schema, audit_target, fmt)
+    return spark.createDataFrame([], schema)
 
 
 def _stored(spark: SparkSession, audit_target: PathLike, fmt: str) -> DataFrame:

@@ -17,6 +17,7 @@ from rawstrata.operators import matching
 from rawstrata.operators.matching import DEFAULT_KEYS, KeyBounds
 from rawstrata.session import staged
 from rawstrata.sources import storage
+from rawstrata.sources.claims import Claim, claimed
 from rawstrata.sources.storage import PathLike, PathState
 
 DEFAULT_FORMAT = "parquet"
@@ -101,20 +102,26 @@ def merge_new_records(
     *,
     fmt: str = DEFAULT_FORMAT,
     bounds: KeyBounds | None = None,
+    held_claim: Claim | None = None,
 ) -> WriteMetrics:
     """Append the rows whose key the target lacks, or nothing if any payload conflicts.
 
     The batch is written out once and its keys' range observed, so the target's scan is
     pruned to it. The matched keys are written out once and counted on the way; the anti-join
     reads that narrow table. The number of inserted rows is observed during the append.
-    ``bounds`` says that the caller has written the batch out already.
+    ``bounds`` says that the caller has written the batch out already. A claim the caller holds
+    is renewed right before the append, which so does not happen once another run took over.
     """
     matching.validate_merge_keys(df, merge_keys)
     held = read_table(spark, target, fmt)
     incoming = in_target_layout(df, held)
     with _staged_batch(incoming, merge_keys, bounds) as (batch, known):
         matches = matching.matched_keys(
-            batch, held.filter(known.covers()), merge_keys, broadcast_keys=known.may_broadcast
+            batch,
+            held.filter(known.covers()),
+            merge_keys,
+            broadcast_keys=known.may_broadcast,
+            batch_rows=known.rows,
         )
         counted, appended = Observation(), Observation()
         with staged(matches.observe(counted, *matching.match_counts()), "matched") as matched:
@@ -123,6 +130,8 @@ def merge_new_records(
             if not counts["hash_conflict_count"] and known.rows > counts["matched_row_count"]:
                 fresh = matching.new_rows(batch, matched, merge_keys)
                 rows = F.count(F.lit(1)).alias("rows")
+                if held_claim is not None:
+                    held_claim.renew()
                 append_rows(fresh.observe(appended, rows), target, fmt)
                 inserted = appended.get["rows"]
     return WriteMetrics(
@@ -142,16 +151,23 @@ def write_bronze_data(
     fmt: str = DEFAULT_FORMAT,
     bounds: KeyBounds | None = None,
 ) -> WriteMetrics:
-    """Create the table on the first write, merge on later ones, refuse a foreign path."""
-    state = storage.path_state(spark, target, fmt)
-    if state is PathState.FOREIGN:
-        raise ValueError(f"Target path exists but is not a {fmt} table: {target}")
-    if state is PathState.TABLE:
-        return merge_new_records(spark, df, target, merge_keys, fmt=fmt, bounds=bounds)
-    matching.validate_merge_keys(df, merge_keys)
-    create_table(df, target, fmt, repeated=state is PathState.UNFINISHED)
-    written = read_table(spark, target, fmt, df.schema).count()
-    return WriteMetrics(0, written, 0, written)
+    """Create the table on the first write, merge on later ones, refuse a foreign path.
+
+    The target is claimed for the time of the write, so that of two runs one is refused and no
+    key is added twice.
+    """
+    with claimed(spark, target) as held_claim:
+        state = storage.path_state(spark, target, fmt)
+        if state is PathState.FOREIGN:
+            raise ValueError(f"Target path exists but is not a {fmt} table: {target}")
+        if state is PathState.TABLE:
+            return merge_new_records(
+                spark, df, target, merge_keys, fmt=fmt, bounds=bounds, held_claim=held_claim
+            )
+        matching.validate_merge_keys(df, merge_keys)
+        create_table(df, target, fmt, repeated=state is PathState.UNFINISHED)
+        written = read_table(spark, target, fmt, df.schema).count()
+        return WriteMetrics(0, written, 0, written)
 
 
 def quoted(name: str) -> str:
@@ -203,9 +219,21 @@ def write_named_table(
     therefore added again by every run.
     """
     matching.validate_merge_keys(df, merge_keys)
-    if not register_table(spark, table, location, fmt):
-        df.write.format(fmt).option("path", str(location)).saveAsTable(table)
-        return
+    with claimed(spark, location) as held_claim:
+        if register_table(spark, table, location, fmt):
+            _merge_named(spark, df, table, merge_keys, bounds, held_claim)
+        else:
+            df.write.format(fmt).option("path", str(location)).saveAsTable(table)
+
+
+def _merge_named(
+    spark: SparkSession,
+    df: DataFrame,
+    table: str,
+    merge_keys: Sequence[str],
+    bounds: KeyBounds | None,
+    held_claim: Claim,
+) -> None:
     held = spark.table(table)
     incoming = in_target_layout(df, held)
     with _staged_batch(incoming, merge_keys, bounds) as (batch, known):
@@ -215,6 +243,7 @@ def write_named_table(
             merge_keys,
             null_safe=False,
             broadcast_keys=known.may_broadcast,
+            batch_rows=known.rows,
         )
         with staged(matches, "matched") as matched:
             conflict = matching.first_conflict(matched, merge_keys).first()
@@ -222,4 +251,5 @@ def write_named_table(
                 named = ", ".join(f"{key.lstrip('_')}={conflict[key]}" for key in merge_keys)
                 raise ValueError(f"Conflicting content for {table}: {named}")
             fresh = matching.new_rows(batch, matched, merge_keys, null_safe=False)
+            held_claim.renew()
             fresh.write.insertInto(table)

@@ -7,6 +7,7 @@ import re
 from enum import Enum
 
 from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 PathLike = str | os.PathLike
@@ -46,6 +47,57 @@ def delete(spark: SparkSession, path: PathLike) -> None:
     fs.delete(hadoop_path, True)
 
 
+def delete_empty(spark: SparkSession, path: PathLike) -> None:
+    """Remove a folder unless something is in it by now."""
+    fs, hadoop_path = _resolve(spark, path)
+    try:
+        fs.delete(hadoop_path, False)
+    except Py4JJavaError:
+        pass
+
+
+def create_exclusively(spark: SparkSession, path: PathLike, content: str) -> bool:
+    """Write a small file unless one exists; tells whether this call made it. Atomic where the
+    file system creates files exclusively, as HDFS and local ones do."""
+    fs, hadoop_path = _resolve(spark, path)
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: PathLike) -> str:
+    """Content of a small file."""
+    fs, hadoop_path = _resolve(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def touch(spark: SparkSession, path: PathLike, millis: int) -> None:
+    """Set a file's modification time."""
+    fs, hadoop_path = _resolve(spark, path)
+    fs.setTimes(hadoop_path, millis, -1)
+
+
+def entries(spark: SparkSession, path: PathLike) -> list[tuple[str, int]]:
+    """Names and modification times (milliseconds) in a folder; empty if there is none."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    listed = fs.listStatus(hadoop_path)
+    return sorted((e.getPath().getName(), e.getModificationTime()) for e in listed)
+
+
 def size_bytes(spark: SparkSession, path: PathLike) -> int:
     """Bytes below a path; 0 when it does not exist."""
     fs, hadoop_path = _resolve(spark, path)

@@ -54,3 +54,24 @@ def test_a_table_with_other_columns_is_refused(spark, record, target):
     with pytest.raises(ValueError, match="Columns differ"):
         append_audit_record(spark, record, target)
     assert sorted(target.rglob("*")) == before
+
+
+def test_appends_open_no_file_of_the_table(spark, record, target):
+    """Files that cannot be opened show it: they pass when only their names are looked at."""
+    append_audit_record(spark, record, target)
+    (written,) = target.glob("part-*.parquet")
+    content = written.read_bytes()
+    written.write_bytes(b"")
+    for crc in target.glob(".*.crc"):
+        crc.unlink()
+    append_audit_record(spark, record, target)
+    written.write_bytes(content)
+    assert read_table(spark, target, schema=None).count() == 2
+
+
+def test_a_table_without_layout_file_gets_one(spark, record, target):
+    append_audit_record(spark, record, target)
+    (target / "_layout.json").unlink()
+    append_audit_record(spark, record, target)
+    assert (target / "_layout.json").exists()
+    assert read_table(spark, target).count() == 2

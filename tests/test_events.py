@@ -1,4 +1,6 @@
+import json
 import uuid
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +107,118 @@ def test_a_location_with_other_content_is_refused(spark, table, tmp_path):
         events.create_log_table(spark, table, location=tmp_path / "log")
     assert not spark.catalog.tableExists(table)
     assert [p.name for p in (tmp_path / "log").iterdir()] == ["notes.txt"]
+
+
+def identified(spark, rows):
+    source = spark.createDataFrame(rows, "n int, level string")
+    return log_entries(
+        source,
+        batch_id="batch-1",
+        level=F.col("level"),
+        category=F.lit("FILE"),
+        message=F.lit("m"),
+        identity=[F.col("n")],
+    )
+
+
+def test_a_repeated_append_adds_nothing(spark, log):
+    rows = [(n, "INFO") for n in range(5)]
+    assert events.append_entries(identified(spark, rows[:2]), log, once=True) == 2  # then it died
+    assert events.append_entries(identified(spark, rows), log, once=True) == 3
+    assert events.append_entries(identified(spark, rows), log, once=True) == 0
+    assert spark.table(log).count() == spark.table(log).select("log_id").distinct().count() == 5
+
+
+def test_equal_identities_are_one_entry(spark, log):
+    rows = [(1, "INFO")] * 40 + [(None, "INFO"), (2, "DEBUG")]
+    assert events.append_entries(identified(spark, rows), log, once=True) == 2
+
+
+def test_ids_tell_values_apart(spark):
+    values = [("a", None), ("a", ""), (None, "a"), ("a,b", "c"), ("a", "b,c")]
+    frame = spark.createDataFrame(values, "x string, y string")
+    ids = {r[0] for r in frame.select(events.entry_id(F.col("x"), F.col("y"))).collect()}
+    assert len(ids) == len(values)
+    assert all(str(uuid.UUID(i)) == i for i in ids)
+
+
+def test_large_appends_look_ids_up_without_broadcasting_them(spark, log, monkeypatch):
+    rows = [(n, "INFO") for n in range(50)]
+    events.append_entries(identified(spark, rows[:30]), log, once=True)
+    monkeypatch.setattr(events.matching, "MAX_BROADCAST_BYTES", -1)
+    assert events.append_entries(identified(spark, rows), log, once=True) == 20
+
+
+def audit_rows(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "pipeline_run_id string, entity string, status string, inserted_row_count bigint, "
+        "started_at timestamp, completed_at timestamp",
+    )
+
+
+def test_start_and_end_of_runs(spark, log):
+    at = [datetime(2024, 1, 1, 0, minute) for minute in range(6)]
+    audits = audit_rows(
+        spark,
+        [
+            ("r1", "customer", "SUCCESS", 3, at[0], at[1]),
+            ("r1", "order", "SUCCESS", 4, at[1], at[2]),
+            ("r2", "customer", "SUCCESS_WITH_WARNINGS", 1, at[3], at[4]),
+            ("r3", "customer", "SUCCESS", 1, at[3], at[4]),
+            ("r3", "order", "FAILED", None, at[4], at[5]),
+        ],
+    )
+    for written in (6, 0):
+        assert events.append_entries(events.run_entries(audits), log, once=True) == written
+    found = {
+        (r.batch_id, r.log_level, r.message, r.logged_at) for r in spark.table(log).collect()
+    }
+    assert found == {
+        ("r1", "INFO", "Pipeline run started", at[0]),
+        ("r1", "INFO", "Pipeline run completed — SUCCESS", at[2]),
+        ("r2", "INFO", "Pipeline run started", at[3]),
+        ("r2", "ERROR", "Pipeline run completed — SUCCESS_WITH_WARNINGS", at[4]),
+        ("r3", "INFO", "Pipeline run started", at[3]),
+        ("r3", "ERROR", "Pipeline run completed — FAILED", at[5]),
+    }
+    blobs = {r.batch_id: r.details for r in spark.table(log).filter("details IS NOT NULL").collect()}
+    assert json.loads(blobs["r1"]) == {"status": "SUCCESS", "entities": 2, "inserted_row_count": 7}
+    assert events.run_entries(audits.limit(0)).count() == 0
+
+
+def test_helpers_set_level_and_entity(spark):
+    source = spark.createDataFrame([("m",)], "text string")
+    columns = {"batch_id": "b", "category": F.lit("FILE"), "message": F.col("text")}
+    made = {
+        "DEBUG": events.debug_entries, "INFO": events.info_entries,
+        "WARN": events.warn_entries, "ERROR": events.error_entries,
+    }
+    for level, helper in made.items():
+        assert [(r.log_level, r.message) for r in helper(source, **columns).collect()] == [(level, "m")]
+    row = events.entity_entries(source, "order", "WARN", **columns).first()
+    assert (row.entity_name, row.log_level) == ("order", "WARN")
+    assert events.entity_entries(source, "order", **columns).first().log_level == "INFO"
+    with pytest.raises(ValueError, match="Invalid log level 'LOUD'"):
+        events.entity_entries(source, "order", "LOUD", **columns)
+
+
+def test_settings_are_checked_before_they_are_taken():
+    settings = events.LogSettings()
+    assert settings.changed(min_log_level="warn", persist=False) == events.LogSettings("WARN", False)
+    for wrong, message in (
+        ({"colour": 1, "min_log_level": "WARN"}, "Unknown setting.*colour.*min_log_level, persist"),
+        ({"persist": "yes"}, "persist must be bool, got str"),
+        ({"min_log_level": 3}, "min_log_level must be str, got int"),
+        ({"min_log_level": "loud"}, "Invalid log level 'LOUD'.*DEBUG, INFO, WARN, ERROR"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            settings.changed(**wrong)
+
+
+def test_settings_decide_what_is_written(spark, log):
+    entries = entries_of(spark, [("DEBUG", "m", None), ("INFO", "m", None), ("ERROR", "m", None)])
+    quiet = events.LogSettings().changed(min_log_level="ERROR")
+    assert quiet.append(entries, log) == 1
+    assert quiet.changed(persist=False).append(entries, log) == 0
+    assert spark.table(log).count() == 1

@@ -12,9 +12,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from rawstrata.operators import matching
 from rawstrata.operators.audit import IngestionAuditRecord, append_audit_record
 from rawstrata.operators.enrich import add_metadata_columns, add_short_metadata_columns
-from rawstrata.operators.quality import apply_validation_policy, validate_bronze_data
+from rawstrata.operators.quality import (
+    apply_validation_policy,
+    check_required_columns,
+    validate_bronze_data,
+)
+from rawstrata.operators.quarantine import write_with_quarantine
 from rawstrata.operators.tables import (
     DEFAULT_FORMAT,
+    WriteMetrics,
     quoted,
     sql_text,
     write_bronze_data,
@@ -28,19 +34,29 @@ from rawstrata.sources.storage import PathLike, child
 # Fixed value: folder of the audit table below the bronze root.
 AUDIT_TABLE = "ingestion_audit"
 
+# Folder of the rows set aside, by entity and batch.
+QUARANTINE = "quarantine"
+
 # Fixed value: how a blocked batch is reported.
 CONFLICT_MESSAGE = "Found {count} hash conflicts for entity '{entity}'"
 
 
 @dataclass(frozen=True)
 class BronzeIngestionConfig:
-    """Where a batch comes from and where it goes."""
+    """Where a batch comes from and where it goes.
+
+    ``records_span_lines=False`` declares that no quoted field of the extracts holds a line break;
+    files of any size are then read in splits. ``quarantine`` lands the rows without defects and
+    sets the others aside, instead of refusing their whole batch.
+    """
 
     data_root: PathLike
     bronze_root: PathLike
     source_batch_id: str
     source_system: str
     table_format: str = DEFAULT_FORMAT
+    records_span_lines: bool = True
+    quarantine: bool = False
 
     def source_path(self, entity: str) -> str:
         return resolve_source_path(self.data_root, self.source_batch_id, entity)
@@ -48,12 +64,25 @@ class BronzeIngestionConfig:
     def target_path(self, entity: str) -> str:
         return child(self.bronze_root, entity)
 
+    def quarantine_path(self, entity: str) -> str:
+        return child(self.bronze_root, QUARANTINE, entity)
+
+
+def _load(spark: SparkSession, config: BronzeIngestionConfig, entity: str) -> DataFrame:
+    return load_entity_data(
+        spark,
+        config.data_root,
+        config.source_batch_id,
+        entity,
+        records_span_lines=config.records_span_lines,
+    )
+
 
 def load_and_enrich(
     spark: SparkSession, config: BronzeIngestionConfig, entity: str, pipeline_run_id: str
 ) -> DataFrame:
     """The entity's extract with hash and run metadata."""
-    raw = load_entity_data(spark, config.data_root, config.source_batch_id, entity)
+    raw = _load(spark, config, entity)
     return raw.transform(
         add_metadata_columns, config.source_batch_id, pipeline_run_id, config.source_system
     )
@@ -83,8 +112,11 @@ class _EntityRun:
         seen = Observation()
         observed = enriched.observe(seen, *matching.bounds_of(matching.DEFAULT_KEYS))
         with staged(observed, self.entity) as extract:
-            has_warnings = self.validate(extract)
-            self.write(extract, matching.key_bounds(seen.get, matching.DEFAULT_KEYS))
+            if self.config.quarantine:
+                has_warnings = self.set_aside(extract)
+            else:
+                has_warnings = self.validate(extract)
+                self.write(extract, matching.key_bounds(seen.get, matching.DEFAULT_KEYS))
         self.audit = self.audit.succeeded(has_warnings=has_warnings)
 
     def validate(self, extract: DataFrame) -> bool:
@@ -93,10 +125,33 @@ class _EntityRun:
         apply_validation_policy(report)
         return bool(report.metrics.corrupt_record_count)
 
+    def set_aside(self, extract: DataFrame) -> bool:
+        """Land the rows without defects; the counts are those of the whole extract. Missing
+        columns still refuse the batch."""
+        report = validate_bronze_data(extract, self.entity)
+        self.audit = self.audit.with_validation(report.metrics)
+        missing = check_required_columns(extract, self.entity)
+        if missing:
+            apply_validation_policy(report)
+        found = write_with_quarantine(
+            self.spark,
+            extract,
+            self.target,
+            self.config.quarantine_path(self.entity),
+            self.config.source_batch_id,
+            fmt=self.config.table_format,
+        )
+        self.take(found.written)
+        return bool(report.metrics.corrupt_record_count or found.quarantined_row_count)
+
     def write(self, extract: DataFrame, bounds: matching.KeyBounds) -> None:
-        metrics = write_bronze_data(
-            self.spark, extract, self.target, fmt=self.config.table_format, bounds=bounds
+        self.take(
+            write_bronze_data(
+                self.spark, extract, self.target, fmt=self.config.table_format, bounds=bounds
+            )
         )
+
+    def take(self, metrics: WriteMetrics) -> None:
         self.audit = self.audit.with_write(metrics)
         conflicts = metrics.hash_conflict_count
         if conflicts:
@@ -158,7 +213,7 @@ def ingest_named_entity(
     """
     root = sql_text(storage.qualified(spark, config.bronze_root))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION {root}")
-    raw = load_entity_data(spark, config.data_root, config.source_batch_id, entity)
+    raw = _load(spark, config, entity)
     enriched = add_short_metadata_columns(
         raw, config.source_batch_id, pipeline_run_id, config.source_system
     )

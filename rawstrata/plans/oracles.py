@@ -244,6 +244,37 @@ MALFORMED = "count(*) FILTER (p_size > 40)"
 ITEM_IDS = "(SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)"
 DUPLICATED = "count(*) FILTER (n > 1)"
 
+def entry_id(*identity: str) -> str:
+    """The id of an entry: parts of the hash of its identity as a JSON list."""
+    listed = " || ',' || ".join(f"'\"' || {value} || '\"'" for value in identity)
+    digest = f"sha256('[' || {listed} || ']')"
+    parts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return " || '-' || ".join(f"substr({digest}, {at}, {size})" for at, size in parts)
+
+
+def logged_at(column: str) -> str:
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f') AS logged_at"
+
+
+LOG_COLUMNS = (
+    ("log_id", "STRING", "UUID per log entry"),
+    ("batch_id", "STRING", "Unique identifier for this pipeline execution batch"),
+    ("entity_name", "STRING", "Which entity (customer, order, etc.), null for pipeline-level events"),
+    ("log_level", "STRING", "Severity level of the log entry"),
+    ("log_category", "STRING", "Functional area that produced the log entry"),
+    ("message", "STRING", "Human-readable log message"),
+    ("details", "STRING", "JSON blob for structured metadata (row counts, file paths, durations, etc.)"),
+    ("logged_at", "TIMESTAMP", "UTC timestamp of when the event was logged"),
+)
+LINE_ITEM_REASONS = """
+    concat_ws(', ',
+        CASE WHEN coalesce(source_record_id, '') = '' THEN 'blank id' END,
+        CASE WHEN source_record_id <> ''
+             AND count(*) OVER (PARTITION BY source_record_id) > 1 THEN 'duplicated id' END,
+        CASE WHEN _corrupt_record IS NOT NULL THEN 'malformed line' END,
+        CASE WHEN _record_hash IS NULL THEN 'no hash' END)
+"""
+
 ORACLES = {
     "scan_csv": f"SELECT *, {NO_CORRUPT} FROM ({as_text('customer')})",
     "scan_csv_corrupt": f"""
@@ -418,4 +449,80 @@ ORACLES = {
                    AS details, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS logged_at
         FROM events WHERE event_type <> 'signup'
     """,
+    "log_append_twice": f"""
+        SELECT {entry_id("'B001'", "'event'", "event_id")} AS log_id, 'B001' AS batch_id,
+               CAST(NULL AS VARCHAR) AS entity_name, 'INFO' AS log_level,
+               'INGESTION' AS log_category, event_type || ' by ' || user_id AS message,
+               CAST(NULL AS VARCHAR) AS details, {logged_at("ts")}
+        FROM events
+    """,
+    "log_levels": f"""
+        SELECT 'B001' AS batch_id, CASE event_type WHEN 'signup' THEN 'customer' END AS entity_name,
+               CASE event_type WHEN 'purchase' THEN 'WARN' ELSE 'ERROR' END AS log_level,
+               'INGESTION' AS log_category, CAST(event_id AS VARCHAR) AS message,
+               CAST(NULL AS VARCHAR) AS details, {logged_at("ts")}
+        FROM events WHERE event_type IN ('purchase', 'error', 'signup')
+    """,
+    "log_runs": f"""
+        WITH audits AS (
+            SELECT 'run-' || o_custkey AS run, o_orderpriority, count(*) AS n,
+                   min(o_orderdate) AS started, max(o_orderdate) AS completed,
+                   CASE WHEN count(*) FILTER (o_orderstatus = 'O') > 0 THEN 'FAILED'
+                        WHEN count(*) FILTER (o_orderstatus = 'P') > 0
+                        THEN 'SUCCESS_WITH_WARNINGS' ELSE 'SUCCESS' END AS status
+            FROM orders GROUP BY ALL),
+        runs AS (
+            SELECT run, min(started) AS started, max(completed) AS completed, count(*) AS entities,
+                   sum(n) AS inserted,
+                   CASE WHEN count(*) FILTER (status = 'FAILED') > 0 THEN 'FAILED'
+                        WHEN count(*) FILTER (status <> 'SUCCESS') > 0
+                        THEN 'SUCCESS_WITH_WARNINGS' ELSE 'SUCCESS' END AS status
+            FROM audits GROUP BY run)
+        SELECT {entry_id("run", "'PIPELINE'", "'start'")} AS log_id, run AS batch_id,
+               CAST(NULL AS VARCHAR) AS entity_name, 'INFO' AS log_level,
+               'PIPELINE' AS log_category, 'Pipeline run started' AS message,
+               CAST(NULL AS VARCHAR) AS details, {logged_at("started")}
+        FROM runs
+        UNION ALL
+        SELECT {entry_id("run", "'PIPELINE'", "'end'")}, run, NULL,
+               CASE status WHEN 'SUCCESS' THEN 'INFO' ELSE 'ERROR' END, 'PIPELINE',
+               'Pipeline run completed — ' || status,
+               '{{"status":"' || status || '","entities":' || entities
+                   || ',"inserted_row_count":' || inserted || '}}', {logged_at("completed")}
+        FROM runs
+    """,
+    "log_table_layout": "\nUNION ALL\n".join(
+        f"""
+        SELECT CAST({place} AS INTEGER) AS position, '{name}' AS name, '{kind}' AS kind,
+               '{comment}' AS comment, count(*) AS rows FROM events
+        """
+        for place, (name, kind, comment) in enumerate(LOG_COLUMNS, start=1)
+    ),
+    "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+    "quarantine_verdicts": f"""
+        SELECT 'event' AS kind, source_record_id,
+               concat_ws(', ',
+                   CASE WHEN coalesce(source_record_id, '') = '' THEN 'blank id' END,
+                   CASE WHEN event_type = 'click' AND props IS NOT NULL THEN 'malformed line' END,
+                   CASE WHEN _record_hash IS NULL THEN 'no hash' END) AS reasons
+        FROM ({EVENTS})
+        UNION ALL
+        SELECT 'line item', source_record_id, {LINE_ITEM_REASONS} FROM ({ITEMS})
+    """,
+    "quarantine_sinks": f"""
+        WITH judged AS (
+            SELECT event_id, user_id, source_record_id, _record_hash,
+                   concat_ws(', ',
+                       CASE WHEN coalesce(source_record_id, '') = '' THEN 'blank id' END,
+                       CASE WHEN _record_hash IS NULL THEN 'no hash' END) AS reasons
+            FROM ({EVENTS}))
+        SELECT 'landed' AS place, event_id, source_record_id, _record_hash, reasons
+        FROM judged WHERE reasons = ''
+        UNION ALL
+        SELECT 'B001', event_id, source_record_id, _record_hash, reasons
+        FROM judged WHERE reasons <> '' AND CAST(user_id AS BIGINT) % 2 = 0
+        UNION ALL
+        SELECT 'B002', event_id, source_record_id, _record_hash, reasons
+        FROM judged WHERE reasons <> ''
+    """,
 }

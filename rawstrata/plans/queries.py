@@ -23,7 +23,7 @@ from rawstrata.contracts import (
     text_schema,
 )
 from rawstrata.functions.hashing import piped_hash
-from rawstrata.operators import enrich, events, matching, quality, tables
+from rawstrata.operators import enrich, events, matching, quality, quarantine, tables
 from rawstrata.operators.audit import IngestionAuditRecord, append_audit_record
 from rawstrata.operators.matching import DEFAULT_KEYS
 from rawstrata.plans.ingestion import (
@@ -34,7 +34,6 @@ from rawstrata.plans.ingestion import (
 )
 from rawstrata.session import scratch_path, use_utc
 from rawstrata.sources.delimited import (
-    SplitLimits,
     load_entity_data,
     read_source_csv,
     resolve_source_path,
@@ -258,21 +257,21 @@ def scan_csv_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, whose texts hold line breaks, with every file read in splits."""
+    """Documents, whose texts hold line breaks, as an extract of part files, a task each."""
     documents = as_text(table(spark, sf_dir, "documents"))
     path = scratch_path(spark, "scan_csv_split")
-    add_extract(documents, path)
+    add_extract(documents.repartition(8), path)
     schema = text_schema(" ".join([*documents.columns, CORRUPT_RECORD]))
-    return read_source_csv(spark, schema, path, split_limits=SplitLimits(0, 0))
+    return read_source_csv(spark, schema, path)
 
 
 def scan_csv_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, which hold no line breaks, with every file read in splits."""
+    """Line items, declared to hold no line breaks, so that files are read in splits."""
     items = extract(spark, sf_dir, "lineitem", "l_orderkey")
     path = scratch_path(spark, "scan_csv_by_line")
     add_extract(items, path)
     schema = text_schema(" ".join([*items.columns, CORRUPT_RECORD]))
-    return read_source_csv(spark, schema, path, split_limits=SplitLimits(0, 0))
+    return read_source_csv(spark, schema, path, records_span_lines=False)
 
 
 def load_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -630,6 +629,162 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logged.withColumn("logged_at", F.date_format("logged_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
+def fresh_log(spark: SparkSession, label: str) -> str:
+    name = fresh_table_name()
+    events.create_log_table(spark, name, location=scratch_path(spark, label))
+    return name
+
+
+def logged(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name).withColumn(
+        "logged_at", F.date_format("logged_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+
+
+def identified_events(source: DataFrame) -> DataFrame:
+    """Events as entries whose ids come from the events' own ids."""
+    return events.info_entries(
+        source,
+        batch_id="B001",
+        category=F.lit("INGESTION"),
+        message=F.concat("event_type", F.lit(" by "), F.col("user_id").cast("string")),
+        logged_at=F.col("ts"),
+        identity=[F.lit("event"), F.col("event_id")],
+    )
+
+
+def log_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of events of which the purchases were logged before the first run died, appended
+    whole by two more runs: every event is there once, under the id it always has."""
+    name = fresh_log(spark, "log_append_twice")
+    entries = identified_events(table(spark, sf_dir, "events"))
+    events.append_entries(entries.filter("message LIKE 'purchase%'"), name, once=True)
+    for _ in range(2):
+        events.append_entries(entries, name, once=True)
+    return logged(spark, name)
+
+
+def log_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of each level's helper and of one about an entity, under settings that keep
+    warnings and errors, and under settings that keep nothing."""
+    name = fresh_log(spark, "log_levels")
+    source = table(spark, sf_dir, "events")
+    columns = {
+        "batch_id": "B001",
+        "category": F.lit("INGESTION"),
+        "message": F.col("event_id").cast("string"),
+        "logged_at": F.col("ts"),
+    }
+    helpers = {
+        "click": events.debug_entries,
+        "view": events.info_entries,
+        "purchase": events.warn_entries,
+        "error": events.error_entries,
+    }
+    settings = events.LogSettings().changed(min_log_level="warn")
+    for kind, helper in helpers.items():
+        rows = helper(source.filter(F.col("event_type") == kind), **columns)
+        settings.append(rows, name)
+        settings.changed(persist=False).append(rows, name)
+    of_user = source.filter("event_type = 'signup'")
+    settings.append(events.entity_entries(of_user, "customer", "ERROR", **columns), name)
+    return logged(spark, name).drop("log_id")
+
+
+def audited_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows as if every customer's orders had been landed by a run of their own, one
+    priority after another: open orders failed, those in status P gave warnings."""
+    status = (
+        F.when(F.max(F.col("o_orderstatus") == "O"), "FAILED")
+        .when(F.max(F.col("o_orderstatus") == "P"), "SUCCESS_WITH_WARNINGS")
+        .otherwise("SUCCESS")
+    )
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(
+            F.concat(F.lit("run-"), F.col("o_custkey").cast("string")).alias("pipeline_run_id"),
+            F.col("o_orderpriority").alias("entity"),
+        )
+        .agg(
+            status.alias("status"),
+            F.count("*").alias("inserted_row_count"),
+            F.min("o_orderdate").alias("started_at"),
+            F.max("o_orderdate").alias("completed_at"),
+        )
+    )
+
+
+def log_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start and end of every run, logged twice over and there once."""
+    name = fresh_log(spark, "log_runs")
+    entries = events.run_entries(audited_orders(spark, sf_dir))
+    for _ in range(2):
+        events.append_entries(entries, name, once=True)
+    return logged(spark, name)
+
+
+def log_table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of a log table made by its statement, with the number of events logged in it."""
+    name = fresh_table_name()
+    place = scratch_path(spark, "log_table_layout")
+    spark.sql(events.create_log_table_ddl(name, location=place))
+    events.append_entries(identified_events(table(spark, sf_dir, "events")), name)
+    rows = spark.table(name).count()
+    kinds = dict(part.rsplit(" ", 1) for part in events.log_schema_ddl().split(", "))
+    described = [
+        (place, field.name, kinds[field.name], field.metadata["comment"], rows)
+        for place, field in enumerate(spark.table(name).schema.fields, start=1)
+    ]
+    return spark.createDataFrame(
+        described, "position int, name string, kind string, comment string, rows bigint"
+    )
+
+
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five orders by id, from a table of them in that order."""
+    location = scratch_path(spark, "preview")
+    tables.create_table(table(spark, sf_dir, "orders").orderBy("o_orderkey").coalesce(1), location)
+    return tables.preview(tables.read_table(spark, location))
+
+
+def quarantine_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their defects, malformed lines included; line items by their order's id, which
+    most orders repeat."""
+    flawed = flawed_events(spark, sf_dir).withColumn(
+        CORRUPT_RECORD, F.when(F.col("event_type") == "click", F.col("props"))
+    )
+    items = flawed_line_items(spark, sf_dir)
+
+    def judged(df: DataFrame, kind: str) -> DataFrame:
+        verdicts = quarantine.row_verdicts(df, quality.duplicated_ids(df), malformed=True)
+        return verdicts.select(
+            F.lit(kind).alias("kind"),
+            SOURCE_RECORD_ID,
+            F.concat_ws(", ", quarantine.REASONS).alias("reasons"),
+        )
+
+    return judged(flawed, "event").unionByName(judged(items, "line item"))
+
+
+def quarantine_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of flawed events through both sinks, the second batch sent twice: what landed
+    and what was set aside, each row once."""
+    root = scratch_path(spark, "quarantine_sinks")
+    target, aside = child(root, "event"), child(root, "quarantine", "event")
+    flawed = flawed_events(spark, sf_dir).withColumn(SOURCE_SYSTEM, F.lit(SYSTEM))
+    early = F.col("user_id").cast("bigint") % 2 == 0
+    for batch_id, rows in (("B001", flawed.filter(early)), ("B002", flawed), ("B002", flawed)):
+        quarantine.write_with_quarantine(spark, rows, target, aside, batch_id)
+    landed = tables.read_table(spark, target)
+    columns = ["event_id", SOURCE_RECORD_ID, RECORD_HASH]
+    out = landed.select(F.lit("landed").alias("place"), *columns, F.lit("").alias("reasons"))
+    for batch_id in ("B001", "B002"):
+        rows = tables.read_table(spark, child(aside, batch_id))
+        reasons = F.concat_ws(", ", quarantine.REASONS).alias("reasons")
+        out = out.unionByName(rows.select(F.lit(batch_id).alias("place"), *columns, reasons))
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv": scan_csv,
     "scan_csv_corrupt": scan_csv_corrupt,
@@ -671,4 +826,11 @@ QUERIES: dict[str, Query] = {
     "ingest_outcomes": ingest_outcomes,
     "ingest_named": ingest_named,
     "event_log": event_log,
+    "log_append_twice": log_append_twice,
+    "log_levels": log_levels,
+    "log_runs": log_runs,
+    "log_table_layout": log_table_layout,
+    "preview": preview_rows,
+    "quarantine_verdicts": quarantine_verdicts,
+    "quarantine_sinks": quarantine_sinks,
 }

@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from rawstrata.contracts import CORRUPT_RECORD, resolve_entity_schema
-from rawstrata.sources.split_csv import read_in_splits
 from rawstrata.sources.storage import PathLike, child, data_files, exists, literal
 
-# A file up to this size is one task. The choice of reader never changes the rows.
-MAX_WHOLE_FILE_BYTES = 128 * 1024 * 1024
-
-# Suffixes of compressed files, which cannot be split by bytes.
-COMPRESSED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
-
 # How extracts are written. Everything else is the CSV reader's default.
 CSV_OPTIONS = {
     "header": "true",
@@ -37,12 +27,9 @@ def multi_line_scan(spark: SparkSession, schema: StructType, paths: list[str]) -
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(paths)
 
 
-class SplitLimits(NamedTuple):
-    """File sizes above which a file is no longer one task: where its lines are records, and
-    where records have to be put together from lines."""
-
-    by_line: int = MAX_WHOLE_FILE_BYTES
-    by_record: int = MAX_WHOLE_FILE_BYTES
+def line_scan(spark: SparkSession, schema: StructType, paths: list[str]) -> DataFrame:
+    """The CSV reader with one record a line: files are read in splits."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
 
 
 def read_source_csv(
@@ -50,37 +37,37 @@ def read_source_csv(
     schema: StructType,
     path: PathLike,
     *,
-    split_limits: SplitLimits = SplitLimits(),
+    records_span_lines: bool = True,
 ) -> DataFrame:
-    """Scan an extract under a declared schema. Columns bind by position; quoted fields may
-    hold line breaks; a malformed line is kept whole in the corrupt-record column.
+    """Scan an extract under a declared schema. Columns bind by position; a malformed line is
+    kept whole in the corrupt-record column.
 
-    The extract is a file, a folder or a pattern. Its files are listed once and named one by
-    one to whichever reader takes them, so names are never patterns and folder names never
-    become columns. Files above the limits are read in splits, with the same result.
+    Quoted fields may hold line breaks, and a file is then one task, so a large extract should
+    come as a folder of part files. An extract declared to have no such fields is read in splits
+    whatever its files' sizes. The extract is a file, a folder or a pattern. Its files are listed
+    once and named one by one, so names are never patterns and folder names never become columns.
     """
+    scan = multi_line_scan if records_span_lines else line_scan
     files = data_files(spark, path)
     if not files:
         if exists(spark, path):
             return spark.createDataFrame([], schema)
-        return multi_line_scan(spark, schema, [literal(path)])  # fails, naming the path
-    large = [
-        name for name, size in files if size > split_limits.by_line and not name.endswith(COMPRESSED)
-    ]
-    small = sorted({name for name, _ in files} - set(large))
-    scans = []
-    if large:
-        scans.append(
-            read_in_splits(spark, schema, CSV_OPTIONS, large, assemble_above=split_limits.by_record)
-        )
-    if small:
-        scans.append(multi_line_scan(spark, schema, [literal(name) for name in small]))
-    return reduce(DataFrame.unionByName, scans)
+        return scan(spark, schema, [literal(path)])  # fails, naming the path
+    return scan(spark, schema, sorted(literal(name) for name, _ in files))
 
 
 def load_entity_data(
-    spark: SparkSession, data_root: PathLike, source_batch_id: str, entity: str
+    spark: SparkSession,
+    data_root: PathLike,
+    source_batch_id: str,
+    entity: str,
+    *,
+    records_span_lines: bool = True,
 ) -> DataFrame:
     """Scan one entity of one batch."""
-    schema = resolve_entity_schema(entity)
-    return read_source_csv(spark, schema, resolve_source_path(data_root, source_batch_id, entity))
+    return read_source_csv(
+        spark,
+        resolve_entity_schema(entity),
+        resolve_source_path(data_root, source_batch_id, entity),
+        records_span_lines=records_span_lines,
+    )

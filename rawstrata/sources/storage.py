@@ -141,6 +141,11 @@ def path_state(spark: SparkSession, path: PathLike, fmt: str) -> PathState:
     return PathState.UNFINISHED if begun else PathState.FOREIGN
 
 
+def literal_name(name: str) -> str:
+    """A name for one folder: characters that separate or match are written as codes."""
+    return re.sub(r"[^A-Za-z0-9_.=-]|^[_.]", lambda m: f"%{ord(m[0]):02X}", name)
+
+
 def literal(path: PathLike) -> str:
     """A path that readers take as it stands and not as a pattern."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", os.fspath(path))

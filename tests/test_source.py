@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -83,3 +85,74 @@ def test_entity_loads_from_a_file_or_a_folder_of_parts(spark, tmp_path, as_folde
         f"r{number}" for number in range(len(parts))
     ]
     assert corrupt_rows(loaded).collect() == []
+
+
+PAIR = text_schema("h1 h2 _corrupt_record")
+
+
+def content(df):
+    return Counter(tuple(row) for row in df.collect())
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = {}
+    for name, value in (("maxPartitionBytes", "64"), ("openCostInBytes", "0")):
+        key = f"spark.sql.files.{name}"
+        before[key] = spark.conf.get(key)
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_an_extract_of_one_line_records_is_read_in_splits(spark, tmp_path, small_splits):
+    folder = tmp_path / "extract.csv"
+    folder.mkdir()
+    for n, end in enumerate(["\n", "\r\n"]):
+        rows = [f'{i},"a, ""b"" {n}"' if i % 3 else f"{i},x,y" if i % 2 else f"{i}" for i in range(100)]
+        (folder / f"part-{n}.csv").write_bytes((end.join(["h1,h2", *rows, ""])).encode())
+    whole = read_source_csv(spark, PAIR, folder)
+    split = read_source_csv(spark, PAIR, folder, records_span_lines=False)
+    assert content(whole) == content(split) and whole.count() == 200
+    assert whole.rdd.getNumPartitions() == 2
+    assert split.rdd.getNumPartitions() > 10
+
+
+def test_part_files_of_records_that_span_lines_are_tasks_of_their_own(spark, tmp_path, small_splits):
+    rows = spark.range(60).selectExpr("CAST(id AS string) AS h1", "concat('a\n\"', id, '\"') AS h2")
+    folder = str(tmp_path / "extract.csv")
+    rows.repartition(6).write.options(header=True).csv(folder)
+    scanned = read_source_csv(spark, PAIR, folder)
+    assert scanned.rdd.getNumPartitions() == 6
+    assert {(r.h1, r.h2) for r in scanned.collect()} == {(str(i), f'a\n"{i}"') for i in range(60)}
+
+
+def test_folder_of_plain_and_compressed_files(spark, tmp_path):
+    folder = tmp_path / "extract.csv"
+    spark.createDataFrame([("z", "zipped\ntext")], "h1 string, h2 string").write.options(
+        header=True, compression="gzip"
+    ).csv(str(folder))
+    (folder / "plain.csv").write_text("h1,h2\n" + "4,5\n" * 100 + '6,"\n"\n')
+    got = content(read_source_csv(spark, PAIR, folder))
+    assert got == {("z", "zipped\ntext", None): 1, ("4", "5", None): 100, ("6", "\n", None): 1}
+
+
+@pytest.mark.parametrize("span", [True, False])
+def test_names_patterns_and_folders_never_change_the_rows(spark, tmp_path, span):
+    """Names that look like patterns, folders that look like partitions, and patterns."""
+    folder = tmp_path / "extract.csv"
+    (folder / "day=1").mkdir(parents=True)
+    (folder / "part-[1].csv").write_text("h1,h2\n1,x\n")
+    (folder / "part-1.csv").write_text("h1,h2\n2,3\n")
+    (folder / "day=1" / "{a,b}*.csv").write_text("h1,h2\n4,5\n" + "6,7\n" * 40)
+    (folder / "_notes").write_text("not,data\n")
+    rows = read_source_csv(spark, PAIR, folder, records_span_lines=span)
+    assert rows.columns == PAIR.names
+    assert content(rows) == {
+        ("1", "x", None): 1, ("2", "3", None): 1, ("4", "5", None): 1, ("6", "7", None): 40
+    }
+    some = read_source_csv(spark, PAIR, tmp_path / "*.csv" / "part-*", records_span_lines=span)
+    assert content(some) == {("1", "x", None): 1, ("2", "3", None): 1}
+    (tmp_path / "empty.csv").mkdir()
+    assert read_source_csv(spark, PAIR, tmp_path / "empty.csv", records_span_lines=span).count() == 0

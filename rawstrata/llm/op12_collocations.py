@@ -12,7 +12,8 @@ below the threshold: a frequent phrase always keeps a counter. What survives is
 whose counter plus the summary's error reaches the threshold; equal hashes only add survivors.
 
 Second pass: phrases that may have survived (a bitmap of at most ``MOST_BITS`` bits says so,
-never wrongly no) are counted by their text, exactly, and those below the threshold go.
+never wrongly no) are counted by their text, exactly, first in every task and then by hash
+partition, and those below the threshold go.
 
 Special cases: a null text counts as empty, a null language as ``und``; ids are not used, so
 nulls and repeated rows need no care (a repeated row counts again); an empty table, or one
@@ -23,6 +24,7 @@ longer than a unit is cut between two pieces, which changes no count.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -41,8 +43,8 @@ NO_LANGUAGE = "und"
 UNIT_BYTES = 4 << 20  # of text counted at once in a task
 MASS_A_PART = 1 << 26  # occurrences dealt to one hash partition, as far as MOST_PARTS lets
 LEAST_PARTS, MOST_PARTS = 256, 1 << 16
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # of a bitmap
-BITS_EACH = 16
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # of a bitmap, 32 MB
+BITS_EACH = 64
 SALTS = 16  # of words that many phrases begin or end with
 
 CUT = np.zeros(256, dtype=bool)
@@ -237,27 +239,27 @@ def phrases(
         yield Phrases(size, current_hashes, np.bincount(current, minlength=len(first)), first)
 
 
-HELD_ROWS = 1 << 19  # of counts a task adds up before it hands them on
+HELD_ROWS = 1 << 18  # of counts a task adds up before it hands them on
 
 
 def added_up(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows with equal keys as one, their ``f`` added up, as far as a task's memory lets."""
     held: list[pa.RecordBatch] = []
-
-    def together() -> pa.Table:
-        added = pa.Table.from_batches(held).group_by(keys).aggregate([("f", "sum")])
-        return added.rename_columns([*keys, "f"])
-
     for part in parts:
         held.append(part)
         if sum(len(p) for p in held) >= HELD_ROWS:
-            table = together()
-            held = table.combine_chunks().to_batches()
+            table = _together(held, keys)
+            held = table.to_batches()
             if len(table) >= HELD_ROWS // 2:
                 yield from held
                 held = []
     if held:
-        yield from together().combine_chunks().to_batches()
+        yield from _together(held, keys).to_batches()
+
+
+def _together(parts: list[pa.RecordBatch], keys: list[str]) -> pa.Table:
+    added = pa.Table.from_batches(parts).group_by(keys).aggregate([("f", "sum")])
+    return added.rename_columns([*keys, "f"]).combine_chunks()
 
 
 def _text_of(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
@@ -410,6 +412,7 @@ def surviving(dealt: DataFrame, threshold: int, parts: int) -> DataFrame:
 def phrase_counts(docs: DataFrame, frequent, likely, longest: int, least: int, parts: int) -> DataFrame:
     """(lang, phrase, size, f) of all phrases of 2 to ``longest`` words found ``least`` times."""
     shift = np.uint64(64 - FINGERPRINT_BITS - parts.bit_length() + 1)
+    columns = ["lang", "phrase", "size", "f"]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in units(batches):
@@ -421,27 +424,62 @@ def phrase_counts(docs: DataFrame, frequent, likely, longest: int, least: int, p
                     for j in range(found.size)
                 ]
                 blank = pa.scalar(" ", pa.large_string())
+                part = (found.hashes >> shift >> np.uint64(FINGERPRINT_BITS)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(part),
                         held.languages.take(pa.array(held.language_of[ids[found.places]])),
                         pc.binary_join_element_wise(*texts, blank),
                         pa.array(np.full(len(found.counts), found.size, dtype=np.int32)),
                         pa.array(found.counts),
                     ],
-                    names=["lang", "phrase", "size", "f"],
+                    names=["part", *columns],
                 )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from added_up(each(batches), ["lang", "phrase", "size"])
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The counts of a task, packed by hash partition."""
+        for added in added_up(each(batches), ["part", *columns[:3]]):
+            order = np.argsort(np.asarray(added["part"]), kind="stable")
+            added = added.take(pa.array(order))
+            part = np.asarray(added["part"])
+            begins = np.flatnonzero(np.diff(part, prepend=-1))
+            offsets = pa.array(np.append(begins, len(part)).astype(np.int32))
+            packed = [pa.ListArray.from_arrays(offsets, added[c].cast(t)) for c, t in PACKED.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(part[begins]), *packed], names=["part", *columns])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums of every partition, whose packs follow one another."""
+
+        def unpacked() -> Iterator[tuple[int, pa.RecordBatch]]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    one = [batch[c].slice(i, 1).flatten() for c in columns]
+                    yield batch["part"][i].as_py(), pa.RecordBatch.from_arrays(one, names=columns)
+
+        for _, packs in groupby(unpacked(), key=lambda found: found[0]):
+            held, rows = [], 0
+            for _, pack in packs:
+                held.append(pack)
+                rows += len(pack)
+                if rows >= HELD_ROWS:
+                    held = _together(held, columns[:3]).to_batches()
+                    rows = sum(len(b) for b in held) // 2  # what stays does not count twice
+            every = _together(held, columns[:3])
+            yield from every.filter(pc.field("f") >= least).combine_chunks().to_batches()
 
     return (
-        docs.mapInArrow(run, "lang string, phrase string, size int, f long")
-        .groupBy("lang", "phrase", "size")
-        .agg(F.sum("f").alias("f"))
-        .filter(F.col("f") >= least)
+        docs.mapInArrow(
+            deal, "part int, lang array<string>, phrase array<string>, size array<int>, f array<long>"
+        )
+        .repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(add, "lang string, phrase string, size int, f long")
     )
 
 
+PACKED = {"lang": pa.string(), "phrase": pa.string(), "size": pa.int32(), "f": pa.int64()}
+
+
 def frequent_phrases(
     docs: DataFrame,
     work: Workspace,

@@ -32,6 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from rawstrata.llm.bitmap import Bitmap, bitmap
 from rawstrata.llm.common import Workspace, table
 from rawstrata.llm.words import Words, hash_words, mix, raw_bytes, split_words
 
@@ -156,38 +157,6 @@ def unit(texts: pa.Array, languages: pa.Array) -> Unit:
     )
 
 
-class Bitmap:
-    """Which hashes may be wanted: one bit each, at most ``MOST_BITS`` of them."""
-
-    def __init__(self, bits: int, data: np.ndarray):
-        self.bits, self.data = bits, data
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & np.uint64(self.bits - 1)
-        byte = self.data[(at >> np.uint64(3)).astype(np.int64)]
-        return (byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def bitmap(hashes: DataFrame, wanted: int) -> Bitmap:
-    """Of a frame of 64-bit ``hash``, ``wanted`` rows of them."""
-    bits = LEAST_BITS
-    while bits < min(MOST_BITS, wanted * BITS_EACH):
-        bits *= 2
-    place = F.col("hash").bitwiseAND(F.lit(bits - 1)) + 1
-    pieces = (
-        hashes.select(place.alias("bit"))
-        .groupBy(F.bitmap_bucket_number("bit").alias("piece"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bytes"))
-        .toArrow()  # MOST_BITS bits at most
-    )
-    data = np.zeros(bits // 8, dtype=np.uint8)
-    for piece, held in zip(pieces["piece"].to_pylist(), pieces["bytes"].to_pylist(), strict=True):
-        part = np.frombuffer(held, dtype=np.uint8)
-        start = (piece - 1) * len(part)
-        data[start : start + len(part)] = part[: len(data) - start]
-    return Bitmap(bits, data)
-
-
 class Phrases(NamedTuple):
     """Distinct phrases of one length in a unit."""
 
@@ -480,6 +449,10 @@ def phrase_counts(docs: DataFrame, frequent, likely, longest: int, least: int, p
 PACKED = {"lang": pa.string(), "phrase": pa.string(), "size": pa.int32(), "f": pa.int64()}
 
 
+def _bitmap_sizes() -> dict[str, int]:
+    return {"bits_each": BITS_EACH, "least": LEAST_BITS, "most": MOST_BITS}
+
+
 def frequent_phrases(
     docs: DataFrame,
     work: Workspace,
@@ -500,13 +473,15 @@ def frequent_phrases(
     parts = LEAST_PARTS
     while parts < MOST_PARTS and parts * MASS_A_PART < mass * (longest - 1):
         parts *= 2
-    frequent = spark.sparkContext.broadcast(bitmap(words.filter("word IS NOT NULL"), n_words))
+    frequent = spark.sparkContext.broadcast(
+        bitmap(words.filter("word IS NOT NULL"), n_words, **_bitmap_sizes())
+    )
     survivors = work.write(
         surviving(dealt_counts(texts, frequent, longest, parts), least, parts), "survivors"
     )
     shift = 64 - FINGERPRINT_BITS - parts.bit_length() + 1
     leading = survivors.select(F.shiftrightunsigned("hash", shift).alias("hash"))
-    likely = spark.sparkContext.broadcast(bitmap(leading, survivors.count()))
+    likely = spark.sparkContext.broadcast(bitmap(leading, survivors.count(), **_bitmap_sizes()))
     found = work.write(phrase_counts(texts, frequent, likely, longest, least, parts), "phrases")
     work.drop(survivors)
     return words, found

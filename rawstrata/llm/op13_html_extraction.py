@@ -517,8 +517,20 @@ def self_labelled(pages: DataFrame, *, html_col: str = "html", most_pages: int =
 
     # Pages that may mark one, by their text; twice as many as wanted, as some will not.
     likely = pages.select(F.col(html_col).alias("html")).filter(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    chosen = likely.orderBy(F.xxhash64("html"), "html").limit(2 * most_pages)
-    return chosen.mapInArrow(run, "html string, text string").filter("text IS NOT NULL").limit(most_pages)
+    found = _by_hash(likely, 2 * most_pages).mapInArrow(run, "html string, text string")
+    return found.filter("text IS NOT NULL").limit(most_pages)
+
+
+def _by_hash(rows: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` distinct rows by a hash of them. Only hashes are sorted; equal rows
+    become one in every task, so neither they nor long pages meet."""
+    hashed = rows.withColumn("_hash", F.xxhash64(*rows.columns))
+    order = hashed.select("_hash").distinct().orderBy("_hash").limit(most)
+    last = order.agg(F.max("_hash")).first()[0]
+    if last is None:
+        return rows.limit(0)
+    first = hashed.filter(F.col("_hash") <= last).groupBy("_hash")
+    return first.agg(*[F.first(c).alias(c) for c in rows.columns]).drop("_hash")
 
 
 def fit(
@@ -550,7 +562,7 @@ def fit(
     spark = labelled.sparkSession
     work = Workspace(spark, "html_extraction")
     rows = labelled.select(F.col(html_col).alias("html"), F.col(text_col).alias("text"))
-    rows = rows.orderBy(F.xxhash64("html", "text"), "html", "text").limit(most_pages)
+    rows = _by_hash(rows, most_pages)
     held = work.write(
         rows.mapInArrow(run, "n long, x binary, parent binary, kind binary, label binary"), "learned"
     )

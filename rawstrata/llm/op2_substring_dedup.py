@@ -3,27 +3,34 @@
 Seeds: hashes of ``SEED`` consecutive words, thinned by winnowing: of every ``WINDOW``
 consecutive ones the least is kept, so any exact run of SEED + WINDOW - 1 words that two texts
 share gives both the same seed. A seed that recurs at once, as in a run of one word, carries
-the number of its turn, so the n-th of a run meets the n-th. Where a seed begins, the hash of
-the ``LONG_SEED`` words from there on is a second, long seed. Any exact run of ``LEAST_WORDS``
-words that two texts share holds one whole.
-
-Join: a seed in several documents is matched with its occurrence in the smallest of their ids
-(its owner), so a passage that thousands share gives one match per occurrence, never a pair
-of all. Where the parts of a passage have owners of their own, its long seeds are owned by the
-first document that holds the parts together, and they match all along. What
-can still be missed: a passage of which all long seeds have owners that share at least
-``LONG_SEED`` but fewer than ``LEAST_WORDS`` words with it. The owner comes from a grouped minimum, which combines before the shuffle, and is
-joined back; a hot seed is on the splittable side of that join.
+the number of its turn, so the n-th of a run meets the n-th.
+
+Shared seeds: a first pass over the texts deals four bytes of every seed to hash partitions and
+finds those met twice. A bitmap of them, ``MOST_BITS`` bits at most, then keeps the seeds that one
+document alone holds out of the shuffle; it never rejects a shared seed. The second pass makes the
+seeds that remain and, where all seeds of a stretch are shared, long seeds: hashes of the
+``LONG_SEED`` words from a seed on. Any exact run of ``LEAST_WORDS`` words that two texts share
+holds one whole.
+
+Join: rows are sorted by seed, document and place, and a seed in several documents is matched with
+its occurrence in the smallest of their ids (its owner), so a passage that thousands share gives
+one match per occurrence, never a pair of all. Where the parts of a passage have owners of their
+own, its long seeds are owned by the first document that holds the parts together, and they match
+all along. What can still be missed: a passage of which all long seeds have owners that share at
+least ``LONG_SEED`` but fewer than ``LEAST_WORDS`` words with it. A seed met in more than ``HOT``
+places is dealt to ``SALTS`` tasks by document: each finds the owner among its documents, and these
+owners are matched with the smallest of them in a second step, so no task holds a hot seed alone.
 
 Chains: the matches of a (document, owner) pair, ordered by place, are chained so that both
 places rise. A match scores ``SEED``, and a gap costs ``GAP_COST`` per word skipped on either
-side. The best predecessor is a prefix maximum over owner places, kept in a Fenwick tree, so a
-pair of m matches takes m log m steps. Chains are cut where a gap exceeds ``MOST_GAP`` words.
+side, less than a match earns for any gap within a chain. The best predecessor is a prefix maximum
+over owner places, kept in a Fenwick tree, so a pair of m matches takes m log m steps. Chains are
+cut where a gap exceeds ``MOST_GAP`` words between seeds.
 
 Alignment: the words around each chain are fetched from both texts and aligned: equal runs and
 stretches of the same length place by place, other gaps by edit distance, the ends as
 far as the score does not drop. Passages of at least ``LEAST_WORDS`` words with a share of at
-least ``LEAST_IDENTITY`` equal words are returned.
+least ``LEAST_IDENTITY`` equal words are returned. Words are compared by 32 bits of a hash.
 
 Special cases: null ids and null texts take no part; texts shorter than a passage have no
 chains; whole copies are passages as long as the text; repeated rows of one id are one
@@ -34,32 +41,49 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rawstrata.llm.common import Workspace, table
+from rawstrata.llm.bitmap import bitmap
+from rawstrata.llm.common import Workspace, apart_by, table
 from rawstrata.llm.graph import runs
 from rawstrata.llm.words import hash_shingles, hash_words, mix, slices, split_words
 
-SEED = 6
-WINDOW = 10
+SEED = 5
+WINDOW = 5
 LEAST_WORDS = 50
 LEAST_IDENTITY = 0.8
 LONG_SEED = LEAST_WORDS - WINDOW + 1  # the first seed of a run begins in its first window
-LONG_STEP = 7  # words between the matches of a long seed: worth more than the gap costs
+LONG_STEP = 7  # words between the matches of a long seed
 
-GAP_COST = 0.25
 MOST_GAP = 30  # words without a seed inside a chain, on either side
+GAP_COST = 0.99 * SEED / (2 * (MOST_GAP + SEED))  # a gap that no chain is cut at pays
 MARGIN = 40  # words beside a chain that the alignment may take in
-LEAST_CHAIN = LEAST_WORDS - 2 * (SEED + WINDOW)  # words a chain spans before it is aligned
+LEAST_CHAIN = 16  # words a chain spans before it is aligned
 LOAD = 200  # chains whose words are cut from a text at once
 
+BYTES_A_PART = 1 << 25  # of text whose seeds are dealt to one hash partition
+LEAST_PARTS, MOST_PARTS = 256, 1 << 16
+BITS_EACH = 16
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28  # of a bitmap, 32 MB
+HOT = 1 << 17  # places of a seed above which it is dealt to several tasks
+SALTS = 64
 
-def seeds_of(texts: pa.Array) -> tuple[np.ndarray, ...]:
-    """(text, place, key, whether it is the key's first in the text, whether long) of the seeds
-    of texts."""
+
+class Seeds(NamedTuple):
+    """Winnowed shingles of texts in text order, and the words they were taken from."""
+
+    words: np.ndarray  # hashes of all words
+    first: np.ndarray  # the number of each text's first word, as in Words
+    text: np.ndarray
+    place: np.ndarray
+    hashes: np.ndarray
+
+
+def winnowed(texts: pa.Array) -> Seeds:
     words = split_words(texts, lower=True)
     each = hash_words(words)
     hashes = hash_shingles(each, SEED)
@@ -79,69 +103,208 @@ def seeds_of(texts: pa.Array) -> tuple[np.ndarray, ...]:
         for o in range(WINDOW):
             chosen[o : o + starts] |= whole & (hashes[o : o + starts] == least)
     at = np.flatnonzero(chosen)
-    text, place, hashes = text[at], place[at], hashes[at]
-    long_text, long_place, long_key = long_seeds(words.first, each, text, place)
-    text, place, hashes, begins = _by_hash(text, place, hashes)
-    index = np.arange(len(text))
+    return Seeds(each, words.first, text[at], place[at], hashes[at])
+
+
+def seeds_of(found: Seeds, passes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, place, key, hash, whether long) of the short seeds that pass, and of the long ones
+    of stretches where all pass. The hash is that of the short seed itself, or at the long one's
+    beginning, without a turn: no key is in more places than its hash."""
+    at = np.flatnonzero(passes)
+    order, begins = _runs(found.text[at], found.place[at], found.hashes[at])
+    at = at[order]
+    index = np.arange(len(at))
     turn = index - np.maximum.accumulate(np.where(begins, index, 0))
-    key = mix(hashes + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    is_long = np.repeat([False, True], [len(key), len(long_key)])
-    text, place, key = (
-        np.concatenate(both)
-        for both in ((text, long_text), (place, long_place), (key, long_key))
+    key = mix(found.hashes[at] + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    long_at, long_key = long_seeds(found, passes)
+    both = np.concatenate([at, long_at])
+    return (
+        found.text[both],
+        found.place[both],
+        np.concatenate([key, long_key]),
+        found.hashes[both],
+        np.repeat([False, True], [len(at), len(long_at)]),
     )
-    order = np.lexsort((place, key, text))
-    text, place, key = text[order], place[order], key[order]
-    first = np.ones(len(order), dtype=bool)
-    first[1:] = (text[1:] != text[:-1]) | (key[1:] != key[:-1])
-    return text, place, key, first, is_long[order]
 
 
-def _by_hash(text: np.ndarray, place: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The three ordered by text, hash and place, and where a run of one hash begins."""
-    order = np.lexsort((place, hashes, text))
-    text, place, hashes = text[order], place[order], hashes[order]
+def _runs(text: np.ndarray, place: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by text, key and place, and where a run of one key that recurs at once begins."""
+    order = np.lexsort((place, keys, text))
+    text, place, keys = text[order], place[order], keys[order]
     begins = np.ones(len(order), dtype=bool)
-    begins[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
+    begins[1:] = (text[1:] != text[:-1]) | (keys[1:] != keys[:-1])
     begins[1:] |= np.diff(place) > MOST_GAP
-    return text, place, hashes, begins
+    return order, begins
+
 
+def long_seeds(found: Seeds, passes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The seeds, by number, from which on the ``LONG_SEED`` words are a key, and that key: where
+    the text has as many words and every seed of them may be shared; of those that recur at once,
+    the first.
 
-def long_seeds(
-    first: np.ndarray, words: np.ndarray, text: np.ndarray, place: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, key) of the ``LONG_SEED`` words from each seed on, where the text has as
-    many; of those that recur at once, the first."""
-    whole = first[text] + place + LONG_SEED <= first[text + 1]
-    text, place = text[whole], place[whole]
-    at = first[text] + place
+    Of a run that two texts share, the seeds in its last window may have been chosen for what
+    follows it, so the last window of the words does not count.
+    """
+    if not len(found.text):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    whole = found.first[found.text] + found.place + LONG_SEED <= found.first[found.text + 1]
+    code = found.text.astype(np.int64) << 32 | found.place
+    stop = np.searchsorted(code, code + LONG_SEED - SEED - WINDOW + 1, "right")
+    failed = np.concatenate([[0], np.cumsum(~passes)])
+    at = np.flatnonzero(whole & (failed[stop] == failed[:-1]))
+    word = found.first[found.text[at]] + found.place[at]
     key = np.full(len(at), LONG_SEED, dtype=np.uint64)
     for j in range(LONG_SEED):
-        key = mix(key + words[at + j])
-    text, place, key, begins = _by_hash(text, place, key)
-    return text[begins], place[begins], key[begins]
+        key = mix(key + found.words[word + j])
+    order, begins = _runs(found.text[at], found.place[at], key)
+    return at[order][begins], key[order][begins]
+
 
+PRINT_BITS = 32
 
-def seeds(docs: DataFrame) -> DataFrame:
-    """(key, doc, place, first, long) of all texts."""
+
+def _shift(parts: int) -> int:
+    """Bits below those of a hash that name its partition and its fingerprint there."""
+    return 64 - PRINT_BITS - parts.bit_length() + 1
+
+
+def shared_seeds(docs: DataFrame, parts: int) -> DataFrame:
+    """(hash, hot): the leading bits of all seeds' hashes that two documents may hold, and
+    whether more than ``HOT`` places may hold it.
+
+    Every task deals the fingerprints of a slice's seeds to the partitions, packed, once per
+    text; those it met itself more often come apart, with their numbers.
+    """
+    shift = np.uint64(_shift(parts))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch["text"]):
+                found = winnowed(texts)
+                order = np.lexsort((found.hashes, found.text))
+                text, keys = found.text[order], found.hashes[order]
+                once = np.ones(len(keys), dtype=bool)
+                once[1:] = (text[1:] != text[:-1]) | (keys[1:] != keys[:-1])
+                keys, counts = np.unique(keys[once] >> shift, return_counts=True)
+                part = (keys >> np.uint64(PRINT_BITS)).astype(np.int32)
+                prints = keys.astype(np.uint32)
+                begins = np.flatnonzero(np.diff(part, prepend=-1))
+                ends = np.append(begins, len(part))[1:]
+                ones, more = [], []
+                for a, b in zip(begins, ends, strict=True):
+                    single = counts[a:b] == 1
+                    ones.append(prints[a:b][single].tobytes())
+                    met = counts[a:b][~single].astype(np.uint32)
+                    more.append(prints[a:b][~single].tobytes() + met.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[begins]), pa.array(ones, pa.binary()), pa.array(more, pa.binary())],
+                    names=["part", "ones", "more"],
+                )
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pack in runs(batches, ["part"]):
+            prints, counts = [], []
+            for ones, more in zip(pack["ones"].to_pylist(), pack["more"].to_pylist(), strict=True):
+                single = np.frombuffer(ones, dtype=np.uint32)
+                both = np.frombuffer(more, dtype=np.uint32).reshape(2, -1)
+                prints += [single, both[0]]
+                counts += [np.ones(len(single), dtype=np.int64), both[1].astype(np.int64)]
+            prints, counts = np.concatenate(prints), np.concatenate(counts)
+            order = np.argsort(prints)
+            prints, counts = prints[order], counts[order]
+            begins = np.flatnonzero(np.diff(prints.astype(np.int64), prepend=-1))
+            met = np.add.reduceat(counts, begins)
+            held = prints[begins][met > 1].astype(np.uint64)
+            held |= np.uint64(pack["part"][0].as_py()) << np.uint64(PRINT_BITS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held.view(np.int64)), pa.array(met[met > 1] > HOT)], names=["hash", "hot"]
+            )
+
+    return (
+        docs.select("text")
+        .mapInArrow(deal, "part int, ones binary, more binary")
+        .repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(gather, "hash long, hot boolean")
+    )
+
+
+def seeds(docs: DataFrame, shared, hot, parts: int) -> DataFrame:
+    """(key, salt, doc, place, long) of the seeds that may be shared; a hot one has a salt of its
+    document, others -1."""
+    shift = np.uint64(_shift(parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch["doc_id"])
             for start, texts in slices(batch["text"]):
-                text, place, key, first, is_long = seeds_of(texts)
+                found = winnowed(texts)
+                text, place, key, hashes, is_long = seeds_of(found, shared.value(found.hashes >> shift))
+                doc = ids[start + text]
+                salt = (mix(doc.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+                salt[~hot.value(hashes >> shift)] = -1
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key.view(np.int64)),
-                        pa.array(ids[start + text], pa.int64()),
+                        pa.array(salt),
+                        pa.array(doc, pa.int64()),
                         pa.array(place.astype(np.int32)),
-                        pa.array(first),
                         pa.array(is_long),
                     ],
-                    names=["key", "doc", "place", "first", "long"],
+                    names=["key", "salt", "doc", "place", "long"],
                 )
 
-    return docs.mapInArrow(run, "key long, doc long, place int, first boolean, long boolean")
+    return docs.mapInArrow(run, "key long, salt int, doc long, place int, long boolean")
+
+
+MATCH = "doc long, ref long, place int, ref_place int, long boolean"
+
+
+def _owned(batches: Iterator[pa.RecordBatch], owners_too: bool) -> Iterator[pa.RecordBatch]:
+    """Matches of rows sorted by key, salt, document and place with the first of their key and
+    salt; with ``owners_too``, the owners that have a salt come as rows matched with none."""
+    last: tuple[int, int] | None = None
+    owner = owner_place = 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        key, salt, doc, place = (np.asarray(batch[c]) for c in ("key", "salt", "doc", "place"))
+        begins = np.ones(n, dtype=bool)
+        begins[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
+        begins[0] = last != (int(key[0]), int(salt[0]))
+        index = np.maximum.accumulate(np.where(begins, np.arange(n), -1))
+        ref = np.where(index >= 0, doc[index], owner)
+        ref_place = np.where(index >= 0, place[index], owner_place)
+        last, owner, owner_place = (int(key[-1]), int(salt[-1])), int(ref[-1]), int(ref_place[-1])
+        taken = doc != ref
+        if owners_too:
+            taken |= begins & (salt >= 0)
+        at = pa.array(np.flatnonzero(taken))
+        out = pa.RecordBatch.from_arrays(
+            [batch["key"], batch["doc"], pa.array(ref), batch["place"], pa.array(ref_place), batch["long"]],
+            names=["key", "doc", "ref", "place", "ref_place", "long"],
+        )
+        yield out.take(at)
+
+
+def owned_matches(found: DataFrame, any_hot: bool, work: Workspace) -> DataFrame:
+    """(doc, ref, place, ref_place, long): every occurrence of a seed with its owner's."""
+
+    def sorted_rows(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.repartition(*by).sortWithinPartitions(*by, "doc", "place")
+
+    matched = sorted_rows(found, "key", "salt").mapInArrow(
+        lambda batches: _owned(batches, any_hot), f"key long, {MATCH}"
+    )
+    if not any_hot:
+        return matched.drop("key")
+    matched = work.write(matched, "matched")
+    owners = matched.filter("doc = ref").select("key", F.lit(0).alias("salt"), "doc", "place", "long")
+    among_owners = sorted_rows(owners, "key", "salt").mapInArrow(
+        lambda batches: _owned(batches, False), f"key long, {MATCH}"
+    )
+    return matched.filter("doc <> ref").unionByName(among_owners).drop("key")
 
 
 class Fenwick:
@@ -170,8 +333,8 @@ class Fenwick:
 def chain(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """Index arrays of the chains of matches (x, y), best first, each match in one at most.
 
-    Matches that run in step (the next one equally far on both sides, within the gap limit) need
-    no search when the whole pair runs so.
+    Where all matches run in step (the next one equally far on both sides) the search would chain
+    them all between gaps beyond the limit, so they are cut there without it.
     """
     order = np.lexsort((y, x))
     x, y = x[order], y[order]
@@ -179,7 +342,7 @@ def chain(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     if ((dx > 0) & (dx == dy)).all():
         found = [np.arange(len(x))]
     else:
-        found = _search(x, y)
+        found = search(x, y)
     out = []
     for members in found:
         gap = np.maximum(np.diff(x[members]), np.diff(y[members])) > MOST_GAP + SEED
@@ -187,7 +350,7 @@ def chain(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _search(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+def search(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     places, rank = np.unique(y, return_inverse=True)
     tree = Fenwick(len(places))
     ranks, xs, ys = (rank + 1).tolist(), x.tolist(), y.tolist()
@@ -254,7 +417,7 @@ def chains(matches: DataFrame) -> DataFrame:
 
         for pair in runs(batches, ["doc", "ref"]):
             x, y = along(*(np.asarray(pair[c]) for c in ("place", "ref_place", "long")))
-            if len(x) < 2:
+            if len(x) < 2:  # one seed alone is no chain
                 continue
             if int(x.max()) - int(x.min()) + SEED < LEAST_CHAIN:
                 continue
@@ -310,7 +473,7 @@ def excerpts(docs: DataFrame, chained: DataFrame) -> DataFrame:
                     for cut in cuts:
                         low = max(0, cut["a"] - MARGIN)
                         part = mine[low : cut["b"] + SEED + MARGIN]
-                        rows.append((cut["chain"], cut["side"], low, part.tobytes()))
+                        rows.append((cut["chain"], cut["side"], low, (part >> np.uint64(32)).astype(np.uint32).tobytes()))
                 columns = list(zip(*rows, strict=True))
                 kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -318,8 +481,11 @@ def excerpts(docs: DataFrame, chained: DataFrame) -> DataFrame:
                     names=["chain", "side", "low", "words"],
                 )
 
+    # Only texts that have chains are shuffled.
+    ids = chained.select(F.explode(F.array("doc", "ref")).alias("doc_id"))
+    likely, _ = apart_by(docs, F.xxhash64("doc_id"), ids.select(F.xxhash64("doc_id").alias("h")))
     return (
-        docs.join(asked, "doc_id")
+        likely.join(asked, "doc_id")
         .select("text", "cuts")
         .mapInArrow(run, "chain long, side int, low int, words binary")
     )
@@ -410,7 +576,7 @@ def passages(chained: DataFrame, cuts: DataFrame, least_words: int, least_identi
             if len(sides) < 3:
                 continue
             low_a, low_b, held = sides[0]["low"], sides[1]["low"], sides[2]
-            a, b = (np.frombuffer(sides[s]["words"], dtype=np.uint64) for s in (0, 1))
+            a, b = (np.frombuffer(sides[s]["words"], dtype=np.uint32) for s in (0, 1))
             x = np.frombuffer(held["x"], dtype=np.int32) - low_a
             y = np.frombuffer(held["y"], dtype=np.int32) - low_b
             if x[-1] + SEED > len(a) or y[-1] + SEED > len(b):
@@ -435,6 +601,24 @@ def passages(chained: DataFrame, cuts: DataFrame, least_words: int, least_identi
     )
 
 
+def _likely_seeds(texts: DataFrame, work: Workspace) -> tuple[DataFrame, bool]:
+    """The rows of :func:`seeds`, and whether any has a salt."""
+    spark = texts.sparkSession
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = LEAST_PARTS
+    while parts < MOST_PARTS and parts * BYTES_A_PART < size:
+        parts *= 2
+    shared = work.write(shared_seeds(texts, parts), "shared")
+    n, n_hot = shared.agg(F.count("*"), F.count_if("hot")).first()
+    sizes = {"bits_each": BITS_EACH, "least": LEAST_BITS, "most": MOST_BITS}
+    bitmaps = [
+        spark.sparkContext.broadcast(bitmap(rows, count, **sizes))
+        for rows, count in ((shared, n), (shared.filter("hot"), n_hot))
+    ]
+    work.drop(shared)
+    return seeds(texts, *bitmaps, parts), n_hot > 0
+
+
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -448,18 +632,7 @@ def repeated_passages(
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     ).dropna()
-    found = seeds(texts)
-    owners = (
-        found.groupBy("key")
-        .agg(
-            F.min("doc").alias("ref"),
-            F.max("doc").alias("last"),
-            F.min_by("place", F.when(F.col("first"), F.col("doc"))).alias("ref_place"),
-        )
-        .filter("ref < last")
-        .drop("last")
-    )
-    matches = found.join(owners, "key").filter("doc <> ref").drop("key", "first")
+    matches = owned_matches(*_likely_seeds(texts, work), work)
     chained = work.write(
         chains(matches).select(
             F.monotonically_increasing_id().alias("chain"), "doc", "ref", "x", "y"

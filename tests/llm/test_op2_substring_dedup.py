@@ -112,3 +112,81 @@ def test_prefix_maxima():
         top = draw.randrange(0, 31)
         want = max((v for p, v in held.items() if p <= top), default=(float("-inf"), -1))
         assert tree.best(top) == want
+
+
+def test_matches_in_step_are_chained_as_the_search_would():
+    import numpy as np
+
+    draw = random.Random(7)
+    for _ in range(300):
+        x = np.cumsum([draw.randrange(1, 45) for _ in range(draw.randrange(1, 30))])
+        y = x + draw.randrange(0, 500)
+        short = op.chain(x, y)
+        found = op.search(x, y)
+        cut = []
+        for members in found:
+            gap = np.diff(x[members]) > op.MOST_GAP + op.SEED
+            cut += np.split(members, np.flatnonzero(gap) + 1)
+        assert sorted(c.tolist() for c in short) == sorted(c.tolist() for c in cut)
+
+
+def test_an_unrelated_match_changes_no_chain():
+    import numpy as np
+
+    near = op.chain(np.array([0, 30]), np.array([0, 30]))
+    more = op.chain(np.array([0, 30, 500]), np.array([0, 30, 100]))
+    assert [c.tolist() for c in near] == [[0, 1]]
+    assert sorted(c.tolist() for c in more) == [[0, 1], [2]]
+
+
+def test_recall_by_identity(documents):
+    """Passages with words replaced at random, 150 pairs of each kind, each of words of its own."""
+    draw = random.Random(8)
+    texts, kind = {}, {}
+    for size in (60, 150):
+        for identity in (0.80, 0.85, 0.90, 0.95):
+            for _ in range(150):
+                n = len(texts)
+                passage = words(draw, size)
+                changed = list(passage)
+                for i in draw.sample(range(size), round((1 - identity) * size)):
+                    changed[i] = words(draw, 1)[0]
+                texts[n] = " ".join(words(draw, 60) + passage + words(draw, 60))
+                texts[n + 1] = " ".join(words(draw, 40) + changed + words(draw, 40))
+                kind[n + 1] = (size, identity)
+    hits = dict.fromkeys(kind.values(), 0)
+    pairs = {(r.doc_id, r.ref_doc_id) for r in found(documents, texts)}
+    for doc, ref in pairs:
+        assert ref == doc - 1
+        hits[kind[doc]] += 1
+    recall = {k: n / 150 for k, n in hits.items()}
+    for (_, identity), share in recall.items():
+        if identity >= 0.85:
+            assert share >= 0.9
+    assert recall[60, 0.8] >= 0.6 and recall[150, 0.8] >= 0.9
+
+
+def test_hot_seeds_are_matched_in_two_steps(documents, monkeypatch):
+    """Every seed met twice counts as hot, and the results stay."""
+    draw = random.Random(9)
+    passage = words(draw, 70)
+    texts = {i: " ".join(words(draw, 30) + passage + words(draw, 30)) for i in range(1, 60)}
+    texts |= {i: " ".join(words(draw, 90)) for i in range(60, 70)}
+    plain = {(r.doc_id, r.start, r.end) for r in found(documents, texts)}
+    monkeypatch.setattr(op, "HOT", 1)
+    monkeypatch.setattr(op, "SALTS", 5)
+    salted = found(documents, texts)
+    assert {(r.doc_id, r.start, r.end) for r in salted} == plain and len(plain) == 58
+    refs = {r.ref_doc_id for r in salted}
+    assert 1 < len(refs) <= 5 and all(r.ref_doc_id < r.doc_id for r in salted)
+
+
+def test_a_full_bitmap_changes_nothing(documents, monkeypatch):
+    draw = random.Random(10)
+    passage = words(draw, 55)
+    texts = {i: " ".join(words(draw, 80) + passage * (i % 2) + words(draw, 80)) for i in range(12)}
+    want = {(r.doc_id, r.ref_doc_id, r.start, r.end) for r in found(documents, texts)}
+    monkeypatch.setattr(op, "LEAST_BITS", 64)
+    monkeypatch.setattr(op, "MOST_BITS", 64)
+    assert {(r.doc_id, r.ref_doc_id, r.start, r.end) for r in found(documents, texts)} == want
+    assert {d for d, *_ in want} == {3, 5, 7, 9, 11}

@@ -5,17 +5,26 @@ multinomial Bayes over hashed words judges each passage of ``PASSAGE`` words, an
 posteriors, weighted by words, are averaged, so a text in two languages belongs to both.
 
 Rates: with n_i words and posterior p_i, find rates r_i >= ``least_rate`` whose expected totals
-sum_i r_i n_i p_i equal the targets, by projected-gradient least squares from r = 1:
+sum_i r_i n_i p_i are the targets, by projected-gradient least squares:
 
-    r_i <- max(least_rate, r_i - p_i . z),   z = G^-1 (sum_i r_i n_i p_i - targets)
+    minimise  |totals - targets|^2 / 2  +  ridge * sum_i n_i (r_i - start)^2 / 2
 
-with G = sum_i n_i p_i p_i'. This is the gradient of the residual in the norm of G^-1, over the
-variables sqrt(n_i) r_i, whose Hessian is a projection: a step of 1 is safe, and without
-clipping the first step is already the solution.
+the residual in the norm of G^-1, G = sum_i n_i p_i p_i'. The ridge makes the optimum unique, also
+where no rates meet the targets, and keeps rates near their start, 1 or the least rate if that is
+more. The projection is lazy: the gradient steps are added up in the few numbers z, and the rates
+are the projection r_i = max(least_rate, start - p_i . z) of the start moved by all of them. A step
+is scaled by the curvature of the rates that are free to move, so steps become exact once these
+no longer change; one that does not lower the objective's dual enough is halved, so every step
+makes progress and the iteration ends at the optimum, in some ten passes.
 
-Each iteration is one aggregation of as many numbers as there are domains. A document's rate
-after k steps follows from the k vectors z alone, so tasks replay these few numbers instead
-of storing a rate per document and step: nothing per document is gathered or rewritten.
+It stops when the gradient is below ``TOLERANCE`` of all wanted words: at the optimum, whether
+or not the targets can be met. What is then left is returned as ``residual``, the largest gap as a
+share of all wanted words; a gap above ``REACHED`` is warned of, and not reaching the optimum in
+``MOST_PASSES`` passes is an error.
+
+Each pass is one aggregation of as many numbers as domains squared, and tasks compute rates from z:
+nothing per document is gathered or rewritten. There are at most ``MOST_DOMAINS`` domains; of more,
+those with the fewest labelled documents become one, ``OTHERS``.
 
 Special cases: a text without words, or none, has the prior as its posterior, and weighs
 nothing; rows without id are mixed like others; repeated rows weigh as often as they occur;
@@ -26,7 +35,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +51,14 @@ BUCKETS = 1 << 14
 MOST_DOCUMENTS = 4000  # labelled documents the classifier is learned from
 SMOOTHING = 0.1
 EXPONENT = 0.7  # default targets: shares of words to this power
-MOST_STEPS = 60
-TOLERANCE = 1e-6  # of the residual, relative to all words
+MOST_DOMAINS = 256
+OTHERS = "(others)"
+
+RIDGE = 1e-5
+TOLERANCE = 1e-9
+REACHED = 1e-3
+MOST_PASSES = 200
+ROOM = 0.05  # by which a corpus of which nothing may be left out grows beyond the least
 
 _MASK = np.uint64(BUCKETS - 1)
 
@@ -85,6 +102,11 @@ def fit(
     most_documents: int = MOST_DOCUMENTS,
 ) -> DomainModel | None:
     """Learn from the texts of (doc_id, domain): word counts are summed per domain and bucket."""
+    most = labelled.groupBy("domain").agg(F.countDistinct("doc_id").alias("n")).dropna()
+    names = [r.domain for r in most.orderBy(F.desc("n"), "domain").limit(MOST_DOMAINS).collect()]
+    if most.count() > MOST_DOMAINS:
+        named = F.when(F.col("domain").isin(names[:-1]), F.col("domain"))
+        labelled = labelled.dropna(subset=["domain"]).withColumn("domain", F.coalesce(named, F.lit(OTHERS)))
     few = (
         labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "domain")
         .dropna()
@@ -157,24 +179,43 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(batch["n_words"], dtype=float), values
 
 
-def replay(share: np.ndarray, steps: list[np.ndarray], least_rate: float) -> np.ndarray:
-    """The rates after some steps from rate 1."""
-    rate = np.full(len(share), max(1.0, least_rate))
-    for z in steps:
-        rate = np.maximum(least_rate, rate - share @ z)
-    return rate
+class Solution(NamedTuple):
+    """Rates as a function of posteriors, and how near they come to the targets."""
+
+    model: DomainModel
+    members: DataFrame
+    z: np.ndarray
+    start: float
+    least_rate: float
+    residual: float
+    passes: int
+
+    def rates(self, share: np.ndarray) -> np.ndarray:
+        return np.maximum(self.least_rate, self.start - share @ self.z)
 
 
-def _totals(members: DataFrame, steps: list[np.ndarray], least_rate: float, size: int) -> np.ndarray:
-    """Expected words of every domain under the rates, and sum n p p', as one flat array."""
+class Pass(NamedTuple):
+    """What one pass over the memberships adds up."""
+
+    totals: np.ndarray  # expected words of every domain
+    free: np.ndarray  # sum n p p' of the rates that may move
+    dual: float  # sum n phi(start - p . z), phi' the projection
+
+
+def _pass(members: DataFrame, z: np.ndarray, start: float, least_rate: float) -> Pass:
+    size = len(z)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(size + size * size)
+        sums = np.zeros(size + size * size + 1)
         for batch in batches:
             if batch.num_rows:
                 n, share = _matrix(batch)
-                sums[:size] += (replay(share, steps, least_rate) * n) @ share
-                sums[size:] += ((share * n[:, None]).T @ share).ravel()
+                moved = start - share @ z
+                rate = np.maximum(least_rate, moved)
+                sums[:size] += (rate * n) @ share
+                free = n * (moved >= least_rate)
+                sums[size:-1] += ((share * free[:, None]).T @ share).ravel()
+                sums[-1] += (n * (rate * moved - rate * rate / 2)).sum()
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(sums))), pa.array(sums)], names=["place", "value"]
         )
@@ -184,19 +225,20 @@ def _totals(members: DataFrame, steps: list[np.ndarray], least_rate: float, size
         .mapInArrow(run, "place long, value double")
         .groupBy("place")
         .agg(F.sum("value").alias("value"))
-        .collect()  # domains + domains squared rows
+        .collect()  # domains + domains squared + 1 rows
     )
-    out = np.zeros(size + size * size)
+    out = np.zeros(size + size * size + 1)
     for r in rows:
         out[r.place] = r.value
-    return out
+    return Pass(out[:size], out[size:-1].reshape(size, size), float(out[-1]))
 
 
 def targets_of(
     totals: np.ndarray, domains: list[str], weights: dict[str, float] | None, no_less: bool
 ) -> np.ndarray:
     """Words wanted of every domain. Without weights, shares to the power ``EXPONENT``. The sum
-    is that of the corpus, or with ``no_less`` the least at which no domain shrinks."""
+    is that of the corpus, or with ``no_less`` a little more than the least at which no domain
+    shrinks, since documents of other domains share in the words of each."""
     share = totals / totals.sum()
     wanted = share**EXPONENT if weights is None else np.array([weights.get(d, 0.0) for d in domains])
     wanted = np.where(share > 0, wanted, 0.0)
@@ -204,8 +246,9 @@ def targets_of(
         wanted = share.copy()
     wanted /= wanted.sum()
     positive = wanted > 0
-    budget = float((totals[positive] / wanted[positive]).max()) if no_less else totals.sum()
-    return wanted * budget
+    if not no_less:
+        return wanted * totals.sum()
+    return wanted * float((totals[positive] / wanted[positive]).max()) * (1 + ROOM)
 
 
 def mix(
@@ -215,17 +258,18 @@ def mix(
     weights: dict[str, float] | None = None,
     least_rate: float = 0.0,
     no_less: bool = False,
+    ridge: float = RIDGE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_words, domain (the likeliest), posterior, rate.
+    """doc_id, n_words, domain (the likeliest), posterior, rate, residual (the same in all rows).
 
     ``labelled`` has (doc_id, domain) of some of the documents. ``weights`` are the domains' target shares.
     """
     work = Workspace(docs.sparkSession, "mixing")
     solved = solve(
         docs, labelled, work, weights=weights, least_rate=least_rate, no_less=no_less,
-        id_col=id_col, text_col=text_col,
+        ridge=ridge, id_col=id_col, text_col=text_col,
     )
     if solved is None:
         return docs.select(
@@ -234,8 +278,11 @@ def mix(
             F.lit(None).cast("string").alias("domain"),
             F.lit(None).cast("array<double>").alias("posterior"),
             F.lit(max(1.0, least_rate)).alias("rate"),
+            F.lit(0.0).alias("residual"),
         )
-    model, members, steps = solved
+    # Tasks get the solution without the frame.
+    members, solution = solved.members, solved._replace(members=None)
+    model = solution.model
 
     def rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.domains, dtype=object)
@@ -249,13 +296,15 @@ def mix(
                     batch["n_words"],
                     pa.array(names[share.argmax(axis=1)], pa.string()),
                     batch["posterior"],
-                    pa.array(replay(share, steps, least_rate)),
+                    pa.array(solution.rates(share)),
+                    pa.array(np.full(len(share), solution.residual)),
                 ],
-                names=["doc_id", "n_words", "domain", "posterior", "rate"],
+                names=["doc_id", "n_words", "domain", "posterior", "rate", "residual"],
             )
 
     return members.mapInArrow(
-        rates, "doc_id long, n_words long, domain string, posterior array<double>, rate double"
+        rates,
+        "doc_id long, n_words long, domain string, posterior array<double>, rate double, residual double",
     )
 
 
@@ -267,29 +316,51 @@ def solve(
     weights: dict[str, float] | None = None,
     least_rate: float = 0.0,
     no_less: bool = False,
+    ridge: float = RIDGE,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> tuple[DomainModel, DataFrame, list[np.ndarray]] | None:
-    """The classifier, the written memberships and the steps that give every rate. None
-    without labelled rows."""
+) -> Solution | None:
+    """The rates that come nearest to the targets. None without labelled rows."""
     model = fit(docs, labelled, id_col=id_col, text_col=text_col)
     if model is None:
         return None
     members = work.write(memberships(docs, model, id_col, text_col), "members")
-    size = len(model.domains)
-    steps: list[np.ndarray] = []
-    sums = _totals(members, steps, least_rate, size)
-    if sums[:size].sum() > 0:
-        inverse = np.linalg.pinv(sums[size:].reshape(size, size))
-        start = sums[:size] / max(1.0, least_rate)
-        targets = targets_of(start, model.domains, weights, no_less)
-        while len(steps) < MOST_STEPS:
-            residual = sums[:size] - targets
-            if np.abs(residual).max() <= TOLERANCE * targets.sum():
+    z = np.zeros(len(model.domains))
+    start = max(1.0, least_rate)
+    now = _pass(members, z, start, least_rate)
+    solution = Solution(model, members, z, start, least_rate, 0.0, 1)
+    if now.totals.sum() <= 0:
+        return solution
+    targets = targets_of(now.totals / start, model.domains, weights, no_less)
+    # Where the start is the least rate, all rates are free at z = 0: this is G.
+    whole, passes = now.free, 1
+
+    def dual(at: Pass, z: np.ndarray) -> float:
+        return at.dual + z @ targets + ridge / 2 * z @ whole @ z
+
+    while True:
+        gradient = now.totals - targets - ridge * whole @ z
+        if np.abs(gradient).max() <= TOLERANCE * targets.sum():
+            break
+        # Domains no document belongs to have no curvature: the pseudo-inverse leaves them alone.
+        step = np.linalg.pinv(now.free + ridge * whole, hermitian=True) @ gradient
+        size = 1.0
+        while True:
+            if passes >= MOST_PASSES:
+                raise RuntimeError(f"No optimum of the mixing rates in {passes} passes")
+            then = _pass(members, z + size * step, start, least_rate)
+            passes += 1
+            enough = dual(now, z) - 1e-4 * size * (gradient @ step)
+            if dual(then, z + size * step) <= enough + 1e-12 * abs(enough):
                 break
-            steps.append(inverse @ residual)
-            sums = _totals(members, steps, least_rate, size)
-    return model, members, steps
+            size /= 2
+        z, now = z + size * step, then
+    residual = float(np.abs(now.totals - targets).max() / targets.sum())
+    if residual > REACHED:
+        warnings.warn(
+            f"Mixing rates miss the targets by up to {residual:.2%} of all words", UserWarning, stacklevel=2
+        )
+    return solution._replace(z=z, residual=residual, passes=passes)
 
 
 def with_rates(
@@ -300,6 +371,7 @@ def with_rates(
     weights: dict[str, float] | None = None,
     least_rate: float = 0.0,
     no_less: bool = False,
+    ridge: float = RIDGE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -308,19 +380,19 @@ def with_rates(
     work = Workspace(docs.sparkSession, "mixing")
     solved = solve(
         docs, labelled, work, weights=weights, least_rate=least_rate, no_less=no_less,
-        id_col=id_col, text_col=text_col,
+        ridge=ridge, id_col=id_col, text_col=text_col,
     )
     if solved is None:
         return docs.withColumn(rate_col, F.lit(max(1.0, least_rate)))
-    model, members, steps = solved
-    work.drop(members)
+    work.drop(solved.members)
+    solution = solved._replace(members=None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in slices(batch[text_col]):
-                _, share = model.posteriors(texts)
+                _, share = solution.model.posteriors(texts)
                 rows = batch.slice(start, len(texts))
-                yield rows.append_column(rate_col, pa.array(replay(share, steps, least_rate)))
+                yield rows.append_column(rate_col, pa.array(solution.rates(share)))
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(rate_col, T.DoubleType())]))
 

@@ -26,6 +26,9 @@ from rawstrata.llm import (
 )
 from rawstrata.llm.common import Workspace, apart, table
 
+# Keeps rates near 1 where targets cannot be met, so that no document is repeated very often.
+MIXING_RIDGE = 1e-3
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -80,7 +83,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     while name in docs.columns:
         name += "_"
     rated = op1_mixing.with_rates(
-        docs, op1_mixing.labelled_languages(docs, labels), name, least_rate=1.0, no_less=True
+        docs,
+        op1_mixing.labelled_languages(docs, labels),
+        name,
+        least_rate=1.0,
+        no_less=True,
+        ridge=MIXING_RIDGE,
     )
     rate = F.col(name)
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 20)) / float(1 << 20)

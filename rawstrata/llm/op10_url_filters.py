@@ -15,7 +15,9 @@ A template is rejected if its smoothed share of labelled blocks reaches one half
 smoothed towards that of the same template path over all hosts, and this one towards the
 share over everything, so an unlabelled host takes what is known of its paths elsewhere.
 
-The tree is as deep as the longest path; a path that has ended takes no part in deeper levels.
+Below a node whose labelled pages are all blocked, all allowed or none at all, no branch can
+differ, so the paths there end at once, every further segment a wildcard. Only mixed nodes grow on,
+so rounds are as many as mixed nodes are deep, however long a path is.
 The SQL joins what lies below ``DEPTH`` levels into one segment, so it compares only where no
 path is longer. Every level is two grouped counts that combine before the shuffle, so a hot host
 arrives as its distinct paths only. Main path: DataFrame expressions.
@@ -98,7 +100,8 @@ def is_variable(segment: Column) -> Column:
 
 
 def grow(paths: DataFrame, level: int) -> DataFrame:
-    """Extend every path's template by its segment at this level.
+    """Extend every path's template by its segment at this level, or to its end below a node that
+    is not mixed. ``grows`` tells which paths go on.
 
     Node and branch counts are windows' worth of work, but as grouped counts joined back:
     a node with very many children is then never one task's.
@@ -122,18 +125,18 @@ def grow(paths: DataFrame, level: int) -> DataFrame:
     all_n, all_k = F.col("all_labelled").cast("double"), F.col("all_blocked").cast("double")
     apart = (k * all_n - n * all_k) * (k * all_n - n * all_k)
     differs = apart > F.lit(CRITICAL) * n * all_k * (all_n - all_k)
-    kept = (
-        branches.join(nodes, ["host", "template"])
-        .filter(~is_variable(F.col("segment")) & ~crowded & differs)
-        .select("host", "template", "segment", F.lit(True).alias("own"))
-    )
-    grown = here.join(kept, ["host", "template", "segment"], "left")
-    step = F.when(F.col("segment").isNull(), F.lit("")).otherwise(
-        F.concat(F.lit("/"), F.when(F.col("own"), F.col("segment")).otherwise("*"))
+    mixed = nodes.filter("all_blocked > 0 AND all_blocked < all_labelled")
+    own = ~is_variable(F.col("segment")) & ~crowded & differs
+    known = branches.join(mixed, ["host", "template"]).select(
+        "host", "template", "segment", own.alias("own")
     )
+    grown = here.join(known, ["host", "template", "segment"], "left")
+    step = F.concat(F.lit("/"), F.when(F.col("own"), F.col("segment")).otherwise("*"))
+    rest = F.repeat(F.lit("/*"), F.size("segments") - level)
     return grown.select(
         "host", "path", "segments", "n", "labelled", "blocked",
-        F.concat("template", step).alias("template"),
+        F.concat("template", F.when(F.col("own").isNotNull(), step).otherwise(rest)).alias("template"),
+        (F.col("own").isNotNull() & (F.size("segments") > level + 1)).alias("grows"),
     )
 
 
@@ -185,15 +188,13 @@ def url_filter(
         )
         .select("*", segments(F.col("path")).alias("segments"), F.lit("").alias("template"))
     )
-    paths = work.write(paths, "paths")
-    size = F.size("segments")
-    levels, ended = [paths], []
-    for level in range(paths.agg(F.max(size)).first()[0] or 0):
-        ended.append(paths.filter(size <= level))
-        paths = work.write(grow(paths.filter(size > level), level), f"level{level}")
-        levels.append(paths)
-    for frame in ended:
-        paths = paths.unionByName(frame)
+    whole = work.write(paths.withColumn("grows", F.size("segments") > 0), "paths")
+    levels, paths = [whole], whole.filter("NOT grows")
+    while not levels[-1].filter("grows").isEmpty():
+        level = len(levels) - 1
+        levels.append(work.write(grow(levels[-1].filter("grows").drop("grows"), level), f"level{level}"))
+        paths = paths.unionByName(levels[-1].filter("NOT grows"))
+    paths = paths.drop("grows")
     judged = work.write(
         paths.select("host", "path", "template").join(purity(paths), ["host", "template"]),
         "judged",

@@ -8,9 +8,13 @@ per task, and quantiles are read off a running sum. Groups with few documents us
 merged sketch of their language, and of all documents beyond that. The cut-offs are joined
 back to the documents.
 
-A document fails a rate that lies outside median -/+ max(floor, spread x interquartile
-range): a rule that cuts tails only where they are clearly apart, so a clean group loses
-nothing. Main path: DataFrame expressions only.
+A document fails a rate that lies above median + max(floor, spread x twice the distance from the
+first quartile to the median), and for two-sided rates below the mirrored bound: a rule that cuts
+tails only where they are clearly apart, so a clean group loses nothing. The spread of each bound is
+read on the other side of the median, where junk beyond the bound does not widen it, so a
+group of which nearly half is junk is cut like a clean one. Where that side is wider than the floor
+all the same, as when more than half is junk, the bound goes no further than that of the language's
+merged sketch. Main path: DataFrame expressions only.
 
 Special cases: a null text has no words; null language or source are groups of their own;
 repeated rows are judged row by row; an empty table gives an empty result; columns other
@@ -168,13 +172,27 @@ def bounds(sketch: DataFrame) -> DataFrame:
     floor = F.lit(0)
     for r in RATES:
         floor = F.when(F.col("rate") == r.name, r.floor).otherwise(floor)
-    reach = F.greatest(floor.cast("long"), SPREAD * (F.col("q3") - F.col("q1")))
-    low_too = F.col("rate").isin([r.name for r in RATES if r.low_too])
-    return quartiles.select(
-        "g.level", "g.lang", "g.source", "documents", "rate",
-        F.when(low_too, F.col("q2") - reach).alias("low"),
-        (F.col("q2") + reach).alias("high"),
+    floor = floor.cast("long")
+    below, above = F.col("q2") - F.col("q1"), F.col("q3") - F.col("q2")
+    own = quartiles.select(
+        "g.level", "g.lang", "g.source", "documents", "rate", floor.alias("floor"),
+        (below > floor).alias("wide_below"), (above > floor).alias("wide_above"),
+        (F.col("q2") - F.greatest(floor, 2 * SPREAD * above)).alias("low"),
+        (F.col("q2") + F.greatest(floor, 2 * SPREAD * below)).alias("high"),
+    )
+    of_language = own.filter("level = 'language'").select(
+        F.col("lang").alias("l_lang"), F.col("rate").alias("l_rate"),
+        F.col("low").alias("l_low"), F.col("high").alias("l_high"),
     )
+    # A row per language and rate meets one per source and rate.
+    same = F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("rate") == F.col("l_rate"))
+    joined = own.join(of_language, same & (F.col("level") == "source"), "left")
+    low = F.when(F.col("wide_above"), F.greatest("low", "l_low")).otherwise(F.col("low"))
+    high = F.when(F.col("wide_below"), F.least("high", "l_high")).otherwise(F.col("high"))
+    low_too = F.col("rate").isin([r.name for r in RATES if r.low_too])
+    return joined.select(
+        "level", "lang", "source", "documents", "rate", F.when(low_too, low).alias("low"), high.alias("high")
+    )
 
 
 def cutoffs(bound: DataFrame) -> DataFrame:
@@ -301,10 +319,18 @@ running AS (
 quartiles AS (
   SELECT level, lang, source, rate, max(total) AS documents, {", ".join(q(n, p) for n, p in QUARTILES.items())}
   FROM running GROUP BY ALL),
-reach AS (SELECT *, greatest(CASE rate {floors} END, {SPREAD} * (q3 - q1)) AS r FROM quartiles),
+floors AS (SELECT *, CASE rate {floors} END AS f FROM quartiles),
+own AS (
+  SELECT *, q2 - greatest(f, 2 * {SPREAD} * (q3 - q2)) AS o_low, q2 + greatest(f, 2 * {SPREAD} * (q2 - q1)) AS o_high
+  FROM floors),
+bounded AS (
+  SELECT o.*, CASE WHEN o.q3 - o.q2 > o.f AND m.f IS NOT NULL THEN greatest(o.o_low, m.o_low) ELSE o.o_low END AS b_low,
+    CASE WHEN o.q2 - o.q1 > o.f AND m.f IS NOT NULL THEN least(o.o_high, m.o_high) ELSE o.o_high END AS b_high
+  FROM own o LEFT JOIN own m ON o.level = 'source' AND m.level = 'language'
+    AND o.lang IS NOT DISTINCT FROM m.lang AND o.rate = m.rate),
 cuts AS (
   SELECT level, lang, source, max(documents) AS documents, {picked} FROM (
-    SELECT *, CASE WHEN rate IN ({two_sided}) THEN q2 - r END AS low, q2 + r AS high FROM reach)
+    SELECT *, CASE WHEN rate IN ({two_sided}) THEN b_low END AS low, b_high AS high FROM bounded)
   GROUP BY ALL),
 ranked AS (
   SELECT s.lang AS s_lang, s.source AS s_source, c.* FROM cuts s JOIN cuts c ON c.level = CASE

@@ -1,14 +1,18 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` key characters with a digit in it. The texts
-between candidates give each one's neighbourhood. Its features: length, shares of character
+Candidates: a run of at least ``SHORTEST`` key characters with a digit in it; a run after a
+vendor's prefix, with or without digits; and what a secret's name is set to by ``:`` or ``=``, from
+``SHORTEST_NAMED`` characters on. A name set by ``=`` is no part of the value. The texts between
+candidates give each one's neighbourhood. Its features: length, shares of character
 classes, transitions between classes, distinct characters, coverage by words (those of its own
 document and a short list of identifiers' words), path marks, and the words beside it.
 
 The forest is Spark's, trained on labelled findings. Where no labelled table is given, findings
 of documents that are not held out label themselves where the case is plain: an assignment
 to a name such as ``token`` or a vendor's prefix for a secret; digits alone, a name such as
-``commit`` or ``uuid``, or a path for none. At most ``MOST_FINDINGS`` are used, chosen by a hash.
+``commit`` or ``uuid``, or a path for none. A plain case labels all findings of its value, in other
+places and documents too, whose own neighbourhood says nothing: these labels do not come from
+what the forest sees of them. At most ``MOST_FINDINGS`` are used, chosen by a hash.
 
 Main path: DataFrame expressions and Spark's own learner.
 
@@ -34,15 +38,28 @@ TREES = 24
 TREE_DEPTH = 6
 BEFORE, AFTER = 48, 24  # characters of the neighbourhood
 
-KEY = r"[A-Za-z0-9+/_=\-]"
-CANDIDATE = rf"(?<!{KEY})(?=[A-Za-z+/_=\-]*+[0-9]){KEY}{{{SHORTEST},}}"
+KEY = r"[A-Za-z0-9+/_\-]"
+SHORTEST_NAMED = 6
 
 # Names that announce a secret or another long string, and vendors' prefixes.
 SECRET_NAMES = (
     r"(?i)(secret|token|passw(or)?d|pwd|api[_-]?key|apikey|access[_-]?key|auth|credential|private)"
 )
 OTHER_NAMES = r"(?i)(commit|sha|md5|hash|checksum|digest|uuid|guid|version|build|rev|isbn|order|phone|tel|card)"
-VENDOR = r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|xox[abp]-|AIza|eyJ)"
+VENDORS = r"AKIA|ASIA|AIza|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk-|xox[abp]-|eyJ"
+VENDOR = rf"^({VENDORS})"
+
+SET = r"[:=]>?\s{0,3}[\"']?"
+NAMED = rf"(?<={SECRET_NAMES.replace('(?i)(', '(?i:')}[\w\-]{{0,16}}[\"']?\s{{0,3}}{SET})"
+CANDIDATE = "|".join(
+    (
+        rf"(?<!{KEY})(?:{VENDORS}){KEY}[A-Za-z0-9+/_.\-]{{10,}}{KEY}",
+        # The short look-behind comes first: it fails at once in prose.
+        rf"(?<={SET})(?=[!-~]{{{SHORTEST_NAMED}}}){NAMED}"
+        rf"[A-Za-z0-9!@#$%^&*+/_=\-.~?]{{{SHORTEST_NAMED - 1},}}[A-Za-z0-9!@#$%^&*+/_=\-~]",
+        rf"(?<!{KEY})(?=[A-Za-z+/_\-]*+[0-9]){KEY}{{{SHORTEST},}}+(?!=[^\s=])={{0,2}}",
+    )
+)
 # Words that identifiers and paths are made of.
 IDENTIFIER_WORDS = (
     "index user name file page item list data http https html json test example value table "
@@ -51,7 +68,7 @@ IDENTIFIER_WORDS = (
 
 FEATURES = (
     "length digits upper lower other transitions distinct hexadecimal coverage slashes marks "
-    "extension assigned quoted secret_name other_name digit_neighbour"
+    "extension assigned quoted secret_name other_name digit_neighbour vendor letters_only"
 ).split()
 
 
@@ -118,6 +135,8 @@ def with_features(found: DataFrame) -> DataFrame:
         "quoted": F.col("before").rlike("[\"']$"),
         "secret_name": F.col("before").rlike(SECRET_NAMES),
         "other_name": F.col("before").rlike(OTHER_NAMES),
+        "vendor": F.col("value").rlike(VENDOR),
+        "letters_only": F.col("value").rlike("^[A-Za-z]?[a-z]*$"),
         "digit_neighbour": F.col("before").rlike(r"[0-9]\W*$") | F.col("after").rlike(r"^\W*[0-9]"),
     }
     return found.select("*", *[columns[n].cast("double").alias(n) for n in FEATURES])
@@ -126,13 +145,34 @@ def with_features(found: DataFrame) -> DataFrame:
 def plain_cases(found: DataFrame) -> Column:
     """1.0 for a plain secret, 0.0 for plainly none, null for all others."""
     named = F.col("before").rlike(SECRET_NAMES + r"[\w\-]{0,16}[\"']?\s*[:=]\s*[\"']?$")
+    # A word after a name may be prose: "the secret: patience".
+    word = (F.col("letters_only") == 1) & (F.col("length") < SHORTEST)
     other = (
         F.col("value").rlike("^[0-9]+$")
         | F.col("before").rlike(OTHER_NAMES + r"[\w\-]{0,16}[\"']?\s*[:=#]?\s*[\"']?$")
         | (F.col("slashes") * F.col("length") >= 2)
         | (F.col("coverage") > 0.6)
     )
-    return F.when(F.col("value").rlike(VENDOR) | (named & ~F.col("value").rlike("^[0-9]+$")), 1.0).when(other, 0.0)
+    secret = named & ~F.col("value").rlike("^[0-9]+$") & ~word
+    return F.when(F.col("value").rlike(VENDOR) | secret, 1.0).when(other | (named & word), 0.0)
+
+
+def labels_of_values(found: DataFrame) -> DataFrame:
+    """The findings with ``label``: their own plain case's, else that of plain cases of the same
+    value in any place, if these agree. Counts by value combine before they shuffle."""
+    own = found.withColumn("own", plain_cases(found)).withColumn("of_value", F.xxhash64("value"))
+    agreed = (
+        own.filter("own IS NOT NULL")
+        .groupBy("of_value")
+        .agg(F.min("own").alias("least"), F.max("own").alias("most"))
+        .filter("least = most")
+        .select("of_value", F.col("least").alias("elsewhere"))
+    )
+    # Only findings that say nothing themselves look their value up.
+    silent = own.filter("own IS NULL").join(agreed, "of_value", "left")
+    named = own.filter("own IS NOT NULL").withColumn("elsewhere", F.lit(None).cast("double"))
+    both = named.unionByName(silent)
+    return both.withColumn("label", F.coalesce("own", "elsewhere")).drop("own", "elsewhere", "of_value")
 
 
 def scan(
@@ -154,7 +194,7 @@ def scan(
         with_features(findings(docs, id_col, text_col, carried)).drop("words"), "findings"
     )
     if labelled is None:
-        judged = found.withColumn("label", plain_cases(found))
+        judged = labels_of_values(found)
     else:
         judged = found.join(
             labelled.select("doc_id", "number", F.col("label").cast("double")), ["doc_id", "number"]

@@ -39,6 +39,58 @@ def test_cutoffs_follow_language_and_source(documents):
     assert {i for i, kept in got.items() if not kept} == {400, 401}
 
 
+@pytest.mark.parametrize("share", [30, 45, 60])
+def test_junk_in_one_source_does_not_switch_the_rule_off(documents, share):
+    """Against documents with every second line repeated, in a source of which they are a large
+    part; beyond half of it the language's other sources decide."""
+    draw = random.Random(share)
+
+    def text(junk):
+        lines = [" ".join("".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(9)) for _ in range(20)]
+        if junk:
+            lines[1::2] = [lines[0][:11]] * 10
+        return "\n".join(lines)
+
+    bad = {i for i in range(300) if i % 100 < share}
+    rows = [(i, text(i in bad), "en", "a", 0) for i in range(300)]
+    rows += [(1000 + i, text(False), "en", "b", 0) for i in range(300)]
+    got = {r.doc_id: r for r in op8_quality_rules.quality_rules(documents(rows)).collect()}
+    assert {i for i, r in got.items() if not r.kept} == bad
+    assert not any(r.base_failed for r in got.values())
+
+
+def test_long_words_in_part_of_a_source(documents):
+    draw = random.Random(7)
+
+    def text(size):
+        return " ".join("".join(draw.choice("abcdefgh") for _ in range(size)) for _ in range(80))
+
+    rows = [(i, text(14 if i % 10 < 4 else 5), "en", "a", 0) for i in range(300)]
+    rows += [(1000 + i, text(1 if i % 10 < 4 else 5), "en", "b", 0) for i in range(300)]
+    got = {r.doc_id: r.kept for r in op8_quality_rules.quality_rules(documents(rows)).collect()}
+    assert all(kept == (i % 10 >= 4) for i, kept in got.items())
+
+
+def test_sql_judges_junk_alike(spark, documents):
+    import duckdb
+
+    draw = random.Random(9)
+    rows = []
+    for i in range(700):
+        lines = [" ".join(draw.choice("abcdefgh") * draw.randrange(2, 9) for _ in range(9)) for _ in range(12)]
+        lang, source, junk = [("en", "a", 45), ("en", "b", 5), ("de", "c", 70), (None, "d", 30)][i % 4]
+        if draw.randrange(100) < junk:
+            lines[1::2] = ["some words"] * 6
+        rows.append((i, "\n".join(lines), lang, source, 0))
+    frame = documents(rows)
+    connection = duckdb.connect()
+    connection.register("documents", frame.toPandas())
+    columns = "doc_id n_words n_dup_lines n_repeat_words base_failed kept".split()
+    want = connection.sql(f"SELECT {', '.join(columns)} FROM ({op8_quality_rules.SQL})").fetchall()
+    got = [tuple(r) for r in op8_quality_rules.quality_rules(frame).select(*columns).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_quality_rules_on_odd_rows(odd_documents):
     rows = op8_quality_rules.quality_rules(odd_documents).collect()
     assert len(rows) == 10 and all(r.kept is not None and not (r.kept and r.base_failed) for r in rows)
@@ -83,6 +135,66 @@ def test_a_labelled_table_is_learned(leaky):
     assert got == {i: not t for i, t in truth.items()}
 
 
+SECRETS = {
+    "short password": "password: Hunter{}x9",
+    "short token": 'token: "abc12{}"',
+    "letters only": 'api_key = "abcdefgh{}ijklmnopqrstuvwx"',
+    "vendor without digits": "AKIAQWERTYUIOPASDF{}",
+    "name in front": "API_KEY=abcdefghABCDEFGH0123456789{}",
+}
+
+
+def test_secrets_of_other_kinds(leaky, spark):
+    """Short ones, ones without digits, and ones whose name is joined to them by an equals sign."""
+    docs, truth = leaky
+    letters = "KLMNPQRSTU"
+    rows, secret = [], {}
+    for k, (kind, form) in enumerate(SECRETS.items()):
+        for n in range(10):
+            i = 1000 + 10 * k + n
+            digit_free = kind in ("letters only", "vendor without digits")
+            shown = form.format(letters[n] * 2 if digit_free else n)
+            rows.append((i, f"some calm words {shown} and more", "en", "a", 60, 7, "x"))
+            secret[i] = re.split("[ =\"]+", shown.strip('"'))[-1]
+    for n in range(10):
+        word = "".join(chr(97 + (7 * n + j * j) % 26) for j in range(8))
+        rows.append((2000 + n, f"the secret: {word} and time", "en", "a", 60, 7, "x"))
+    every = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    found = {}
+    for r in op9_secret_scan.scan(every).collect():
+        found.setdefault(r.doc_id, []).append((r.value, r.is_secret))
+    for i, value in secret.items():
+        assert found[i] == [(value, True)]
+    for n in range(10):
+        assert not any(is_secret for _, is_secret in found.get(2000 + n, []))
+    assert {i: found[i][0][1] for i in truth} == truth
+
+
+def test_candidates_equal_a_plain_search(documents):
+    """Long runs with a digit, by a search over all runs of key characters."""
+    draw = random.Random(11)
+    texts = ["".join(draw.choice("aZ9 /+-_.\"") * draw.randrange(1, 4) for _ in range(60)) for _ in range(60)]
+    frame = documents([(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    got = {}
+    for r in op9_secret_scan.findings(frame, "doc_id", "text").collect():
+        got.setdefault(r.doc_id, []).append((r.number, r.value))
+    for i, text in enumerate(texts):
+        runs = [x for x in re.findall(r"[A-Za-z0-9+/_\-]+", text) if len(x) >= 16 and re.search("[0-9]", x)]
+        assert [v for _, v in sorted(got.get(i, []))] == runs
+
+
+def test_plain_cases_label_the_same_value_elsewhere(documents, spark):
+    value = "9f" * 12
+    frame = documents(
+        [(1, f'token = "{value}"', "en", "a", 0), (2, f"he saw {value} there", "en", "a", 0),
+         (3, f"commit {'8e' * 12}", "en", "a", 0), (4, f"then {'8e' * 12} too", "en", "a", 0),
+         (5, f"or {'7d' * 12}", "en", "a", 0)]
+    )
+    found = op9_secret_scan.with_features(op9_secret_scan.findings(frame, "doc_id", "text"))
+    labels = {r.doc_id: r.label for r in op9_secret_scan.labels_of_values(found).collect()}
+    assert labels == {1: 1.0, 2: 1.0, 3: 0.0, 4: 0.0, 5: None}
+
+
 def test_redaction(leaky):
     docs, truth = leaky
     before = {r.doc_id: r.text for r in docs.collect()}
@@ -163,6 +275,20 @@ def test_branches_below_four_levels(spark):
     assert len(got) == len(urls) and got[len(urls) - 1].template == ""
 
 
+def test_a_path_of_two_thousand_segments_ends_at_once(spark):
+    import time
+
+    long = "/" + "/".join(f"s{chr(97 + i % 26)}" for i in range(2000))
+    urls = [f"http://a.com/{d}/{n}" for d in ("bad", "good") for n in range(10, 60)]
+    urls += [f"http://a.com{long}", f"http://b.com{long}", f"http://a.com/bad{long}"]
+    rules = tuple(op10_url_filters.Rule(v, "a.com", f"/{d}/{n}") for v, d in (("block", "bad"), ("allow", "good")) for n in range(10, 50))
+    began = time.monotonic()
+    got = verdicts(spark, urls, rules=rules)
+    assert time.monotonic() - began < 60
+    assert got[100].template == got[101].template == "/*" * 2000
+    assert got[102].template == "/bad" + "/*" * 2000 and got[102].verdict == "block"
+
+
 def test_alike_branches_merge(spark):
     rules = (op10_url_filters.Rule("allow", "a.com", "/"),)
     got = verdicts(spark, [f"http://a.com/{w}/x" for w in ("red", "blue", "green") for _ in range(5)], rules=rules)

@@ -6,8 +6,10 @@ Gated attention gives each passage a weight, softmax over w . (tanh(V h) * sigmo
 the weighted sum of the representations is what the document is scored by. Encoder,
 attention and classifier are learned together, from document labels alone.
 
-Training takes at most ``MOST_DOCUMENTS`` labelled documents of at most ``MOST_PASSAGES``
-passages, so that what the driver gathers is bounded; the model is a few hundred numbers.
+Training takes at most ``MOST_DOCUMENTS`` labelled documents, whole, in the order of a hash of their
+ids, as far as they have ``MOST_PASSAGES`` passages together: long ones have the same chance as
+short ones, and what the driver gathers is bounded. (One document beyond that bound alone, 13
+million words, is left out.) The model is a few hundred numbers.
 Scoring is one pass over all whole texts, vectorised over the passages of a slice.
 
 Special cases: a text without words, or none, is a bag with one passage of zeros; a row without
@@ -24,12 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rawstrata.llm.common import fold, labelled_sample, table
+from rawstrata.llm.common import Workspace, fold, labelled_sample, table
 from rawstrata.llm.words import hash_words, slices, split_words
 
 PASSAGE = 64
 MOST_DOCUMENTS = 4000
-MOST_PASSAGES = 64
+MOST_PASSAGES = 200_000
 THRESHOLD = 0.3
 
 HIDDEN = 16
@@ -209,6 +211,7 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     most_documents: int = MOST_DOCUMENTS,
+    most_passages: int = MOST_PASSAGES,
 ) -> AttentionModel:
     sample = labelled_sample(
         docs, labels, label=label, id_col=id_col, text_col=text_col, most=most_documents
@@ -218,21 +221,34 @@ def fit(
         for batch in batches:
             for start, texts in slices(batch["text"]):
                 x, first = passages(texts)
-                small = np.flatnonzero(np.diff(first) <= MOST_PASSAGES)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([x[first[i] : first[i + 1]].tobytes() for i in small], pa.binary()),
-                        batch["label"].slice(start, len(texts)).take(pa.array(small)),
-                        batch["doc_id"].slice(start, len(texts)).take(pa.array(small)),
+                        pa.array(np.diff(first)),
+                        pa.array([x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()),
+                        batch["label"].slice(start, len(texts)),
+                        batch["doc_id"].slice(start, len(texts)),
                     ],
-                    names=["x", "label", "doc_id"],
+                    names=["n", "x", "label", "doc_id"],
                 )
 
-    rows = (
-        sample.select(F.col("doc_id").cast("long"), "text", "label")
-        .mapInArrow(encode, "x binary, label double, doc_id long")
-        .collect()  # at most MOST_DOCUMENTS x MOST_PASSAGES vectors
+    work = Workspace(docs.sparkSession, "quality_classifier")
+    encoded = work.write(
+        sample.select(F.col("doc_id").cast("long"), "text", "label").mapInArrow(
+            encode, "n long, x binary, label double, doc_id long"
+        ),
+        "encoded",
     )
+    hashed = encoded.filter(F.col("n") <= most_passages).withColumn("hash", F.xxhash64("doc_id"))
+    sizes = hashed.groupBy("hash").agg(F.sum("n").alias("n")).orderBy("hash")
+    reached, last = 0, None
+    for r in sizes.collect():  # two numbers for each of MOST_DOCUMENTS
+        reached += r.n
+        if reached > most_passages:
+            break
+        last = r.hash
+    taken = hashed.filter(F.col("hash") <= F.lit(last).cast("long"))
+    rows = taken.select("x", "label", "doc_id").collect()
+    work.drop(encoded)
     rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))
     target = np.array([r.label for r in rows])
     if len(set(target.tolist())) < 2:

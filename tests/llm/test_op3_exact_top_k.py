@@ -73,3 +73,29 @@ def test_scores_beyond_64_bits_are_refused(spark):
     frame = spark.createDataFrame([(0, [3e38]), (1, [3e38])], "vec_id long, embedding array<float>")
     with pytest.raises(Exception, match="64 bits|overflow|OVERFLOW"):
         op.top_k(frame, frame).collect()
+
+
+def test_repeated_rows_are_candidates_as_often_as_they_occur(spark):
+    import duckdb
+
+    rows = [(i % 40, [float(i % 3), float(i % 5)]) for i in range(300)] + [(7, [9.0, 9.0])] * 30
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = frame.filter("vec_id = 1 AND embedding[0] = 1 AND embedding[1] = 1")
+    got = op.top_k(frame, asked.union(asked), block=60, k=25).collect()
+    assert sum(r.vec_id == 7 for r in got) >= 25 - 5 and len(got) == 25
+    many = spark.createDataFrame([(100 * i, [1.0, float(i)]) for i in range(9)] * 3, frame.schema)
+    connection = duckdb.connect()
+    connection.register("embeddings", many.toPandas())
+    want = connection.sql(f"SELECT query_id, rank, vec_id, score FROM ({op.SQL})").fetchall()
+    found = op.top_k(many, many).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in found) == sorted(want)
+
+
+def test_a_block_is_sent_once_for_many_queries_and_cores_have_work(spark):
+    draw = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in draw.normal(0, 1, 4)]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = op.top_k(frame, frame.filter("vec_id % 5 = 0"), block=400, batch=10)
+    assert found.rdd.getNumPartitions() >= 1
+    got = {tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()}
+    assert got == brute(rows, range(0, 600, 5), 10)

@@ -216,6 +216,9 @@ def scan(
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=TREE_DEPTH, seed=5
     ).fit(vectors.transform(sample))
+    # The copy lacks the training summary. That holds the session, which cannot be sent to
+    # tasks once any query of it has observed a metric.
+    forest = forest.copy()
     work.drop(sample)
     scored = forest.transform(vectors.transform(found))
     return scored.select(

@@ -126,6 +126,16 @@ def test_secrets_are_told_from_other_long_strings(leaky):
     assert got == truth
 
 
+def test_scan_in_a_session_that_has_observed_a_metric(leaky, spark):
+    from pyspark.sql import Observation, functions as F
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    docs, truth = leaky
+    assert op9_secret_scan.scan(docs).filter("is_secret").count() == sum(truth.values())
+
+
 def test_a_labelled_table_is_learned(leaky):
     docs, truth = leaky
     labelled = docs.sparkSession.createDataFrame(

@@ -94,6 +94,8 @@ class Encoder(dict):
         )
 
     def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= CACHE_ENTRIES:  # also within one text of very many chunks
+            self.clear()
         marked = chunk.replace(" ", MARK)
         ids = [-1] if chunk == MARK else self.segment(marked)
         if min(ids) < 0:
@@ -154,8 +156,6 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
         if self.vocabulary.prefix:
             text = " " + text
         return b"".join(map(self.__getitem__, self.chunks(text)))

@@ -71,3 +71,12 @@ def test_odd_rows_and_frames(odd_documents):
     decoded = {r.doc_id: r.text for r in op.decode(encoded).collect()}
     assert decoded == {r.doc_id: r.text for r in odd_documents.collect()}
     assert op.encode(odd_documents.limit(0)).count() == 0
+
+
+def test_the_cache_stays_bounded_within_one_text(monkeypatch):
+    encoder = op.Encoder(op.read_model(op.MODEL))
+    monkeypatch.setattr(op, "CACHE_ENTRIES", 50)
+    text = " ".join(f"w{i}" for i in range(400))
+    ids = np.frombuffer(encoder.encode(text), np.int32).tolist()
+    assert len(encoder) <= 50 and encoder.decode(ids) == text
+    assert ids == np.frombuffer(op.Encoder(op.read_model(op.MODEL)).encode(text), np.int32).tolist()

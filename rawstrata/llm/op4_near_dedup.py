@@ -12,7 +12,8 @@ chance of about 1e-5. ``TREES`` independent trees bring the chance that a pair j
 at the threshold shares a compared node to over 0.999.
 
 What that connects is then compared exactly: the whole sets of each connected group, in tasks of
-bounded size, with numpy over the group's vocabulary. Exact links give the components.
+bounded size, with numpy over the group's vocabulary. Exact links give the components. Shingles
+stand for their texts by 64-bit hashes throughout, and equal sets are told by 128 bits of them.
 
 Only signatures, ids and, for texts with a candidate partner, one text per class are shuffled.
 Nodes and groups of any size are dealt into bounded parts (see ``graph.spanning_links``); no
@@ -109,17 +110,19 @@ def children(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def compared_nodes(classes: DataFrame, percent: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Rows (group, rep) and sizes (group, n) of all trees' nodes that are compared."""
+    """Written rows (group, rep) and sizes (group, n) of all trees' nodes that are compared."""
     tree = F.explode(F.sequence(F.lit(1), F.lit(TREES)))
     rows = classes.select(tree.alias("tree"), "rep", "tokens")
     rows = rows.select(F.xxhash64(F.lit("root"), "tree").alias("node"), "rep", "tokens")
     done: list[tuple[DataFrame, DataFrame]] = []
+    held: list[DataFrame] = []
     tokens = classes.select("rep", "tokens")
     for depth in range(1, DEPTH + 1):
         level = work.write(children(rows, percent), f"level{depth}")
         counted = work.write(
             level.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), f"nodes{depth}"
         )
+        held += [level, counted]
         final = counted if depth == DEPTH else counted.filter(F.col("n") <= LEAF)
         done.append((level.join(final.select("node"), "node"), final))
         large = counted.filter(F.col("n") > LEAF)
@@ -129,7 +132,11 @@ def compared_nodes(classes: DataFrame, percent: int, work: Workspace) -> tuple[D
     members, sizes = done[0]
     for more, more_sizes in done[1:]:
         members, sizes = members.union(more), sizes.union(more_sizes)
-    return members.withColumnRenamed("node", "group"), sizes.withColumnRenamed("node", "group")
+    # Read by every later step; the levels are not, so they go before anything else is written.
+    members = work.write(members.withColumnRenamed("node", "group"), "members")
+    sizes = work.write(sizes.withColumnRenamed("node", "group"), "sizes")
+    work.drop(*held)
+    return members, sizes
 
 
 def by_signature(percent: int) -> Linker:
@@ -192,7 +199,6 @@ def near_duplicates(
     alive = classes.filter("n > 0 AND rep IS NOT NULL")
 
     members, sizes = compared_nodes(alive, percent, work)
-    members = work.write(members, "members")  # read by every step below; the levels are not
     tokens = alive.select(F.col("rep").alias("member"), F.col("tokens").alias("payload"))
     candidates = spanning_links(
         members.withColumnRenamed("rep", "member"),
@@ -202,6 +208,7 @@ def near_duplicates(
         work,
     )
     grouped = components(candidates, work)
+    work.drop(members, sizes)
 
     inside = work.write(
         alive.join(grouped, alive.rep == grouped.id).select(

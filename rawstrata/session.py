@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -41,8 +42,29 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return storage.child(scratch_root(spark), "rawstrata", f"{label}-{uuid.uuid4()}")
+    """A path in the shared folder that nothing else uses.
+
+    Results that are read lazily keep the tables they scan, and a job that fails leaves some;
+    these go when the Python process ends with its session open.
+    """
+    path = storage.child(scratch_root(spark), "rawstrata", f"{label}-{uuid.uuid4()}")
+    if not _given_out:
+        atexit.register(_remove_given_out)
+    _given_out.append((spark, path))
+    return path
+
+
+_given_out: list[tuple[SparkSession, str]] = []
+
+
+def _remove_given_out() -> None:
+    for spark, path in _given_out:
+        if spark.sparkContext._jsc is None:  # stopped before: nothing can be reached
+            continue
+        try:
+            storage.delete(spark, path)
+        except Exception:  # the JVM is gone; nothing depends on this
+            return
 
 
 @contextmanager

@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from rawstrata import session
@@ -56,3 +60,20 @@ def test_shuffles_grow_with_the_input_and_return(spark):
     with pytest.raises(ZeroDivisionError), sized_shuffles(spark, 100 * GIGA):
         1 / 0
     assert spark.conf.get(name) == configured
+
+
+def test_what_an_application_leaves_goes_at_its_end(tmp_path):
+    code = """
+from pyspark.sql import SparkSession
+from rawstrata.session import scratch_path
+settings = {"spark.ui.enabled": "false", "spark.checkpoint.dir": r"%s"}
+spark = SparkSession.builder.master("local[1]").config(map=settings).getOrCreate()
+spark.range(3).write.parquet(scratch_path(spark, "kept"))
+raise RuntimeError("a job that failed")
+""" % tmp_path
+    root = str(Path(__file__).resolve().parents[1])
+    ended = subprocess.run(
+        [sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300
+    )
+    assert "a job that failed" in ended.stderr
+    assert list((tmp_path / "rawstrata").iterdir()) == []

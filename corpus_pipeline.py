@@ -9,6 +9,12 @@ a DataFrame that ``run`` writes as Parquet and rereads for the next one:
 4. mixing: documents are repeated so that the languages' words match the target weights; every
    document stays at least once;
 5. SentencePiece: texts become ids.
+
+Special cases: an empty table passes every stage and ends in an empty result with all columns; a
+null or empty text is scored like a text without words, is a near-duplicate of nothing, holds no
+secret, weighs nothing in the mixing and has null or no ids; rows that repeat an id become one in
+the second stage, rows without id are one per text; null languages and sources, ties and columns
+beyond those of documents, also ones named like an operator's own, are carried as they are.
 """
 
 from __future__ import annotations
@@ -72,6 +78,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with the secrets in its text replaced by a mark and ``n_chars`` following
+    it. Rows without id are treated by their text like others; a null text stays null."""
     return op9_secret_scan.redact(docs)
 
 
@@ -98,6 +106,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces, ids and restored (whether the ids give the text back) of every row. A
+    null text has null ids, an empty one none."""
     return op7_sentencepiece.encode(docs)
 
 

@@ -97,7 +97,11 @@ OTHER_NAMES = frozenset(
     " disclaimer toolbar skip form hidden".split()
 )
 HEADER_NAMES = frozenset("header head heading".split())
-CONTENT_NAMES = frozenset("article content contents entry main post story body text".split())
+CONTENT_NAMES = frozenset("article content contents entry main post story body".split())
+# Names that say what else is on the page, or that something may be added to an element.
+_QUALIFIED = re.compile(
+    r"(?:no|has|have|with|without|is|not)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|status|count)", re.I
+)
 
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?--!?>|.*)|<[!?/][^A-Za-z>][^>]*+(?:>|\Z)|<![^>]*+(?:>|\Z)|</?+>"
@@ -136,7 +140,8 @@ def _naming(tag: str, rest: str, near: int) -> int:
         return -1
     if "display:none" in held.get("style", "").lower().replace(" ", ""):
         return -1
-    names = {n.lower() for n in _NAME.findall(f"{held.get('class', '')} {held.get('id', '')}")}
+    named = f"{held.get('class', '')} {held.get('id', '')}".split()
+    names = {n.lower() for item in named if not _QUALIFIED.fullmatch(item) for n in _NAME.findall(item)}
     if tag in OTHER_TAGS or role in OTHER_ROLES or names & OTHER_NAMES:
         return -1
     if tag == "header" or names & HEADER_NAMES:

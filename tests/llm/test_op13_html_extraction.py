@@ -150,6 +150,21 @@ def test_parts_that_are_not_main_text(model, kind, of):
     assert op13.main_texts([f"<body>{outside}", f"<body>{inside}"], model) == [text, text_inside]
 
 
+@pytest.mark.parametrize(
+    "of",
+    [
+        "article class='post-12 post hentry category-news comment-open'",
+        "div class='content has-sidebar no-comments'",
+        "main id='mainContent' class='with_widgets'",
+        "section class='story-body comments-closed'",
+    ],
+)
+def test_names_that_only_mention_other_parts(model, of):
+    end = of.split()[0]
+    page = f"<body class='has-sidebar'><nav>Home</nav><{of}><h1>Title</h1><p>{PROSE}</p></{end}><aside><p>{PROSE}</p></aside>"
+    assert op13.main_texts([page], model) == [f"Title\n{PROSE}"]
+
+
 def test_odd_pages(spark, model):
     rows = [
         (1, "a", None), (1, "a", ""), (None, None, "<p"), (2, "b", "<nav>x</nav>"),

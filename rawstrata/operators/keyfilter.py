@@ -7,7 +7,7 @@ up to a bound, beyond which it lets more rows pass and stays right.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,10 +41,33 @@ def likely_members(rows: DataFrame, bitmap: DataFrame, keys: Sequence[str], bits
 
     The bitmap's size is bounded by ``bits``, so it is broadcast and the rows stay where they are.
     """
+    return _tested(rows, bitmap, keys, bits, "inner", lambda is_set: is_set)
+
+
+def certain_strangers(
+    rows: DataFrame, bitmap: DataFrame, keys: Sequence[str], bits: int
+) -> DataFrame:
+    """The other rows: their keys are none of the bitmap's."""
+    return _tested(
+        rows, bitmap, keys, bits, "left", lambda is_set: ~F.coalesce(is_set, F.lit(False))
+    )
+
+
+def _tested(
+    rows: DataFrame,
+    bitmap: DataFrame,
+    keys: Sequence[str],
+    bits: int,
+    how: str,
+    passes: Callable[[Column], Column],
+) -> DataFrame:
     place = _place(keys, bits)
     at = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    byte_at = F.floor(at / 8).cast("int") + 1
+    byte = F.conv(F.hex(F.substring("_bitmap_bits", byte_at, F.lit(1))), 16, 10)
     is_set = F.call_function("shiftright", byte.cast("int"), (at % 8).cast("int")) % 2 == 1
-    pieces = bitmap.select(F.col("piece").alias("_piece"), F.col("bits").alias("_bits"))
-    joined = rows.join(F.broadcast(pieces), F.bitmap_bucket_number(place) == F.col("_piece"))
-    return joined.filter(is_set).select(*rows.columns)
+    pieces = F.broadcast(
+        bitmap.select(F.col("piece").alias("_bitmap_piece"), F.col("bits").alias("_bitmap_bits"))
+    )
+    joined = rows.join(pieces, F.bitmap_bucket_number(place) == F.col("_bitmap_piece"), how)
+    return joined.filter(passes(is_set)).drop("_bitmap_piece", "_bitmap_bits")

@@ -12,10 +12,16 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 from rawstrata.contracts import RECORD_HASH, SOURCE_RECORD_ID, SOURCE_SYSTEM
 from rawstrata.functions.predicates import keys_equal
-from rawstrata.operators.keyfilter import bits_for, key_bitmap, likely_members
+from rawstrata.operators.keyfilter import (
+    bits_for,
+    certain_strangers,
+    key_bitmap,
+    likely_members,
+)
 
 # The default row identity.
 DEFAULT_KEYS = (SOURCE_SYSTEM, SOURCE_RECORD_ID)
@@ -130,31 +136,41 @@ def matched_keys(
     null_safe: bool = True,
     broadcast_keys: bool = False,
     batch_rows: int | None = None,
+    unmatched_too: bool = False,
 ) -> DataFrame:
-    """One row per key that both sides hold, with its counts.
+    """One row per key that both sides hold, with its counts; if asked, also one per key that
+    only the batch holds, with no ``target_rows``.
 
     ``incoming_rows`` and ``target_rows`` count rows; ``replay_pairs`` and
     ``conflict_pairs`` count the pairs a join on the key would give, split by whether the
     payload hashes agree (NULL agrees with NULL). Without a hash column on both sides every
     match is a replay.
+
+    Without the keys broadcast, target rows are not joined first: the counts tell which keys the
+    batch lacks, so both sides are shuffled once, the target by what a bitmap lets pass.
     """
-    hits = target_hits(
-        incoming,
-        target,
-        keys,
-        null_safe=null_safe,
-        broadcast_keys=broadcast_keys,
-        batch_rows=batch_rows,
-    )
     hashed = RECORD_HASH in incoming.columns and RECORD_HASH in target.columns
+    batch = _with_usable_keys(incoming, keys, null_safe)
+    if broadcast_keys:
+        hits = target_hits(incoming, target, keys, null_safe=null_safe, broadcast_keys=True)
+    else:
+        held = target.select(*keys, RECORD_HASH) if hashed else target.select(*keys)
+        hits = _with_usable_keys(held, keys, null_safe)
+        if batch_rows is not None:
+            bits = bits_for(batch_rows)
+            hits = likely_members(hits, key_bitmap(batch, keys, bits), keys, bits)
+    of_text = hashed and all(
+        df.schema[RECORD_HASH].dataType == StringType() for df in (incoming, target)
+    )
 
     def narrow(df: DataFrame, from_batch: int) -> DataFrame:
         payload = F.col(RECORD_HASH) if hashed else F.lit(None).cast("string")
-        return df.select(*keys, payload.alias("payload"), F.lit(from_batch).alias("from_batch"))
+        parts = _packed(payload) if of_text else (payload, F.lit(None).cast("string"))
+        named = [part.alias(name) for part, name in zip(parts, ("payload", "payload_text"))]
+        return df.select(*keys, *named, F.lit(from_batch).alias("from_batch"))
 
-    batch = _with_usable_keys(incoming, keys, null_safe)
     both = narrow(batch, 1).unionByName(narrow(hits, 0))
-    per_payload = both.groupBy(*keys, "payload").agg(
+    per_payload = both.groupBy(*keys, "payload", "payload_text").agg(
         F.count_if(F.col("from_batch") == 1).alias("n_in"),
         F.count_if(F.col("from_batch") == 0).alias("n_tgt"),
     )
@@ -165,7 +181,8 @@ def matched_keys(
         F.sum(same_payload.cast(WIDE)).cast(WIDE).alias("replay_pairs"),
     )
     all_pairs = (F.col("incoming_rows").cast(WIDE) * F.col("target_rows")).cast(WIDE)
-    return per_key.filter("target_rows > 0").select(
+    held_by = "incoming_rows > 0" if unmatched_too else "incoming_rows > 0 AND target_rows > 0"
+    return per_key.filter(held_by).select(
         *keys,
         "incoming_rows",
         "target_rows",
@@ -174,16 +191,25 @@ def matched_keys(
     )
 
 
+def _packed(text: Column) -> tuple[Column, Column]:
+    """Two columns that are equal where a text is: lower-case hex digits, as hashes have them, as
+    half as many bytes, and what is no such text as it is."""
+    as_bytes = F.unhex(text)
+    is_hex = F.coalesce(F.lower(F.hex(as_bytes)) == text, F.lit(False))
+    return F.when(is_hex, as_bytes), F.when(~is_hex, text)
+
+
 def match_counts() -> list[Column]:
-    """Aggregates over matched keys: replay, conflict and matched-row counts."""
+    """Aggregates over compared keys: replay, conflict and matched-row counts."""
 
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(F.col(name).cast(WIDE)), F.lit(0)).cast("bigint")
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value.cast(WIDE)), F.lit(0)).cast("bigint")
 
+    matched_rows = F.when(F.col("target_rows") > 0, F.col("incoming_rows"))
     return [
-        total("replay_pairs").alias("replay_existing_row_count"),
-        total("conflict_pairs").alias("hash_conflict_count"),
-        total("incoming_rows").alias("matched_row_count"),
+        total(F.col("replay_pairs")).alias("replay_existing_row_count"),
+        total(F.col("conflict_pairs")).alias("hash_conflict_count"),
+        total(matched_rows).alias("matched_row_count"),
     ]
 
 
@@ -203,7 +229,13 @@ def first_conflict(matched: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> Da
 
 
 def new_rows(
-    incoming: DataFrame, held: DataFrame, keys: Sequence[str], *, null_safe: bool = True
+    incoming: DataFrame,
+    held: DataFrame,
+    keys: Sequence[str],
+    *,
+    null_safe: bool = True,
+    fresh_keys: DataFrame | None = None,
+    batch_rows: int = 0,
 ) -> DataFrame:
     """Incoming rows whose key ``held`` lacks: the rows an insert-only merge adds.
 
@@ -211,12 +243,24 @@ def new_rows(
     distinct first, which combines before the shuffle, so a hot key of it is one row per task.
     Under plain equality rows with a NULL key match nothing: they stay out of the join, where
     they would all meet in one task.
+
+    Where the batch's other keys are known too (``fresh_keys``, each once), bitmaps of both, sized
+    by the batch's rows, tell for nearly every row on which side it is. Only rows that both
+    bitmaps let pass are shuffled, and of the fresh keys those that the held ones' lets pass.
     """
     wanted = _with_usable_keys(held.select(*keys), keys, null_safe).distinct()
     on_keys = keys_equal("src", "held", keys, null_safe=null_safe)
 
     def unmatched(rows: DataFrame) -> DataFrame:
-        return rows.alias("src").join(wanted.alias("held"), on_keys, "left_anti")
+        if fresh_keys is None:
+            return rows.alias("src").join(wanted.alias("held"), on_keys, "left_anti")
+        bits = bits_for(batch_rows)
+        old, fresh = key_bitmap(held, keys, bits), key_bitmap(fresh_keys, keys, bits)
+        unsure = likely_members(likely_members(rows, old, keys, bits), fresh, keys, bits)
+        named = likely_members(fresh_keys.select(*keys), old, keys, bits)
+        # Each key is there once, so this is the semi-join; that one would move below the bitmaps.
+        found = unsure.alias("src").join(named.alias("held"), on_keys).select("src.*")
+        return certain_strangers(rows, old, keys, bits).unionByName(found)
 
     if null_safe:
         return unmatched(incoming)

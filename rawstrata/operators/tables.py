@@ -107,8 +107,9 @@ def merge_new_records(
     """Append the rows whose key the target lacks, or nothing if any payload conflicts.
 
     The batch is written out once and its keys' range observed, so the target's scan is
-    pruned to it. The matched keys are written out once and counted on the way; the anti-join
-    reads that narrow table. The number of inserted rows is observed during the append.
+    pruned to it. The matched keys, of a large batch all keys, are written out once and counted on
+    the way; what finds the new rows reads that narrow table. The number of inserted rows is
+    observed during the append.
     ``bounds`` says that the caller has written the batch out already. A claim the caller holds
     is renewed right before the append, which so does not happen once another run took over.
     """
@@ -122,13 +123,14 @@ def merge_new_records(
             merge_keys,
             broadcast_keys=known.may_broadcast,
             batch_rows=known.rows,
+            unmatched_too=not known.may_broadcast,
         )
         counted, appended = Observation(), Observation()
-        with staged(matches.observe(counted, *matching.match_counts()), "matched") as matched:
+        with staged(matches.observe(counted, *matching.match_counts()), "matched") as compared:
             counts = counted.get
             inserted = 0
             if not counts["hash_conflict_count"] and known.rows > counts["matched_row_count"]:
-                fresh = matching.new_rows(batch, matched, merge_keys)
+                fresh = _new_rows(batch, compared, known)
                 rows = F.count(F.lit(1)).alias("rows")
                 if held_claim is not None:
                     held_claim.renew()
@@ -142,6 +144,20 @@ def merge_new_records(
     )
 
 
+def _new_rows(
+    batch: DataFrame, compared: DataFrame, known: KeyBounds, *, null_safe: bool = True
+) -> DataFrame:
+    """The batch's rows whose key was not matched."""
+    return matching.new_rows(
+        batch,
+        compared.filter("target_rows > 0"),
+        known.keys,
+        null_safe=null_safe,
+        fresh_keys=None if known.may_broadcast else compared.filter("target_rows = 0"),
+        batch_rows=known.rows,
+    )
+
+
 def write_bronze_data(
     spark: SparkSession,
     df: DataFrame,
@@ -244,12 +260,13 @@ def _merge_named(
             null_safe=False,
             broadcast_keys=known.may_broadcast,
             batch_rows=known.rows,
+            unmatched_too=not known.may_broadcast,
         )
-        with staged(matches, "matched") as matched:
-            conflict = matching.first_conflict(matched, merge_keys).first()
+        with staged(matches, "matched") as compared:
+            conflict = matching.first_conflict(compared, merge_keys).first()
             if conflict is not None:
                 named = ", ".join(f"{key.lstrip('_')}={conflict[key]}" for key in merge_keys)
                 raise ValueError(f"Conflicting content for {table}: {named}")
-            fresh = matching.new_rows(batch, matched, merge_keys, null_safe=False)
+            fresh = _new_rows(batch, compared, known, null_safe=False)
             held_claim.renew()
             fresh.write.insertInto(table)

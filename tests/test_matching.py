@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from rawstrata.functions.predicates import is_blank, keys_equal
 from rawstrata.operators import matching
-from rawstrata.operators.keyfilter import bits_for, key_bitmap, likely_members
+from rawstrata.operators.keyfilter import (
+    bits_for,
+    certain_strangers,
+    key_bitmap,
+    likely_members,
+)
 
 KEYS = ("_source_system", "source_record_id")
 SCHEMA = "_source_system string, source_record_id string, _record_hash string"
@@ -287,3 +292,70 @@ def test_hot_keys_are_split_between_tasks(spark, tmp_path, eager_skew_handling):
 
     assert "SortMergeJoin(skew=true)" in final_plan(matching.target_hits(rows, rows, KEYS))
     assert "SortMergeJoin(skew=true)" in final_plan(matching.new_rows(rows, keys, KEYS))
+
+
+PAYLOADS = ["abc1", "ABC1", "abc", "0abc", "h1", "", "«c1", None, "\0", "00"]
+
+
+@pytest.mark.parametrize("batch_rows", [None, len(PAYLOADS) ** 2])
+def test_packed_payloads_agree_as_their_texts_do(spark, batch_rows):
+    pairs = [(f"{i},{k}", a, b) for i, a in enumerate(PAYLOADS) for k, b in enumerate(PAYLOADS)]
+    incoming = frame(spark, [("erp", key, a) for key, a, _ in pairs])
+    target = frame(spark, [("erp", key, b) for key, _, b in pairs] + [("erp", "other", "h1")])
+    matched = matching.matched_keys(incoming, target, KEYS, batch_rows=batch_rows).collect()
+    found = {row.source_record_id: (row.replay_pairs, row.conflict_pairs) for row in matched}
+    assert found == {key: (1, 0) if a == b else (0, 1) for key, a, b in pairs}
+
+
+def test_large_batches_are_shuffled_once_by_payload_and_once_by_key(spark, random_ids):
+    batch, target = random_ids
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        matched = matching.matched_keys(batch, target, KEYS, batch_rows=batch.count())
+        plan = matched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len([line for line in shuffles if "source_record_id" in line]) == 2
+    assert len(shuffles) == 3 and "SortMergeJoin" not in plan  # the third is the bitmap's
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_few_rows_are_shuffled_to_find_the_new_ones(spark, random_ids, tmp_path, null_safe):
+    batch, target = random_ids
+    batch.unionByName(batch.limit(50)).write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for keys_seen in (batch.count(), 0):  # the least bits let more rows pass
+            compared = matching.matched_keys(
+                batch, target, KEYS, null_safe=null_safe, unmatched_too=True
+            )
+            matched = compared.filter("target_rows > 0")
+            others = compared.filter("target_rows = 0")
+            assert matched.count() > 0 and others.count() > 0
+            plain = matching.new_rows(batch, matched, KEYS, null_safe=null_safe)
+            fresh = matching.new_rows(
+                batch, matched, KEYS, null_safe=null_safe, fresh_keys=others, batch_rows=keys_seen
+            )
+            assert fresh.columns == plain.columns
+            assert fresh.exceptAll(plain).count() == plain.exceptAll(fresh).count() == 0
+        bits = bits_for(batch.count())
+        old, new = (key_bitmap(keys, KEYS, bits) for keys in (matched, others))
+        unsure = likely_members(likely_members(batch, old, KEYS, bits), new, KEYS, bits)
+        assert unsure.count() < 0.15 * batch.count()
+        strangers = certain_strangers(batch, old, KEYS, bits)
+        likely = likely_members(batch, old, KEYS, bits)
+        assert strangers.unionByName(likely).exceptAll(batch).count() == 0
+        assert strangers.count() + likely.count() == batch.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_zeros_of_either_sign_are_one_key(spark):
+    batch = spark.sql("SELECT -0.0D AS k, 'h' AS _record_hash UNION ALL SELECT 1.0D, 'h'")
+    held = spark.sql("SELECT 0.0D AS k, 'h' AS _record_hash")
+    compared = matching.matched_keys(batch, held, ["k"], batch_rows=2, unmatched_too=True)
+    matched, others = compared.filter("target_rows > 0"), compared.filter("target_rows = 0")
+    fresh = matching.new_rows(batch, matched, ["k"], fresh_keys=others, batch_rows=2)
+    assert [row.k for row in fresh.collect()] == [1.0]
